@@ -16,6 +16,7 @@ BATCH_ID = "20240630_120000"
 AS_OF = "2000-01-01"  # reference date of the portfolio queries
 RISK_REFERENCE = "2024-06-30"
 YEARS = (2022, 2023, 2024, 2025, 2026)
+FISCAL_YEARS = (1997, 1998, 1999, 2000, 2001)  # of the curated financial fact: the years of the orders
 CALENDAR_FROM, CALENDAR_TO = "1990-01-01", "2035-12-31"
 CATEGORIES = (
     ("Aquisição de Equipamentos", "aquisicao_de_equipamentos"),
@@ -133,7 +134,7 @@ RAW: dict[str, dict] = {
     "companies": {
         "table": "supplier",
         "columns": {
-            "CNPJ": dotted(cnpj(_i)),
+            "CNPJ": unless("s_suppkey % 67 = 60", dotted(cnpj(_i)), dotted(cnpj(f"{_i} - 25"))),
             "CNPJ8": unless("s_suppkey % 37 = 26", root(_i), "'99999999'"),
             "CNPJ_Matriz": unless("s_suppkey % 47 = 40", dotted(cnpj(f"{_i} % 25")), "''"),
             "Razao_Social": "'  ' || s_name || ' '",
@@ -347,7 +348,7 @@ FINANCIAL_SHARES = {
     "gross_revenue": "1.00", "total_cost": "0.70", "payroll_cost": "0.20", "gross_profit": "0.30",
     "debt_interest": "0.03", "net_income": "0.10",
 }
-_factor_of_year = "(CASE y " + " ".join(f"WHEN {y} THEN {f}" for y, f in FACTOR.items()) + " END)"
+_factor_of_year = "(CASE y " + " ".join(f"WHEN {y} THEN {f}" for y, f in zip(FISCAL_YEARS, FACTOR.values())) + " END)"
 FINANCIAL_COLUMNS = {
     "financial_snapshot_key": f"'FIN-' || {cnpj('s_suppkey')} || '-' || {text('y')}",
     **_keys("s_suppkey"),
@@ -412,7 +413,7 @@ class Curated(dict):
             codes = orders.select(F.expr(choose("o_orderkey", CODES)).alias("category_code")).distinct()
             return classify(codes)
         if name == "fact_supplier_financial":
-            years = F.explode(F.array(*[F.lit(y) for y in YEARS])).alias("y")
+            years = F.explode(F.array(*[F.lit(y) for y in FISCAL_YEARS])).alias("y")
             rows = table(self.spark, self.sf_dir, "supplier").select("*", years)
             return rows.select(*[F.expr(e).alias(c) for c, e in FINANCIAL_COLUMNS.items()])
         return _project(table(self.spark, self.sf_dir, CURATED[name]["table"]), CURATED[name])

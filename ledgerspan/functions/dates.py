@@ -20,9 +20,15 @@ EXPIRY_BANDS = ((30, "expires_in_30_days"), (60, "expires_in_60_days"), (90, "ex
 
 
 def lenient_date(c: Column | str) -> Column:
-    """ISO date, with or without a time of day, as DATE; anything else is NULL."""
-    text = strip(col(c).cast("string"))
-    return F.when(text.rlike(ISO_DATE_SHAPE), F.substring(text, 1, 10)).try_cast("date")
+    """ISO date, with or without a time of day, as DATE; anything else is NULL.
+
+    Plain `yyyy-mm-dd` text takes a path without a regular expression.
+    """
+    c = col(c).cast("string")
+    plain = (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    text = strip(c)
+    timed = F.when(text.rlike(ISO_DATE_SHAPE), F.substring(text, 1, 10))
+    return F.when(plain, c).otherwise(timed).try_cast("date")
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:

@@ -4,38 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ledgerspan.functions.text import col, strip
+from ledgerspan.functions.text import col
 
 MONEY = "decimal(18,2)"
 EXACT_SUM = "decimal(38,2)"
-NUMBER_SHAPE = r"\A[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z"
 # Order of the risk levels, after and before slugging.
 RISK_ORDER = {"baixo": 1, "medio": 2, "alto": 3}
 RISK_LABEL_ORDER = {"Baixo": 1, "Médio": 2, "Alto": 3}
 
 
-def _numeric_text(c: Column | str) -> Column:
-    """The text when it has the shape of a number, else NULL.
+def lenient_double(c: Column | str) -> Column:
+    """Decimal or scientific notation as double, else NULL.
 
-    The guard keeps out what the JVM parser would take (`1d`, `NaN`, `Infinity`).
+    A number ends in a digit or a point and has no `x`; that keeps out what the JVM parser takes
+    as well (`1d`, `NaN`, `Infinity`, hexadecimal).
     """
-    text = strip(col(c).cast("string"))
-    return F.when(text.rlike(NUMBER_SHAPE), text)
-
-
-def lenient_double(c: Column | str) -> Column:
-    return _numeric_text(c).try_cast("double")
+    text = F.trim(col(c).cast("string"))
+    last = F.ascii(F.substring(text, -1, 1))
+    plausible = last.between(ord("0"), ord("9")) | (last == ord("."))
+    return F.when(plausible & ~F.contains(F.lower(text), F.lit("x")), text).try_cast("double")
 
 
 def lenient_bigint(c: Column | str) -> Column:
     """Whole number or NULL; `12.0` is whole, `12.5` is not."""
-    exact = _numeric_text(c).try_cast("decimal(38,6)")
+    exact = col(c).cast("string").try_cast("decimal(38,6)")
     return F.when(exact == F.floor(exact), exact).try_cast("bigint")
 
 
 def money(c: Column | str) -> Column:
     """Text straight to decimal(18,2), half-up, so no binary fraction is ever in between."""
-    return _numeric_text(c).try_cast(MONEY)
+    return col(c).cast("string").try_cast(MONEY)
 
 
 def exact_sum(c: Column | str) -> Column:

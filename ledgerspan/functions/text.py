@@ -26,8 +26,14 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Trim blanks of any kind at both ends; NULL stays NULL."""
-    return F.trim(col(c), F.lit(BLANKS))
+    """Trim blanks of any kind at both ends; NULL stays NULL.
+
+    Text that starts and ends with a visible ASCII character (nearly all of it) is passed through:
+    the check is several times cheaper than a trim against the full list of blanks.
+    """
+    c = col(c)
+    first, last = F.ascii(c), F.ascii(F.substring(c, -1, 1))
+    return F.when(first.between(33, 126) & last.between(33, 126), c).otherwise(F.trim(c, F.lit(BLANKS)))
 
 
 def strip_to_null(c: Column | str) -> Column:
@@ -47,8 +53,11 @@ def code(c: Column | str) -> Column:
 
 
 def enum_slug(c: Column | str) -> Column:
-    """Stable technical value of a label: `Licença de Software` -> `licenca_de_software`."""
-    folded = F.translate(F.lower(strip(c)), ACCENTED, UNACCENTED)
+    """Stable technical value of a label: `Licença de Software` -> `licenca_de_software`.
+
+    Blanks at the ends need no trim of their own: they turn into `_` and go with it.
+    """
+    folded = F.translate(F.lower(col(c)), ACCENTED, UNACCENTED)
     slug = F.trim(F.regexp_replace(folded, "[^a-z0-9]+", "_"), F.lit("_"))
     return F.coalesce(slug, F.lit(""))
 

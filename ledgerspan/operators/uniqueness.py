@@ -2,8 +2,8 @@
 
 A window `count(*) over (partition by key)` would buffer a whole group in one task. Here the key
 counts come from a hash aggregate (map-side partial, so a hot key shrinks to one row per task)
-and the flag is joined back. Keys that hold more than HOT_SHARE of the rows go through a broadcast
-list instead, and their rows are spread over SALTS reducers.
+and the flag is joined back. The MAX_HOT most frequent keys go through a broadcast list instead, and
+their rows are spread over SALTS reducers; every other key has at most 1 / MAX_HOT of the rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-HOT_SHARE = 1e-4  # so at most 1 / HOT_SHARE = 10,000 keys can be hot: the bound of the broadcast
+MAX_HOT = 1_000  # size bound of the broadcast list
 HOT_FLOOR = 100_000  # no key below this many rows is worth separating
 SALTS = 256
 
@@ -27,12 +27,10 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("__rows"))
 
 
-def hot_keys(
-    counts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, floor: int = HOT_FLOOR
-) -> DataFrame:
-    """Keys above `share` of all rows (and above `floor`): never more than 1/share of them."""
-    limit = counts.agg(F.sum("__rows").alias("n")).select(F.greatest(F.col("n") * share, F.lit(float(floor))))
-    return counts.where(F.col("__rows") > limit.scalar()).select(*keys)
+def hot_keys(counts: DataFrame, keys: Sequence[str], floor: int = HOT_FLOOR) -> DataFrame:
+    """The most frequent keys, never more than MAX_HOT of them (a top-k, not a full sort)."""
+    frequent = counts.where(F.col("__rows") > floor)
+    return frequent.orderBy(F.col("__rows").desc()).limit(MAX_HOT).select(*keys)
 
 
 def flag_repeated(
@@ -42,20 +40,20 @@ def flag_repeated(
     *,
     exempt: Column | None = None,
     salt_on: Sequence[str] = ("source_file", "source_row_number"),
-    share: float = HOT_SHARE,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """Add `flag`: true on EVERY copy of a key that occurs more than once (NULL equals NULL).
 
     `exempt` rows are never flagged and never counted. `salt_on` must tell rows apart; it decides
-    only where a hot row is processed, never the result.
+    only where a hot row is processed, never the result. Call this on rows read from a table, before
+    any join: the key counts are a second, one-column pass over `df`.
     """
     keys = list(keys)
     salt_on = [c for c in salt_on if c in df.columns] or df.columns
     counted = df if exempt is None else df.where(~F.coalesce(exempt, F.lit(False)))
     repeated = key_counts(counted, keys).where("__rows > 1")
     names = [f"__k{i}" for i in range(len(keys))]
-    hot = hot_keys(repeated, keys, share, floor).select(
+    hot = hot_keys(repeated, keys, floor).select(
         *[F.col(k).alias(n) for k, n in zip(keys, names)], F.lit(True).alias("__hot")
     )
     cold = repeated.select(
