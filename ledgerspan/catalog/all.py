@@ -1,6 +1,6 @@
 """Imports every family, so the registry is complete."""
 
-from ledgerspan.catalog import curated, rules, scalars  # noqa: F401
+from ledgerspan.catalog import analytics, curated, rules, scalars  # noqa: F401
 from ledgerspan.catalog.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

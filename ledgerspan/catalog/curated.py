@@ -41,7 +41,8 @@ def resolution_entry(name: str, key: str, cte: str, build_rows) -> None:
 # Group and supplier rules fire on rows that staging would have rejected, so they see all of them.
 @query("v23_single_head_office", O.sql(f"SELECT cnpj, {ERRORS} FROM res_supplier", stg_companies="SELECT * FROM val_companies"))
 def v23(spark, sf):
-    return C.resolve_suppliers(staged(spark, sf, "companies")).select("cnpj", ERRORS)
+    annotated = Batch(spark, sf).table("val_companies", lambda: staged(spark, sf, "companies"))
+    return C.resolve_suppliers(annotated).select("cnpj", ERRORS)
 
 
 resolution_entry("v24_supplier_resolution", "cnpj", "res_supplier", lambda b: C.resolve_suppliers(b.staged("companies")))
