@@ -243,9 +243,15 @@ def r11(spark, sf):
     return rows.withColumns({"daily_rate": F.round("daily_rate", 6), "increment": F.round("increment", 2)})
 
 
-@query("r12_payment_schedule", osql("SELECT contract_id, CAST(CAST(unnest(generate_series(validity_start_date, greatest(validity_start_date, validity_end_date), INTERVAL 1 MONTH)) AS DATE) AS VARCHAR) AS due_date FROM portfolio WHERE day(validity_start_date) <= 28"))
+@query(
+    "r12_payment_schedule",
+    osql(
+        "SELECT contract_id, CAST(due AS VARCHAR) AS due_date FROM (SELECT contract_id, validity_start_date, validity_end_date, CAST(validity_start_date + to_months(CAST(i AS INTEGER)) AS DATE) AS due, i"
+        " FROM (SELECT *, unnest(range(0, date_diff('month', validity_start_date, greatest(validity_start_date, validity_end_date)) + 2)) AS i FROM portfolio)) WHERE i = 0 OR due <= validity_end_date"
+    ),
+)
 def r12(spark, sf):
-    rows = load(spark, sf, "portfolio").where(F.dayofmonth("validity_start_date") <= 28).select(
+    rows = load(spark, sf, "portfolio").select(
         "contract_id", F.col("validity_start_date").alias("cycle_start"), F.col("validity_end_date").alias("cycle_end")
     )
     return X.payment_schedule(rows).select("contract_id", "due_date")

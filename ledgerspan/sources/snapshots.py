@@ -15,6 +15,14 @@ from ledgerspan.sources.published import MAX_RECORDS_PER_FILE, read_json, write_
 from ledgerspan.sources.raw import FILE_STEMS
 
 MANIFEST_VERSION = "1.0"
+# Name of each source in a manifest.
+MANIFEST_NAMES = {
+    "companies": "empresas",
+    "risk": "homologacoes_risco",
+    "contracts": "contratos",
+    "amendments": "aditamentos",
+    "payments": "pagamentos",
+}
 
 
 class SnapshotError(ValueError):
@@ -38,7 +46,7 @@ def file_hashes(spark: SparkSession, paths: list[str], base: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
         "pathGlobFilter", "*.csv"
     ).load(paths)
-    relative = F.element_at(F.split("path", F.lit(base.rstrip("/").rsplit("/", 1)[-1] + "/"), 2), -1)
+    relative = F.substring_index("path", base.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
     return files.select(
         relative.alias("file"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")
     )
@@ -81,7 +89,8 @@ def write_snapshot(
         "created_at": datetime.now().astimezone().isoformat(),
         "parameters": parameters or {},
         "sources": {
-            n: {"path": p.rsplit("/", 1)[-1], "row_count": counts[n]} for n, p in zip(FILE_STEMS, paths)
+            MANIFEST_NAMES[n]: {"path": p.rsplit("/", 1)[-1], "row_count": counts[n]}
+            for n, p in zip(FILE_STEMS, paths)
         },
     }
     write_json(spark, manifest, f"{snapshot}/raw_manifest.json")
@@ -100,16 +109,23 @@ def compare_hashes(declared: DataFrame, actual: DataFrame) -> DataFrame:
     return old.join(new, "file", "full_outer").select("file", status.alias("problem")).where("problem IS NOT NULL")
 
 
+def declared_hashes(spark: SparkSession, snapshot: str, manifest: dict) -> DataFrame:
+    """Hashes stored with the snapshot: in the manifest when each source is one file, else in a table."""
+    entries = list(manifest["sources"].values())
+    if all("sha256" in e for e in entries):
+        return spark.createDataFrame([(e["path"], e["sha256"]) for e in entries], "file string, sha256 string")
+    return spark.read.parquet(f"{snapshot}/hashes")
+
+
 def audit_snapshot(spark: SparkSession, snapshot: str) -> DataFrame:
     """Problems of a stored snapshot against the hashes written with it."""
-    sources = list_sources(spark, snapshot)
-    declared = spark.read.parquet(f"{snapshot}/hashes")
-    return compare_hashes(declared, file_hashes(spark, sources, snapshot))
+    manifest = load_manifest(spark, snapshot)
+    paths = list(source_paths(snapshot, manifest).values())
+    return compare_hashes(declared_hashes(spark, snapshot, manifest), file_hashes(spark, paths, snapshot))
 
 
-def list_sources(spark: SparkSession, snapshot: str) -> list[str]:
-    manifest = load_manifest(spark, snapshot)
-    return [f"{snapshot}/{entry['path']}" for entry in manifest["sources"].values()]
+def source_paths(snapshot: str, manifest: dict) -> dict[str, str]:
+    return {n: f"{snapshot}/{manifest['sources'][k]['path']}" for n, k in MANIFEST_NAMES.items()}
 
 
 def load_manifest(spark: SparkSession, snapshot: str) -> dict:
@@ -117,7 +133,7 @@ def load_manifest(spark: SparkSession, snapshot: str) -> dict:
     missing = {"scenario_id", "snapshot_id", "as_of_date", "sources"}.difference(manifest)
     if missing:
         raise SnapshotError(f"Manifesto sem campos obrigatórios: {', '.join(sorted(missing))}.")
-    absent = [name for name in FILE_STEMS if name not in manifest["sources"]]
+    absent = [name for name in MANIFEST_NAMES.values() if name not in manifest["sources"]]
     if absent:
         raise SnapshotError(f"Manifesto sem a fonte obrigatória: {', '.join(absent)}.")
     return manifest
