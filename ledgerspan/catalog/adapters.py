@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerspan.catalog.store import stored
 from ledgerspan.functions.dates import calendar_attributes
 
 LOAD_DATE = "2024-06-30"
@@ -372,7 +373,7 @@ def _project(df: DataFrame, spec: dict, *extra) -> DataFrame:
     return df.select(*[F.expr(e).alias(c) for c, e in spec["columns"].items()], *extra)
 
 
-def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+def raw_rows(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """A RAW source with lineage; Parquet knows the row number inside its file."""
     spec = RAW[source]
     lineage = [
@@ -384,6 +385,11 @@ def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return _project(table(spark, sf_dir, spec["table"]), spec, *lineage)
 
 
+def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The RAW source as files, the way a batch receives it."""
+    return stored(spark, sf_dir, f"raw_{source}", lambda: raw_rows(spark, sf_dir, source))
+
+
 def calendar(spark: SparkSession) -> DataFrame:
     days = spark.range(1).select(
         F.explode(F.expr(f"sequence(DATE '{CALENDAR_FROM}', DATE '{CALENDAR_TO}')")).alias("calendar_date")

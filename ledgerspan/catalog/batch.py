@@ -6,14 +6,13 @@ as Parquet to the shared checkpoint folder of the cluster, and read by everythin
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspan.catalog import adapters as A
-from ledgerspan.operators.ordering import ensure_checkpoint_dir
+from ledgerspan.catalog.store import base_path, stored
 from ledgerspan.operators.rules import accepted
 from ledgerspan.plans import curated as C, staging as S
 from ledgerspan.plans.curated.contracts import CONTRACT_COLUMNS
@@ -25,22 +24,15 @@ from ledgerspan.plans.curated.spending import SPENDING_COLUMNS
 from ledgerspan.plans.curated.suppliers import SUPPLIER_COLUMNS, publish_names
 
 REFERENCE = date.fromisoformat(A.RISK_REFERENCE)
-_WRITTEN: set[str] = set()
 
 
 class Batch:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        ensure_checkpoint_dir(spark)
-        folder = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-        self.base = f"{spark.sparkContext.getCheckpointDir()}/batch-{folder}"
+        self.base = base_path(spark, sf_dir)
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{self.base}/{name}"
-        if path not in _WRITTEN:
-            build().write.mode("overwrite").parquet(path)
-            _WRITTEN.add(path)
-        return self.spark.read.parquet(path)
+        return stored(self.spark, self.sf_dir, name, build)
 
     def raw(self, source: str) -> DataFrame:
         return A.raw(self.spark, self.sf_dir, source)
