@@ -2,13 +2,15 @@
 
 Amounts are whole cents, so shares are computed in integer arithmetic and always add up. The
 group total, the rounded shares and the last row of each group come from hash aggregates that are
-joined back; no window buffers a group, so one contract may own a third of the rows.
+attached to the rows; no window buffers a group, and hot keys are spread over many tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerspan.operators.skew import HOT_FLOOR, attach
+
 CENTS = "decimal(18,0)"
 
 
@@ -21,7 +23,15 @@ def from_cents(cents: Column) -> Column:
 
 
 def allocate(
-    rows: DataFrame, key: str, amount: str, weight: str, order: list[str], *, eligible: Column, out: str
+    rows: DataFrame,
+    key: str,
+    amount: str,
+    weight: str,
+    order: list[str],
+    *,
+    eligible: Column,
+    out: str,
+    floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """Split `amount` (one value per key, repeated on its rows) over the eligible rows of the key.
 
@@ -37,11 +47,13 @@ def allocate(
             "__weight": F.when(ok, to_cents(F.col(weight))).otherwise(F.lit(0).cast(CENTS)),
         }
     )
-    totals = base.groupBy(F.col(key).alias("__key")).agg(
+    salt_on = [key, *order]
+    totals = base.groupBy(key).agg(
+        F.count("*").alias("__rows"),
         F.sum("__weight").cast(CENTS).alias("__total"),
         F.max(F.when(F.col("__ok"), F.struct(*order))).alias("__last"),
     )
-    sized = base.join(totals, F.col(key) == F.col("__key"), "left").drop("__key")
+    sized = attach(base, totals, [key], ["__total", "__last"], salt_on=salt_on, floor=floor)
     exceeds = F.col("__amount") > F.col("__total") + 1
     usable = F.col("__ok") & (F.col("__amount") > 0) & (F.col("__total") > 0) & ~exceeds
     # round(amount * weight / total) half-up, in integers
@@ -56,8 +68,10 @@ def allocate(
             f"{out}_exceeds": F.coalesce(exceeds, F.lit(False)),
         }
     )
-    given = shared.groupBy(F.col(key).alias("__key")).agg(F.sum("__share").cast(CENTS).alias("__given"))
-    final = shared.join(given, F.col(key) == F.col("__key"), "left").drop("__key")
+    given = shared.groupBy(key).agg(
+        F.count("*").alias("__rows"), F.sum("__share").cast(CENTS).alias("__given")
+    )
+    final = attach(shared, given, [key], ["__given"], salt_on=salt_on, floor=floor)
     cents = F.when(F.col("__is_last"), F.col("__amount") - F.col("__given")).otherwise(F.col("__share"))
     return final.withColumn(out, from_cents(cents)).drop(
         "__ok", "__amount", "__weight", "__total", "__last", "__is_last", "__share", "__given"

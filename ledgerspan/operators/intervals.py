@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerspan.operators.skew import join_unique
+
 
 def flag_contained(
     df: DataFrame, key: str, start: str, end: str, *, inner: Column, outer: Column, flag: str
@@ -25,13 +27,8 @@ def flag_contained(
     so_far = Window.partitionBy("__key").orderBy("__start").rowsBetween(Window.unboundedPreceding, 0)
     reach = reach.select("__key", "__start", F.max("__end").over(so_far).alias("__reach"))
     reach = reach.where(F.col("__reach").isNotNull())
-    tested = df.withColumn("__from", F.when(inner, F.col(start)))
-    joined = tested.join(
-        reach, (F.col(key) == F.col("__key")) & (F.col("__from") == F.col("__start")), "left"
-    )
-    return joined.withColumn(flag, F.coalesce(F.col("__reach") >= F.col(end), F.lit(False))).drop(
-        "__from", "__key", "__start", "__reach"
-    )
+    joined = join_unique(df, reach, [key, F.when(inner, F.col(start))], ["__key", "__start"])
+    return joined.withColumn(flag, F.coalesce(F.col("__reach") >= F.col(end), F.lit(False))).drop("__reach")
 
 
 def overlapped_periods(df: DataFrame, start: str, end: str, periods: DataFrame) -> DataFrame:

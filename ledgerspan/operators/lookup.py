@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerspan.functions.dates import key_name
+from ledgerspan.operators.skew import join_unique
 
 # A DATE of four-digit year has at most 9999 * 366 values; a calendar within it is always
 # broadcastable (16 bytes per day), whatever the size of the facts.
@@ -24,8 +25,8 @@ def flag_member(df: DataFrame, key: str, valid: DataFrame, valid_key: str, flag:
     is small and otherwise runs a sort-merge join, splitting skewed partitions of `df`.
     """
     keys = valid.select(F.col(valid_key).alias("__valid")).where(F.col("__valid").isNotNull()).distinct()
-    joined = df.join(keys, F.col(key) == F.col("__valid"), "left")
-    return joined.withColumn(flag, F.col("__valid").isNotNull()).drop("__valid")
+    joined = join_unique(df, keys.withColumn(flag, F.lit(True)), [key], ["__valid"])
+    return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def flag_member_unique(df: DataFrame, key: str, valid: DataFrame, valid_key: str, flag: str) -> DataFrame:

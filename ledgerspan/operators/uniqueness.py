@@ -1,38 +1,23 @@
-"""Flags and filters for repeated keys that survive one key holding a large share of the rows.
+"""Flags and filters for repeated keys, and the latest row per key.
 
 A window `count(*) over (partition by key)` would buffer a whole group in one task. Here the key
 counts come from a hash aggregate (map-side partial, so a hot key shrinks to one row per task)
-and the flag is joined back. The MAX_HOT most frequent keys go through a broadcast list instead, and
-their rows are spread over SALTS reducers; every other key has at most 1 / MAX_HOT of the rows.
+and the flag is attached in a way that spreads hot keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_HOT = 1_000  # size bound of the broadcast list
-HOT_FLOOR = 100_000  # no key below this many rows is worth separating
-SALTS = 256
-
-
-def _same(pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(and_, [F.col(mine).eqNullSafe(F.col(theirs)) for mine, theirs in pairs])
+from ledgerspan.operators.skew import HOT_FLOOR, attach
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("__rows"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], floor: int = HOT_FLOOR) -> DataFrame:
-    """The most frequent keys, never more than MAX_HOT of them (a top-k, not a full sort)."""
-    frequent = counts.where(F.col("__rows") > floor)
-    return frequent.orderBy(F.col("__rows").desc()).limit(MAX_HOT).select(*keys)
-
-
 def flag_repeated(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,35 +29,14 @@ def flag_repeated(
 ) -> DataFrame:
     """Add `flag`: true on EVERY copy of a key that occurs more than once (NULL equals NULL).
 
-    `exempt` rows are never flagged and never counted. `salt_on` must tell rows apart; it decides
-    only where a hot row is processed, never the result. Call this on rows read from a table, before
-    any join: the key counts are a second, one-column pass over `df`.
+    `exempt` rows are never flagged and never counted. Call this on rows read from a table, before
+    any join: the key counts are a second, narrow pass over `df`.
     """
-    keys = list(keys)
     salt_on = [c for c in salt_on if c in df.columns] or df.columns
     counted = df if exempt is None else df.where(~F.coalesce(exempt, F.lit(False)))
-    repeated = key_counts(counted, keys).where("__rows > 1")
-    names = [f"__k{i}" for i in range(len(keys))]
-    hot = hot_keys(repeated, keys, floor).select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)], F.lit(True).alias("__hot")
-    )
-    cold = repeated.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)],
-        F.lit(0).alias("__bucket"),
-        F.lit(True).alias("__again"),
-    )
-    pairs = list(zip(keys, names))
-    marked = df.join(F.broadcast(hot), _same(pairs), "left").drop(*names)
-    spread = F.pmod(F.hash(*salt_on), F.lit(SALTS)) + 1
-    skip = F.col("__hot").isNotNull()
-    if exempt is not None:
-        skip = skip | F.coalesce(exempt, F.lit(False))
-    marked = marked.withColumn("__salt", F.when(skip, spread).otherwise(0))
-    joined = marked.join(cold, _same(pairs) & (F.col("__salt") == F.col("__bucket")), "left")
-    value = F.coalesce(F.col("__hot"), F.col("__again"), F.lit(False))
-    if exempt is not None:
-        value = value & ~F.coalesce(exempt, F.lit(False))
-    return joined.withColumn(flag, value).drop("__hot", "__salt", "__again", "__bucket", *names)
+    repeated = key_counts(counted, keys).where("__rows > 1").withColumn(flag, F.lit(True))
+    flagged = attach(df, repeated, keys, [flag], salt_on=salt_on, exempt=exempt, floor=floor)
+    return flagged.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def drop_ambiguous(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

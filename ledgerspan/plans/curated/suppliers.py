@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerspan.functions.text import CNPJ_FORMAT, CNPJ_ROOT_FORMAT, group_root, matches, prefixed_key, strip
 from ledgerspan.operators.lookup import flag_member
 from ledgerspan.operators.rules import Rule, annotate, formatted, one_of
+from ledgerspan.operators.skew import join_unique
 from ledgerspan.operators.uniqueness import flag_repeated
 from ledgerspan.plans.curated.resolution import ERRORS
 from ledgerspan.plans.staging.companies import BRANCH, HEAD_OFFICE
@@ -45,8 +46,7 @@ def with_head_office_count(df: DataFrame) -> DataFrame:
         .groupBy(F.col("cnpj8").alias("__root"))
         .agg(F.count("*").alias("__offices"))
     )
-    joined = df.join(counts, F.col("cnpj8") == F.col("__root"), "left").drop("__root")
-    return joined.withColumn("__offices", F.coalesce("__offices", F.lit(0)))
+    return join_unique(df, counts, ["cnpj8"], ["__root"]).withColumn("__offices", F.coalesce("__offices", F.lit(0)))
 
 
 def resolve_suppliers(companies: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerspan.functions.numbers import lenient_bigint, lenient_double
 from ledgerspan.functions.text import CNPJ_FORMAT, CNPJ_ROOT_FORMAT, digits_only, group_root, strip
 from ledgerspan.operators.rules import Rule, annotate, formatted, not_negative, one_of, parsed, required
+from ledgerspan.operators.skew import join_unique
 from ledgerspan.operators.uniqueness import drop_ambiguous, flag_repeated
 from ledgerspan.sources.raw import conform
 
@@ -75,11 +76,7 @@ def with_head_office(rows: DataFrame) -> DataFrame:
     heads = drop_ambiguous(heads, "cnpj", COMPARED_WITH_HEAD)
     side = heads.select(F.col("cnpj").alias("__head_cnpj"), F.struct(*COMPARED_WITH_HEAD).alias("__head"))
     parent = F.when(F.col("hierarquia") == BRANCH, F.col("cnpj_matriz"))
-    return (
-        rows.withColumn("__parent", parent)
-        .join(side, F.col("__parent") == F.col("__head_cnpj"), "left")
-        .drop("__parent", "__head_cnpj")
-    )
+    return join_unique(rows, side, [parent], ["__head_cnpj"])
 
 
 def stage_companies(raw: DataFrame) -> DataFrame:

@@ -103,12 +103,13 @@ def test_as_of_prefers_the_year_of_the_event(spark):
     assert {r.i: r.found for r in out.collect()} == {i: brute(k, d) for i, k, d in events}
 
 
-def test_allocation_adds_up_to_the_cent(spark):
+@mark.parametrize("floor", [0, 100_000])
+def test_allocation_adds_up_to_the_cent(spark, floor):
     rows = [("c1", n, Decimal("100.00"), Decimal(w), True) for n, w in ((0, "33.33"), (1, "33.33"), (2, "40.01"))]
     rows += [("c2", 0, Decimal("10.00"), Decimal("5.00"), True), ("c2", 1, Decimal("10.00"), Decimal("9.00"), False)]
     rows += [("c3", 0, Decimal("1.00"), Decimal("2.00"), False), ("c4", 0, Decimal("0.00"), Decimal("2.00"), True)]
     df = spark.createDataFrame(rows, "k string, n int, amount decimal(18,2), w decimal(18,2), ok boolean")
-    out = allocate(df, "k", "amount", "w", ["n"], eligible=F.col("ok"), out="part").collect()
+    out = allocate(df, "k", "amount", "w", ["n"], eligible=F.col("ok"), out="part", floor=floor).collect()
     got = {(r.k, r.n): (r.part, r.part_exceeds) for r in out}
     assert sum(got["c1", n][0] for n in range(3)) == Decimal("100.00")
     assert got["c1", 0] == (Decimal("31.25"), False)
