@@ -44,9 +44,17 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    from ledgerspan.catalog.adapters import RAW, raw
     from ledgerspan.catalog.all import QUERIES
+    from ledgerspan.catalog.batch import Batch
 
-    spark.read.parquet(f"{SF_DIR}/lineitem.parquet").groupBy("l_returnflag").count().collect()  # warm-up of the JVM
+    start = time.perf_counter()
+    for source in RAW:
+        raw(spark, SF_DIR, source)
+    setup = {"raw_files": round(time.perf_counter() - start, 3)}
+    start = time.perf_counter()
+    Batch(spark, SF_DIR).resolved()
+    setup["staging_and_curated_tables"] = round(time.perf_counter() - start, 3)
     seconds = {}
     for name in HEADLINE:
         start = time.perf_counter()
@@ -60,6 +68,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "setup": setup,
                 "sf": os.path.basename(SF_DIR.rstrip("/")),
             }
         )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerspan.operators.ordering import ensure_checkpoint_dir
 from ledgerspan.operators.skew import HOT_FLOOR, attach
 
 CENTS = "decimal(18,0)"
@@ -68,10 +69,13 @@ def allocate(
             f"{out}_exceeds": F.coalesce(exceeds, F.lit(False)),
         }
     )
-    given = shared.groupBy(key).agg(
-        F.count("*").alias("__rows"), F.sum("__share").cast(CENTS).alias("__given")
-    )
-    final = attach(shared, given, [key], ["__given"], salt_on=salt_on, floor=floor)
+    # Read three times below; without the checkpoint each reader would repeat the joins above.
+    ensure_checkpoint_dir(shared.sparkSession)
+    shared = shared.checkpoint()
+    given = shared.groupBy(F.col(key).alias("__key")).agg(F.sum("__share").cast(CENTS).alias("__given"))
+    # Only the last row of a key needs the sum of the others: one row per key on both sides.
+    last = shared.where("__is_last").join(given, F.col(key) == F.col("__key")).drop("__key")
+    final = last.unionByName(shared.where("NOT __is_last").withColumn("__given", F.lit(None).cast(CENTS)))
     cents = F.when(F.col("__is_last"), F.col("__amount") - F.col("__given")).otherwise(F.col("__share"))
     return final.withColumn(out, from_cents(cents)).drop(
         "__ok", "__amount", "__weight", "__total", "__last", "__is_last", "__share", "__given"

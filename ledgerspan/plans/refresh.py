@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerspan.operators.lookup import assert_unique
@@ -59,13 +58,11 @@ class Run:
         return read_table(self.spark, self.path("curated/exceptions", table))
 
     def publish(self, table: str, rows: DataFrame, columns, exception_table: str) -> None:
-        """Write resolved rows and exceptions of one annotated frame, evaluated once."""
-        held = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_table(published(held, columns), self.path("curated", table))
-            write_table(exceptions(held), self.path("curated/exceptions", exception_table))
-        finally:
-            held.unpersist()
+        """Evaluate the rules once into a stored table, then write resolved rows and exceptions from it."""
+        write_table(rows, self.path("annotated", table))
+        stored = read_table(self.spark, self.path("annotated", table))
+        write_table(published(stored, columns), self.path("curated", table))
+        write_table(exceptions(stored), self.path("curated/exceptions", exception_table))
 
 
 def stage_all(run: Run, snapshot: str, manifest: dict) -> dict[str, dict]:
@@ -78,6 +75,7 @@ def stage_all(run: Run, snapshot: str, manifest: dict) -> dict[str, dict]:
         results[MANIFEST_NAMES[source]] = publish_stage(
             build(raw),
             table,
+            run.path("annotated", table),
             run.path("staging", table),
             run.path("staging/exceptions", table),
             source_file=manifest["sources"][MANIFEST_NAMES[source]]["path"],

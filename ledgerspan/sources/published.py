@@ -6,7 +6,6 @@ import json
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerspan.operators.rules import accepted, rejected, rule_counts
@@ -101,6 +100,7 @@ def stage_counts(annotated: DataFrame, column: str = "validation_errors") -> Dat
 def publish_stage(
     annotated: DataFrame,
     table: str,
+    annotated_path: str,
     valid_path: str,
     invalid_path: str,
     *,
@@ -109,28 +109,25 @@ def publish_stage(
 ) -> dict[str, object]:
     """Write valid rows and exceptions of one staged source; return its manifest.
 
-    The annotated frame feeds two writes, one count and one rule count, so it is persisted (memory
-    and disk; lost blocks are recomputed). Only the counts reach the driver: the number of distinct
-    messages is the number of rules.
+    The rules feed two tables and two counts, so they are evaluated once into `annotated_path` and
+    everything else reads that: no executor memory is held, and a lost executor recomputes nothing
+    that is already written. The counts read one column. Only they reach the driver: the number of
+    distinct messages is the number of rules.
     """
-    held = annotated.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        valid = accepted(held)
-        valid = conform_to_schema(valid, table) if table in STAGING_SCHEMAS else valid
-        schema = write_table(valid, valid_path)
-        write_table(rejected(held), invalid_path)
-        counts = stage_counts(held).first()
-        errors = {r["message"]: r["violations"] for r in rule_counts(held).collect()}
-    finally:
-        held.unpersist()
+    write_table(annotated, annotated_path)
+    stored = annotated.sparkSession.read.parquet(annotated_path)
+    valid = accepted(stored)
+    valid = conform_to_schema(valid, table) if table in STAGING_SCHEMAS else valid
+    schema = write_table(valid, valid_path)
+    write_table(rejected(stored), invalid_path)
     return {
         "table": table,
         "contract_version": CONTRACT_VERSION,
         "source_file": source_file,
         "batch_id": batch_id,
-        "row_counts": counts.asDict(),
+        "row_counts": stage_counts(stored).first().asDict(),
         "schema": schema,
-        "validation_error_counts": errors,
+        "validation_error_counts": {r["message"]: r["violations"] for r in rule_counts(stored).collect()},
     }
 
 
