@@ -52,7 +52,7 @@ def f03(spark, sf):
 def f04(spark, sf):
     trimmed = T.strip("text")
     return A.table(spark, sf, "documents").select(
-        "doc_id", F.md5(trimmed).alias("trimmed"), F.length(trimmed).alias("n")
+        "doc_id", F.md5(trimmed).alias("trimmed"), F.length(trimmed).cast("bigint").alias("n")
     )
 
 
