@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspan.llm import mixing, rules, simhash
+from ledgerspan.llm import contamination, mixing, rules, sharding, simhash, tokens
 from ledgerspan.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +128,56 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     judged = rules.report(table(spark, sf_dir, "documents"))
     return judged.withColumns({c: F.coalesce(F.round(c, 6), F.lit(-1.0)) for c in ("class_distance", "word_distance")})
+
+
+def _words_sql(text: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op4_contamination",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words_sql("text")} AS ws FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, {_words_sql("text")} AS ws FROM benchmark),
+k AS (SELECT q, item_id, ws, least({contamination.WINDOW}, len(ws)) AS n FROM i WHERE len(ws) > 0),
+w AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, n, array_to_string(ws[s:s + n - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS s FROM k)),
+l AS (SELECT DISTINCT n FROM w),
+x AS (SELECT r, n, s, array_to_string(ws[s:s + n - 1], ' ') AS phrase FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM d, l WHERE len(ws) >= n)),
+f AS (SELECT x.r, x.n, x.s, w.item FROM x JOIN w ON x.n = w.n AND x.phrase = w.phrase),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM f) GROUP BY r),
+g AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM f GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {contamination.CONTAMINATED} * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN g USING (r)""",
+)
+def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    return contamination.report(table(spark, sf_dir, "documents"), contamination.benchmark(spark, sf_dir))
+
+
+@query(
+    "op9_shards",
+    f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(strlen(text), 0) AS n_bytes,
+    CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')))[1:15] AS BIGINT) AS bits
+  FROM documents
+), p AS (
+  SELECT *, sum(n_bytes) OVER (PARTITION BY depth, prefix) AS shard_bytes
+  FROM (SELECT d.*, depth, bits >> ({sharding.BITS} - depth) AS prefix FROM d, (SELECT unnest(range(0, 41)) AS depth) WHERE n_bytes <= {sharding.LIMIT})
+), m AS (SELECT r, min(depth) AS depth FROM p WHERE shard_bytes <= {sharding.LIMIT} GROUP BY r)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), CAST(depth AS INT), '0') END AS shard,
+  CAST(depth AS INT) AS depth, CAST(shard_bytes AS BIGINT) AS shard_bytes
+FROM p JOIN m USING (r, depth)""",
+)
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document."""
+    return sharding.report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the public byte-level BPE."""
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
