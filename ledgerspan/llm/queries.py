@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspan.llm import contamination, mixing, rules, sharding, simhash, tokens
+from ledgerspan.llm import contamination, hmm, mixing, rules, sharding, simhash, tokens
 from ledgerspan.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,9 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the public byte-level BPE."""
     return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op10_hidden_markov")
+def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the add-one unigram and the hidden Markov model."""
+    return hmm.report(table(spark, sf_dir, "documents"))
