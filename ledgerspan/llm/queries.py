@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspan.llm import contamination, hmm, mixing, rules, sharding, simhash, tokens
+from ledgerspan.llm import contamination, hmm, mixing, paragraphs, rules, sharding, simhash, tokens
 from ledgerspan.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +187,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every document under the add-one unigram and the hidden Markov model."""
     return hmm.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_repeated_paragraphs")
+def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of all paragraphs that repeat, with the document that keeps each."""
+    return paragraphs.repeats(table(spark, sf_dir, "documents")).drop("mark")
