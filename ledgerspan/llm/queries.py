@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspan.llm import contamination, hmm, mixing, paragraphs, rules, sharding, simhash, tokens
+from ledgerspan.llm import contamination, hmm, mixing, paragraphs, quality_model, rules, sharding, simhash, tokens
 from ledgerspan.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +193,9 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The places of all paragraphs that repeat, with the document that keeps each."""
     return paragraphs.repeats(table(spark, sf_dir, "documents")).drop("mark")
+
+
+@query("op2_quality_model")
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_model.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
