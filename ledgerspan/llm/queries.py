@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspan.llm import contamination, hmm, mixing, paragraphs, quality_model, rules, sharding, simhash, tokens
+from ledgerspan.llm import contamination, hmm, mixing, paragraphs, quality_model, rules, secrets, sharding, simhash, tokens
 from ledgerspan.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,3 +199,9 @@ def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality_model.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_secret_findings")
+def op5_secret_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and verdict of every candidate for a secret; the candidates themselves stay out of the result."""
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("candidate")
