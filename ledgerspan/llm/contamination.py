@@ -166,15 +166,15 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, with the columns of `docs`."""
-    number = fresh(docs.columns, "__doc")
+    number, bad_number = fresh(docs.columns, "__doc"), fresh(docs.columns, "__contaminated")
     numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "decontamination-docs")
     words = test_words(items)
     vocab = vocabulary(words)
     index = build_index(numbered, vocab, number)
     found = hits(phrases(index, words, vocab, window))
     judged = found.join(closing(index, vocab), "doc").where(_contaminated(F.col("n_hit"), F.col("n_words")))
-    bad = stored(judged.select("doc"), "contaminated")
-    return numbered.join(bad, F.col(number) == F.col("doc"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = stored(judged.select(F.col("doc").alias(bad_number)), "contaminated")
+    return numbered.join(bad, F.col(number) == F.col(bad_number), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def benchmark(spark, sf_dir: str) -> DataFrame:

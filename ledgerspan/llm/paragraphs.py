@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerspan.llm.common import fresh, stored
 from ledgerspan.llm.components import components
@@ -175,8 +175,9 @@ def paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, mark, first, last, n_words, component_id, removed): the places of all repeated paragraphs.
 
-    A cluster's paragraph in the smallest doc_id (ties: the smallest mark and line) stays, all others are
-    `removed`; component_id is that doc_id. Lines are numbered from 0. Paragraphs of one document that
+    A cluster's paragraph in the smallest doc_id (ties: the smallest mark and line) stays, and so does what
+    overlaps it; all others are `removed`. component_id is that doc_id. Of runs of a cluster that end on
+    the same line the shortest counts. Lines are numbered from 0. Paragraphs of one document that
     overlap don't count as repeats of each other. Null, empty and short texts have no paragraphs, rows
     alike in id and text count as one document, and an empty table gives no rows.
     """
@@ -231,10 +232,12 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     kept = rooted.where("repeated").groupBy(F.col("root").alias("cluster")).agg(F.min("at").alias("keeper"))
     cluster = stored(rooted.where("repeated").join(kept, F.col("root") == F.col("cluster")).select("of", "keeper"), "paragraph-keepers")
-    placed = found.select("*", place.alias("place")).join(cluster, F.col("class") == F.col("of"))
-    return placed.select(
-        "doc_id", "mark", "first", "last", "n_words", F.col("keeper.doc_id").alias("component_id"), (F.col("place") != F.col("keeper")).alias("removed")
-    ).distinct()
+    placed = found.join(cluster, F.col("class") == F.col("of")).select("doc_id", "mark", "first", "last", "n_words", "keeper").distinct()
+    # a run that holds a shorter one of its cluster with the same end repeats only for the sake of that one
+    next_in_text = Window.partitionBy("doc_id", "mark", "keeper").orderBy("first")
+    least = placed.withColumn("next", F.lead("last").over(next_in_text)).where(F.col("next").isNull() | (F.col("next") > F.col("last")))
+    stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & F.col("mark").eqNullSafe(F.col("keeper.mark")) & (F.col("first") <= F.col("keeper.last")) & (F.col("keeper.first") <= F.col("last"))
+    return least.select("doc_id", "mark", "first", "last", "n_words", F.col("keeper.doc_id").alias("component_id"), (~stays).alias("removed"))
 
 
 def without_repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -144,7 +144,7 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     Of rows that repeat the id, the one whose text hashes lowest stays; rows alike in both are copies,
     and any single one stays. Each row gets a number when it is stored, which tells copies apart.
     """
-    mark, number = fresh(docs.columns, "__fp"), fresh(docs.columns, "__row")
+    mark, number, kept_number = (fresh(docs.columns, n) for n in ("__fp", "__row", "__kept"))
     numbered = stored(docs.withColumns({mark: fingerprint("text"), number: F.monotonically_increasing_id()}), "simhash-docs")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text").alias("h"), F.col(number).alias("row"))
     distinct = stored(numbered.groupBy(F.col(mark).alias("fp")).agg(F.min(order).alias("first")), "simhash-values")
@@ -152,6 +152,6 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     rooted = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "first", F.coalesce("component", "fp").alias("root")
     )
-    best = stored(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row")), "simhash-kept")
-    kept = numbered.join(best, F.col(number) == F.col("row"), "left_semi")
+    best = stored(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(kept_number)), "simhash-kept")
+    kept = numbered.join(best, F.col(number) == F.col(kept_number), "left_semi")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,0 +1,400 @@
+"""Each operator against a brute-force version, an exact round trip or held-out accuracy."""
+
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import frame  # tests/llm/conftest.py
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from ledgerspan.llm import contamination, hmm, mixing, paragraphs, quality_model, rules, secrets, sharding, simhash, tokens
+from ledgerspan.llm.components import components
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+VOCABULARY = [a + b for a in ("ka", "lo", "mi", "nu", "pe", "ra", "si", "to") for b in ("na", "be", "ri", "do", "lu", "xa", "wo", "ty", "ge", "qi")]
+
+
+def prose(seed, n, per_line=12):
+    rng = random.Random(seed)
+    words = [rng.choice(VOCABULARY) for _ in range(n)]
+    return "\n".join(" ".join(words[i : i + per_line]) for i in range(0, n, per_line))
+
+
+def edited(text, seed, n):
+    rng, words = random.Random(seed), text.split(" ")
+    for i in rng.sample(range(len(words)), n):
+        words[i] = f"edit{seed}"
+    return " ".join(words)
+
+
+# 1
+
+
+def test_targets_stop_at_twice_the_size_and_share_the_excess(spark):
+    rng = random.Random(1)
+    rows = [(i, prose(i, 1 + rng.randrange(60)), "en", rng.choice(["a", "b", "B", "é", None])) for i in range(600)]
+    got = {r["doc_id"]: r for r in mixing.mixture(frame(spark, rows)).collect()}
+    size = {i: len(WORDS.findall(t)) for i, t, *_ in rows}
+    total = Counter()
+    for i, _, _, s in rows:
+        total[s] += size[i]
+    order = sorted((s for s in total if s is not None)) + ([None] if None in total else [])
+    weight = dict(zip(order, itertools.cycle((3, 1, 2))))
+    left, open_, target = 1.5 * sum(total.values()), set(order), {}
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > 2 * total[s]}
+        if not over:
+            break
+        for s in over:
+            target[s] = 2.0 * total[s]
+            left -= target[s]
+        open_ -= over
+    target |= share
+    for i, _, _, s in rows:
+        assert got[i]["size"] == size[i] and got[i]["source_size"] == total[s]
+        assert got[i]["target"] == pytest.approx(target[s]) and got[i]["taken"] <= 2 * size[i]
+    for s in order:
+        taken = sum(got[i]["taken"] for i, _, _, x in rows if x == s)
+        assert abs(taken - target[s]) < 0.2 * total[s]
+
+
+def test_emitted_copies_are_those_taken(spark):
+    docs = frame(spark, [(i, prose(i, 5 + i % 7), "en", f"s{i % 3}") for i in range(90)])
+    copies = Counter(r["doc_id"] for r in mixing.emit(docs).collect())
+    assert all(r["copies"] == copies[r["doc_id"]] for r in mixing.mixture(docs).collect())
+
+
+# 2
+
+
+def test_held_out_quality(spark):
+    good = [(i, prose(i, 80 + i % 50)) for i in range(300)]
+    bad = [(1000 + i, " | ".join(prose(i, 40 + i % 60).split())) for i in range(150)] + [(2000 + i, (f"w{i} " * 90)) for i in range(150)]
+    marks = spark.createDataFrame([(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad], "doc_id long, quality int, toxic int")
+    got = quality_model.report(frame(spark, good + bad), marks).collect()
+    held = [r for r in got if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+    assert np.mean([r["predicted"] == (r["doc_id"] < 1000) for r in held]) > 0.97
+    assert all(r["predicted"] == (r["score"] >= 0.3) and 0 <= r["score"] <= 1 for r in got)
+
+
+def test_pairs_learn_what_single_features_cannot():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    model = quality_model.fit(x[:3000], y[:3000])
+    assert (0, 1) in model.pairs and ((model.scores(x[3000:]) > 0.5) == y[3000:]).mean() > 0.9
+
+
+# 3
+
+
+def brute_paragraphs(rows):
+    cut = []
+    for i, t in rows:
+        lines = [line.lower().split() for line in t.split("\n")]
+        for a, b in paragraphs.runs([len(w) for w in lines]):
+            w = [x for line in lines[a : b + 1] for x in line]
+            cut.append((i, a, b, {tuple(w[k : k + 5]) for k in range(len(w) - 4)}))
+    parent = list(range(len(cut)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    linked = set()
+    for (i, x), (j, y) in itertools.combinations(enumerate(cut), 2):
+        if x[0] == y[0] and x[1] <= y[2] and y[1] <= x[2]:
+            continue
+        if len(x[3] & y[3]) >= 0.8 * len(x[3] | y[3]):
+            parent[find(j)] = find(i)
+            linked |= {i, j}
+    keeper = {}
+    for i in linked:
+        keeper[find(i)] = min(keeper.get(find(i), cut[i][:3]), cut[i][:3])
+    out = set()
+    for i in linked:
+        d, first, last, _ = cut[i]
+        k = keeper[find(i)]
+        if any(find(j) == find(i) and cut[j][0] == d and first < cut[j][1] and cut[j][2] == last for j in linked):
+            continue
+        out.add((d, first, last, k[0], not (k[0] == d and k[1] <= last and first <= k[2])))
+    return out
+
+
+def test_repeated_paragraphs(spark):
+    passage = prose(999, 60, per_line=60)
+    two_lines = prose(998, 70, per_line=35)
+    rows = [(i, prose(i, 150, per_line=30)) for i in range(30)]
+    rows += [(100 + i, prose(100 + i, 60) + "\n" + passage + "\n" + prose(200 + i, 90)) for i in range(5)]
+    rows += [(110 + i, prose(300 + i, 40) + "\n" + edited(passage, i, 1)) for i in range(4)]
+    rows += [(120 + i, prose(400 + i, 64) + "\n" + two_lines + "\n" + prose(500 + i, 20)) for i in range(3)]
+    rows += [(130, rows[0][1])]
+    got = {(r["doc_id"], r["first"], r["last"], r["component_id"], r["removed"]) for r in paragraphs.repeats(frame(spark, rows)).collect()}
+    assert got == brute_paragraphs(rows)
+    found = {g[0] for g in got}
+    assert found == {0, 130, *range(100, 105), *range(110, 114), *range(120, 123)}
+    left = {r["doc_id"]: r["text"] for r in paragraphs.without_repeats(frame(spark, rows)).collect()}
+    assert left[100] == dict(rows)[100] and passage not in left[101] and len(left[101].split()) == 150
+    assert left[5] == rows[5][1] and left[130] == ""
+
+
+def test_bands_reach_their_recall():
+    bands = paragraphs.tune_bands(0.8, 0.998, 3)
+    assert 1 - (1 - 0.8**3) ** bands >= 0.998 > 1 - (1 - 0.8**3) ** (bands - 1)
+
+
+# 4
+
+
+def brute_hits(text, items, window=13):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = lambda t: word.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    words, hit, ids = low(text), set(), set()
+    for i, t in items:
+        w = low(t)
+        n = min(window, len(w))
+        parts = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
+        for k in range(len(words) - n + 1) if n else ():
+            if tuple(words[k : k + n]) in parts:
+                hit |= set(range(k, k + n))
+                ids.add(str(i))
+    digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    return len(words), len(hit), len(ids), digest, len(hit) > 0 and 20 * len(hit) >= len(words)
+
+
+def test_contamination(spark):
+    items = [(i, prose(5000 + i, 15 + 3 * i)) for i in range(8)] + [(8, "just four short words"), (9, "a a a a a a a a a a a a a a"), (10, ""), (11, None), (8, "just four short words")]
+    rows = [(i, prose(i, 100)) for i in range(10)]
+    rows += [(20 + i, prose(20 + i, 30) + " " + items[i][1].upper() + " " + prose(40 + i, 30)) for i in range(8)]
+    rows += [(30, " ".join(items[7][1].split()[2:17])), (31, " ".join(items[7][1].split()[2:14])), (32, "JUST-four,short;words"), (33, "a " * 30), (34, prose(7, 900) + " just four short words")]
+    rows += [(35, "…just four short words” naïve É"), (36, items[3][1] + " and " + items[3][1])]
+    want = {i: brute_hits(t, items) for i, t in rows}
+    got = contamination.report(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got} == want
+    kept = contamination.drop_contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == {i for i in want if not want[i][4]}
+
+
+def test_proximity(spark):
+    docs = frame(spark, [(1, "alpha x x beta"), (2, "beta x alpha"), (3, "alpha " + "x " * 9 + "beta"), (4, "alpha only")])
+    words = contamination.test_words(spark.createDataFrame([(0, "alpha beta")], "item_id long, text string"))
+    vocab = contamination.vocabulary(words)
+    index = contamination.build_index(docs, vocab)
+    near = contamination.proximity(index, words, vocab, within=4).join(contamination.closing(index, vocab), "doc")
+    assert {r["doc_id"] for r in near.collect()} == {1, 2}
+
+
+# 5
+
+
+def test_secrets(spark):
+    rng = random.Random(5)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = []
+    for i in range(120):
+        kind = i % 4
+        middle = [f"password={hexes(18)}", "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)), f"card {rng.randrange(10**15, 10**16)}", f"/home/data/file{i}/the_image_page_{i}"][kind]
+        rows.append((i, f"{prose(i, 20)} {middle} {prose(900 + i, 10)}"))
+    docs = frame(spark, rows)
+    got = secrets.scan(docs).collect()
+    texts = dict(rows)
+    assert all(texts[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["candidate"] for r in got)
+    assert {r["doc_id"] for r in got if r["is_secret"]} == {i for i in range(120) if i % 4 < 2}
+    clean = {r["doc_id"]: r["text"] for r in secrets.masked(docs).collect()}
+    assert all(("*" * 18 in clean[i]) if i % 4 < 2 else clean[i] == texts[i] for i in texts)
+
+
+# 6
+
+
+def test_token_counts_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokens.default_path())
+    texts = [prose(i, 40) for i in range(20)] + ["a<|endoftext|>b  c", "中文 \U0001f600 x  y", "don't WE'LL   \n\n  x\t\ty  ", "²½ 12éİx'S 'll\xad", "\x1c \x1d\x85  z", "naïve x", " "]
+    got = tokens.token_counts(frame(spark, list(enumerate(texts)))).collect()
+    for r in got:
+        text = texts[r["doc_id"]]
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (n, len(text.encode()), n > 512)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(min_codepoint=9, max_codepoint=0x24F), st.sampled_from("  \n\t'stre1½ª.-!")), max_size=40))
+def test_cutting_agrees_with_the_library(text):
+    class Sent:
+        value: dict = {}
+
+    tokenizer = tokens._tools(tokens.default_path())[0]
+    assert tokens.counter(tokens.default_path(), Sent)(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+# 7
+
+
+def test_simhash_groups(spark):
+    import xxhash
+
+    def brute(t):
+        w = WORDS.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+        if not w:
+            return 0
+        s = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or [" ".join(w)]
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in s]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    rows = [(i, prose(i // 6, 150) if i % 6 == 0 else edited(prose(i // 6, 150), i, i % 6)) for i in range(180)] + [(500, ""), (501, None), (502, "A b"), (503, "a B")]
+    value = {i: brute(t) for i, t in rows}
+    parent = {i: i for i in value}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(value, 2):
+        if (value[i] ^ value[j]).bit_count() <= 4:
+            a, b = sorted((find(i), find(j)))
+            parent[b] = a
+    got = simhash.groups(frame(spark, rows))
+    out = {r["doc_id"]: (r["f"], r["component_id"]) for r in got.withColumn("f", simhash.hex_digits(F.col("fp"))).collect()}
+    assert out == {i: (f"{value[i]:016x}", find(i)) for i in value}
+    assert sorted(r["doc_id"] for r in simhash.keep_one(frame(spark, rows + rows)).collect()) == sorted({find(i) for i in value})
+
+
+@settings(max_examples=200)
+@given(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=4))
+def test_cells_miss_no_link(value, flipped):
+    other = value
+    for b in flipped:
+        other ^= 1 << b
+
+    def unary(x):
+        odd, even = x >> 1 & simhash.LOW, x & simhash.LOW
+        return (odd & even) << 1 | odd | even
+
+    apart = unary(value) ^ unary(other)
+    assert apart.bit_count() <= (value ^ other).bit_count()
+    assert sum(apart & (m & (1 << 64) - 1) == 0 for m in simhash.block_masks(4)) >= 3
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, i) for i in range(200, 400)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain + star + [(5, 5)], "a long, b long"), "a", "b").collect()}
+    assert got == {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, *range(200, 400)]}
+
+
+# 8
+
+
+def brute_rules(text):
+    w = WORDS.findall(text or "")
+    seen, hit, lines, duplicates = Counter(zip(w, w[1:], w[2:])), set(), set(), 0
+    for i in range(len(w) - 2):
+        if seen[tuple(w[i : i + 3])] > 1:
+            hit |= {i, i + 1, i + 2}
+    for line in (text or "").split("\n"):
+        if WORDS.search(line):
+            duplicates += line in lines
+            lines.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), duplicates, len(hit), len(w) < 50 or 100 * len(hit) > 50 * len(w)
+
+
+def test_rules(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("ab c d e f* g| h\n i".split(" ")) for _ in range(rng.randrange(120)))) for i in range(80)]
+    rows += [(100 + i, prose(i, 200)) for i in range(60)] + [(200, "x " * 300), (201, "a b c\na b c\n\n \na b c"), (202, "é ü " * 60)]
+    rows += [(300 + i, " | ".join(prose(i, 200).split())) for i in range(5)]
+    got = {r["doc_id"]: r for r in rules.report(frame(spark, rows)).collect()}
+    for i, t in rows:
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == brute_rules(t)
+        assert not (r["base_failed"] and r["kept"])
+    assert all(got[100 + i]["kept"] for i in range(60)) and not any(got[300 + i]["kept"] for i in range(5))
+
+
+def test_divergence(spark):
+    row = spark.createDataFrame([([0.5, 0.5, 0.0], [0.0, 0.5, 0.5], [0.5, 0.5, 0.0])], "p array<double>, q array<double>, r array<double>")
+    got = row.select(rules.divergence(F.col("p"), F.col("q")).alias("a"), rules.divergence(F.col("p"), F.col("r")).alias("b")).first()
+    assert got["a"] == pytest.approx(math.sqrt(0.5)) and got["b"] == 0
+
+
+# 9
+
+
+def test_shards_fit_and_only_oversized_buckets_split(spark):
+    rows = [(i, "x" * (1 + i % 40)) for i in range(500)] + [(600, "y" * 30)] * 50 + [(700, "z" * 5000)]
+    got = sharding.assign(frame(spark, rows), 400).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    held = Counter()
+    for r in got:
+        held[r["shard"]] += r["n_bytes"]
+    assert all(held[r["shard"]] == r["shard_bytes"] for r in got)
+    assert all(n <= 400 or s.startswith("large-") for s, n in held.items())
+    plain = {s for s in held if "/" not in s and not s.startswith("large-")}
+    pages = {s.split("/")[0] for s in held if "/" in s}
+    for s in plain:  # the bucket above each shard was too large
+        assert sum(n for x, n in held.items() if x.startswith(s[:-1])) > 400 or any(x.startswith(s[:-1]) for x in pages)
+    assert {r["doc_id"] for r in got if r["shard"].startswith("large-")} == {700}
+
+
+def test_written_shards_round_trip(spark, tmp_path):
+    docs = frame(spark, [(i, prose(i, 10)) for i in range(60)])
+    sharding.write(docs, f"{tmp_path}/out", 500)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((r["doc_id"], r["text"]) for r in back.collect()) == sorted((r["doc_id"], r["text"]) for r in docs.collect())
+
+
+# 10
+
+
+def test_forward_recursion_is_exact():
+    rng = np.random.default_rng(2)
+    model = hmm.Model(np.array([0.6, 0.4]), np.array([[0.7, 0.3], [0.2, 0.8]]), rng.dirichlet(np.ones(3), 2))
+    sequences = [np.array(s) for s in ([0], [1, 2, 0], [2, 2, 1, 0], [0] * 6)]
+    want = []
+    for s in sequences:
+        total = 0.0
+        for path in itertools.product(range(2), repeat=len(s)):
+            p = model.start[path[0]] * model.emit[path[0], s[0]]
+            for t in range(1, len(s)):
+                p *= model.move[path[t - 1], path[t]] * model.emit[path[t], s[t]]
+            total += p
+        want.append(math.log10(total))
+    assert hmm.log_likelihoods(model, sequences) == pytest.approx(want)
+
+
+def test_base_counts_and_gain(spark):
+    rng = random.Random(4)
+    tongues = [VOCABULARY[:40], VOCABULARY[40:]]
+    rows = [(i, " ".join(rng.choice(tongues[i % 2]).capitalize() for _ in range(60)) + (f" rare{i}" if i % 5 else "")) for i in range(300)]
+    counts = Counter()
+    tokens_of = {i: [*t.lower().split(), "\n"] for i, t in rows}
+    for i, w in tokens_of.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            counts.update(w)
+    n, v = sum(counts.values()), len(counts)
+    got = hmm.report(frame(spark, rows), states=4, rounds=5).collect()
+    for r in got:
+        w = tokens_of[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(counts[x] > 0 for x in w), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w))
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 5 * len(held)
+
+
+def test_classes_share_all_probability(spark):
+    docs = frame(spark, [(i, prose(i, 30)) for i in range(40)])
+    k = hmm.classes(hmm.word_counts(docs), own=10, frequent=20)
+    assert int(k.tokens.sum()) == k.total and int(k.kinds.sum()) == k.distinct
