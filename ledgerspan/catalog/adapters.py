@@ -18,7 +18,6 @@ AS_OF = "2000-01-01"  # reference date of the portfolio queries
 RISK_REFERENCE = "2024-06-30"
 YEARS = (2022, 2023, 2024, 2025, 2026)
 FISCAL_YEARS = (1997, 1998, 1999, 2000, 2001)  # of the curated financial fact: the years of the orders
-CALENDAR_FROM, CALENDAR_TO = "1990-01-01", "2035-12-31"
 CATEGORIES = (
     ("Aquisição de Equipamentos", "aquisicao_de_equipamentos"),
     ("Consultoria", "consultoria"),
@@ -41,7 +40,8 @@ def text(x: str) -> str:
 
 
 def padded(x: str, n: int) -> str:
-    return f"lpad({text(x)}, {n}, '0')"
+    """Digits filled up with zeros to `n` places; longer numbers stay whole (and fail a fixed format visibly)."""
+    return f"lpad({text(x)}, CAST(greatest({n}, length({text(x)})) AS INT), '0')"
 
 
 def div(x: str, n: int) -> str:
@@ -194,7 +194,6 @@ RAW: dict[str, dict] = {
     },
     "amendments": {
         "table": "lineitem",
-        "where": "l_returnflag IN ('R', 'A')",
         "columns": {
             "Cód_Contrato": f"'CS' || {padded('l_orderkey', 8)}",
             "Tipo_Aditamento": "CASE WHEN l_partkey % 83 = 5 THEN 'Outro' WHEN l_returnflag = 'R' THEN 'Renovação' ELSE 'Aporte' END",
@@ -307,7 +306,6 @@ CURATED: dict[str, dict] = {
     },
     "fact_renewal": {
         "table": "lineitem",
-        "where": "l_returnflag IN ('R', 'A')",
         "columns": {
             "renewal_key": f"'RNL-' || {AMENDMENT_ID}",
             "amendment_id": AMENDMENT_ID,
@@ -367,6 +365,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shifted(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A whole table in which every ninth key is changed, so that lookups have misses."""
+    other = F.when(F.col(key) % 9 == 4, -1 - F.col(key)).otherwise(F.col(key))
+    return table(spark, sf_dir, name).withColumn(key, other)
+
+
 def _project(df: DataFrame, spec: dict, *extra) -> DataFrame:
     if "where" in spec:
         df = df.where(spec["where"])
@@ -390,12 +394,29 @@ def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return stored(spark, sf_dir, f"raw_{source}", lambda: raw_rows(spark, sf_dir, source))
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    days = spark.range(1).select(
-        F.explode(F.expr(f"sequence(DATE '{CALENDAR_FROM}', DATE '{CALENDAR_TO}')")).alias("calendar_date")
-    )
-    attributes = calendar_attributes("calendar_date")
-    return days.select(attributes["calendar_key"].alias("calendar_key"), "calendar_date")
+# Every date that some table has a calendar key for.
+KEYED_DATES = {
+    "orders": (_start, _end),
+    "lineitem": (_ship, days_after(_ship, _span)),
+    "events": (_assessed, _expires),
+    "supplier": tuple(f"DATE '{y}-12-31'" for y in FISCAL_YEARS),
+}
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days from the first to the last date in the tables."""
+
+    def days() -> DataFrame:
+        bounds = None
+        for name, dates in KEYED_DATES.items():
+            each = [F.expr(d) for d in dates]
+            one = table(spark, sf_dir, name).agg(F.min(F.least(*each)).alias("a"), F.max(F.greatest(*each)).alias("b"))
+            bounds = one if bounds is None else bounds.unionByName(one)
+        whole = bounds.agg(F.min("a").alias("a"), F.max("b").alias("b"))
+        spine = whole.select(F.explode(F.sequence("a", "b")).alias("calendar_date"))
+        return spine.select(calendar_attributes("calendar_date")["calendar_key"].alias("calendar_key"), "calendar_date")
+
+    return stored(spark, sf_dir, "keyed_calendar", days)
 
 
 class Curated(dict):
@@ -413,11 +434,12 @@ class Curated(dict):
         from ledgerspan.plans.curated.categories import classify
 
         if name == "dim_calendar":
-            return calendar(self.spark)
+            return calendar(self.spark, self.sf_dir)
         if name == "dim_category":
+            # stored, as a run publishes it: its file size tells the planner that it is small
             orders = table(self.spark, self.sf_dir, "orders")
             codes = orders.select(F.expr(choose("o_orderkey", CODES)).alias("category_code")).distinct()
-            return classify(codes)
+            return stored(self.spark, self.sf_dir, "keyed_category", lambda: classify(codes))
         if name == "fact_supplier_financial":
             years = F.explode(F.array(*[F.lit(y) for y in FISCAL_YEARS])).alias("y")
             rows = table(self.spark, self.sf_dir, "supplier").select("*", years)

@@ -237,12 +237,12 @@ def j08(spark, sf):
         "expiration_calendar_key": "expiration_date",
     }
     rows = A.Curated(spark, sf)["fact_rfi"].select("risk_assessment_id", *roles)
-    return calendar_dates(rows, A.calendar(spark), roles).drop(*roles)
+    return calendar_dates(rows, A.calendar(spark, sf), roles).drop(*roles)
 
 
 def dated_contracts(spark, sf) -> DataFrame:
     roles = {"validity_start_calendar_key": "start_date", "validity_end_calendar_key": "end_date"}
-    return calendar_dates(A.Curated(spark, sf)["dim_contract"], A.calendar(spark), roles, "inner")
+    return calendar_dates(A.Curated(spark, sf)["dim_contract"], A.calendar(spark, sf), roles, "inner")
 
 
 @query(
@@ -314,11 +314,6 @@ def a04(spark, sf):
     return rounded(V.annualized_contracts(A.Curated(spark, sf)))
 
 
-@query("a05_count_by_entity", O.sql("SELECT contract_status, count(*) AS n FROM dim_contract GROUP BY 1"))
-def a05(spark, sf):
-    return A.Curated(spark, sf)["dim_contract"].groupBy("contract_status").agg(F.count("*").alias("n"))
-
-
 @query("w03_latest_row", O.sql("SELECT supplier_key, risk_assessment_id, CAST(assessment_date AS VARCHAR) AS assessment_date FROM latest_risk"))
 def w03(spark, sf):
     rows = K.latest_per_key(view(spark, sf, "vw_rfi"), ["supplier_key"], "assessment_date", "risk_assessment_id")

@@ -42,7 +42,6 @@ TABLES = {
     },
     "events_log": {
         "table": "lineitem",
-        "where": "l_returnflag IN ('R', 'A')",
         "columns": {
             "contract_id": A.LINE_CONTRACT_ID,
             "amendment_type": "CASE WHEN l_returnflag = 'R' THEN 'renovacao' ELSE 'aporte' END",
@@ -246,7 +245,8 @@ def r11(spark, sf):
 @query(
     "r12_payment_schedule",
     osql(
-        "SELECT contract_id, CAST(due AS VARCHAR) AS due_date FROM (SELECT contract_id, validity_start_date, validity_end_date, CAST(validity_start_date + to_months(CAST(i AS INTEGER)) AS DATE) AS due, i"
+        "SELECT contract_id, CAST(due AS VARCHAR) AS due_date FROM (SELECT contract_id, validity_start_date, validity_end_date, CAST(date_trunc('month', validity_start_date) + to_months(CAST(i AS INTEGER)) AS DATE)"
+        " + CAST(list_min(list_append(list_transform(range(0, i + 1), lambda j: day(last_day(CAST(date_trunc('month', validity_start_date) + to_months(CAST(j AS INTEGER)) AS DATE)))), day(validity_start_date))) AS INTEGER) - 1 AS due, i"
         " FROM (SELECT *, unnest(range(0, date_diff('month', validity_start_date, greatest(validity_start_date, validity_end_date)) + 2)) AS i FROM portfolio)) WHERE i = 0 OR due <= validity_end_date"
     ),
 )
@@ -306,7 +306,7 @@ FROM (SELECT DISTINCT supplier_cnpj FROM portfolio) s LEFT JOIN assessments a ON
   CAST(CASE WHEN closed THEN assessment_date ELSE risk_evaluation_date END AS VARCHAR) AS risk_evaluation_date,
   CASE WHEN closed THEN coalesce(assessed_risk, final_risk) ELSE final_risk END AS final_risk,
   CASE WHEN closed THEN 'Homologação negada por risco final alto' ELSE closure_reason END AS closure_reason
-FROM (SELECT p.*, c.assessment_date, c.assessed_risk, validity_end_date >= {REF_SQL} AND coalesce(c.homologation_result <> 'aprovada', true) AS closed
+FROM (SELECT p.*, c.assessment_date, c.assessed_risk, contract_status <> 'encerrado' AND validity_end_date >= {REF_SQL} AND coalesce(c.homologation_result <> 'aprovada', true) AS closed
   FROM portfolio p LEFT JOIN (SELECT * FROM latest_now WHERE r = 1) c ON p.supplier_cnpj = c.supplier_cnpj)""",
         latest_now=CURRENT,
     ),
@@ -348,11 +348,11 @@ def r19(spark, sf):
 @query(
     "r19_remapped_amendments",
     "SELECT o_orderkey, 'CS' || lpad(CAST(m + r AS VARCHAR), 8, '0') AS contract_id FROM orders LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r"
-    " FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey, (SELECT max(o_orderkey) AS m FROM orders)",
+    " FROM (SELECT * REPLACE (CASE WHEN c_custkey % 9 = 4 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey) FROM customer)) ON o_custkey = c_custkey, (SELECT max(o_orderkey) AS m FROM orders)",
 )
 def r19m(spark, sf):
     current = load(spark, sf, "portfolio").select("contract_id")
-    new = A.table(spark, sf, "customer").where("c_acctbal > 0").select("c_custkey", prefixed_key("NEW-", "c_custkey").alias("contract_id"))
+    new = A.shifted(spark, sf, "customer", "c_custkey").select("c_custkey", prefixed_key("NEW-", "c_custkey").alias("contract_id"))
     renumbered = W.renumber(new, current, "contract_id", "CS", 8, "c_custkey")
     events = A.table(spark, sf, "orders").select("o_orderkey", prefixed_key("NEW-", "o_custkey").alias("contract_id"))
     return W.remap_amendments(events, renumbered)

@@ -318,6 +318,11 @@ def d09(spark, sf):
     return dashboards.exceptions_by_entity(exceptions_view(spark, sf))
 
 
+@query("a05_count_by_entity", O.sql("SELECT entity, count(*) AS n FROM exc_index GROUP BY 1", **INDEX))
+def a05(spark, sf):
+    return exceptions_view(spark, sf).groupBy("entity").agg(F.count("*").alias("n"))
+
+
 @query("u05_expected_revenue", O.sql("SELECT financial_snapshot_key, gross_revenue FROM yearly_figures"))
 def u05(spark, sf):
     return expected_revenue(Batch(spark, sf).staged("companies"))

@@ -368,7 +368,9 @@ CTES["cur_category"] = classified("SELECT category_code FROM cat_codes")
 CTES["dim_category"] = classified(f"SELECT DISTINCT {A.choose('o_orderkey', A.CODES)} AS category_code FROM orders")
 CTES["dim_calendar"] = (
     f"SELECT CAST(g AS DATE) AS calendar_date, {A.date_key('g')} AS calendar_key"
-    f" FROM (SELECT unnest(generate_series(DATE '{A.CALENDAR_FROM}', DATE '{A.CALENDAR_TO}', INTERVAL 1 DAY)) AS g)"
+    " FROM (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS g FROM (SELECT min(d) AS a, max(d) AS b FROM ("
+    + " UNION ALL ".join(f"SELECT {d} AS d FROM {name}" for name, dates in A.KEYED_DATES.items() for d in dates)
+    + ")))"
 )
 CTES["fact_supplier_financial"] = select(
     A.FINANCIAL_COLUMNS, f"(SELECT *, unnest([{', '.join(str(y) for y in A.FISCAL_YEARS)}]) AS y FROM supplier)"

@@ -21,11 +21,11 @@ from ledgerspan.plans.staging import companies
 LINE = ("l_orderkey", "l_linenumber")
 
 
-@query("j01_membership_flag", "SELECT l_orderkey, l_linenumber, l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AS is_known FROM lineitem")
+@query("j01_membership_flag", "SELECT l_orderkey, l_linenumber, l_suppkey IN (SELECT s_suppkey FROM (SELECT * REPLACE (CASE WHEN s_suppkey % 9 = 4 THEN -1 - s_suppkey ELSE s_suppkey END AS s_suppkey) FROM supplier)) AS is_known FROM lineitem")
 def j01(spark, sf):
-    solvent = A.table(spark, sf, "supplier").where("s_acctbal > 0")
+    shifted = A.shifted(spark, sf, "supplier", "s_suppkey")
     rows = A.table(spark, sf, "lineitem").select(*LINE, "l_suppkey")
-    return L.flag_member(rows, "l_suppkey", solvent, "s_suppkey", "is_known").drop("l_suppkey")
+    return L.flag_member(rows, "l_suppkey", shifted, "s_suppkey", "is_known").drop("l_suppkey")
 
 
 @query("j02_head_office_self_join", O.sql("SELECT cnpj, hierarquia, head_num_total_func AS head_staff, head_capital_social AS head_capital FROM f_companies"))
@@ -37,9 +37,9 @@ def j02(spark, sf):
     )
 
 
-@query("j03_many_to_one_lookup", "SELECT o_orderkey, c_mktsegment AS segment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey")
+@query("j03_many_to_one_lookup", "SELECT o_orderkey, c_mktsegment AS segment FROM orders LEFT JOIN (SELECT * REPLACE (CASE WHEN c_custkey % 9 = 4 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey) FROM customer) ON o_custkey = c_custkey")
 def j03(spark, sf):
-    customers = A.table(spark, sf, "customer").where("c_acctbal > 0")
+    customers = A.shifted(spark, sf, "customer", "c_custkey")
     rows = A.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return L.lookup(rows, customers, "o_custkey", "c_custkey", {"c_mktsegment": "segment"}, check=True).drop("o_custkey")
 
@@ -47,15 +47,15 @@ def j03(spark, sf):
 @query(
     "j04_three_way_lookup",
     "SELECT l_orderkey, l_linenumber, o_orderstatus AS status, s_name AS supplier_name, p_type AS part_type FROM lineitem"
-    " LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON l_orderkey = o_orderkey"
-    " LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey LEFT JOIN part ON l_partkey = p_partkey",
+    " LEFT JOIN (SELECT * REPLACE (CASE WHEN o_orderkey % 9 = 4 THEN -1 - o_orderkey ELSE o_orderkey END AS o_orderkey) FROM orders) ON l_orderkey = o_orderkey"
+    " LEFT JOIN (SELECT * REPLACE (CASE WHEN s_suppkey % 9 = 4 THEN -1 - s_suppkey ELSE s_suppkey END AS s_suppkey) FROM supplier) ON l_suppkey = s_suppkey LEFT JOIN part ON l_partkey = p_partkey",
 )
 def j04(spark, sf):
     rows = A.table(spark, sf, "lineitem").select(*LINE, "l_suppkey", "l_partkey")
-    orders = A.table(spark, sf, "orders").where("o_orderstatus <> 'P'")
+    orders = A.shifted(spark, sf, "orders", "o_orderkey")
     rows = L.lookup(rows, orders, "l_orderkey", "o_orderkey", {"o_orderstatus": "status"})
-    solvent = A.table(spark, sf, "supplier").where("s_acctbal > 0")
-    rows = L.lookup(rows, solvent, "l_suppkey", "s_suppkey", {"s_name": "supplier_name"})
+    shifted = A.shifted(spark, sf, "supplier", "s_suppkey")
+    rows = L.lookup(rows, shifted, "l_suppkey", "s_suppkey", {"s_name": "supplier_name"})
     rows = L.lookup(rows, A.table(spark, sf, "part"), "l_partkey", "p_partkey", {"p_type": "part_type"})
     return rows.drop("l_suppkey", "l_partkey")
 
@@ -83,17 +83,17 @@ def j06(spark, sf):
     rows = A.table(spark, sf, "lineitem").selectExpr(
         *LINE, "CAST(l_shipdate AS DATE) AS ship_date", "CAST(l_shipdate AS DATE) + CAST(l_quantity AS INT) AS due_date"
     )
-    return L.calendar_roles(rows, A.calendar(spark), ["ship_date", "due_date"]).drop("ship_date", "due_date")
+    return L.calendar_roles(rows, A.calendar(spark, sf), ["ship_date", "due_date"]).drop("ship_date", "due_date")
 
 
 @query(
     "j14_key_set_comparison",
     "SELECT count(x.k) AS expected_count, count(y.k) AS actual_count, count(*) FILTER (x.k IS NOT NULL AND y.k IS NOT NULL) AS common_count FROM"
-    " (SELECT DISTINCT l_suppkey AS k FROM lineitem) x FULL JOIN (SELECT DISTINCT s_suppkey AS k FROM supplier WHERE s_acctbal > 0) y ON x.k = y.k",
+    " (SELECT DISTINCT l_suppkey AS k FROM lineitem) x FULL JOIN (SELECT DISTINCT s_suppkey AS k FROM (SELECT * REPLACE (CASE WHEN s_suppkey % 9 = 4 THEN -1 - s_suppkey ELSE s_suppkey END AS s_suppkey) FROM supplier)) y ON x.k = y.k",
 )
 def j14(spark, sf):
     expected = A.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("key"))
-    actual = A.table(spark, sf, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("key"))
+    actual = A.shifted(spark, sf, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("key"))
     return R.key_set_comparison(expected, actual)
 
 
@@ -218,9 +218,9 @@ def u06(spark, sf):
     return R.date_spine(R.date_bounds(days, ["day"]), "day")
 
 
-@query("u07_subset_test", "SELECT count(*) AS orphans, count(*) = 0 AS is_subset FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
+@query("u07_subset_test", "SELECT count(*) AS orphans, count(*) = 0 AS is_subset FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM (SELECT * REPLACE (CASE WHEN s_suppkey % 9 = 4 THEN -1 - s_suppkey ELSE s_suppkey END AS s_suppkey) FROM supplier))")
 def u07(spark, sf):
-    parents = A.table(spark, sf, "supplier").where("s_acctbal > 0")
+    parents = A.shifted(spark, sf, "supplier", "s_suppkey")
     missing = L.orphans(A.table(spark, sf, "lineitem"), "l_suppkey", parents, "s_suppkey")
     return missing.agg(F.count("*").alias("orphans"), (F.count("*") == 0).alias("is_subset"))
 
@@ -231,9 +231,9 @@ def u08(spark, sf):
     return index.groupBy("entity", "business_key_type").agg(F.count("*").alias("n"))
 
 
-@query("u09_key_remap", "SELECT l_orderkey, l_linenumber, 'S-' || s_name AS supplier_code FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey")
+@query("u09_key_remap", "SELECT l_orderkey, l_linenumber, 'S-' || s_name AS supplier_code FROM lineitem LEFT JOIN (SELECT * REPLACE (CASE WHEN s_suppkey % 9 = 4 THEN -1 - s_suppkey ELSE s_suppkey END AS s_suppkey) FROM supplier) ON l_suppkey = s_suppkey")
 def u09(spark, sf):
-    mapping = A.table(spark, sf, "supplier").where("s_acctbal > 0").select(
+    mapping = A.shifted(spark, sf, "supplier", "s_suppkey").select(
         F.col("s_suppkey").cast("string").alias("old"), F.concat(F.lit("S-"), "s_name").alias("new")
     )
     rows = A.table(spark, sf, "lineitem").select(*LINE, F.col("l_suppkey").cast("string").alias("supplier_code"))

@@ -232,16 +232,16 @@ def f21(spark, sf):
 
 @query(
     "f22_calendar_keys",
-    # a calendar that ends early, so that misses show
+    # every ninth order lies a thousand years off the calendar, so that misses show
     O.sql(
-        "SELECT o_orderkey, c.calendar_key AS order_calendar_key FROM orders LEFT JOIN"
-        " (SELECT * FROM dim_calendar WHERE calendar_date < DATE '2001-01-01') c ON CAST(o_orderdate AS DATE) = c.calendar_date"
+        "SELECT o_orderkey, c.calendar_key AS order_calendar_key FROM orders LEFT JOIN dim_calendar c"
+        " ON CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 9 = 4 THEN 365250 ELSE 0 END AS INTEGER) = c.calendar_date"
     ),
 )
 def f22(spark, sf):
-    early = A.calendar(spark).where("calendar_date < DATE '2001-01-01'")
-    rows = A.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
-    return calendar_roles(rows, early, ["order_date"]).drop("order_date")
+    off = F.when(F.col("o_orderkey") % 9 == 4, 365250).otherwise(0)
+    rows = A.table(spark, sf, "orders").select("o_orderkey", F.date_add(F.to_date("o_orderdate"), off).alias("order_date"))
+    return calendar_roles(rows, A.calendar(spark, sf), ["order_date"]).drop("order_date")
 
 
 COSTS = " ".join(

@@ -11,23 +11,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspan.operators.ordering import ensure_checkpoint_dir
+from ledgerspan.operators.storage import shared_folder
 
-# Small files on purpose: the test tables have one row group each, hence one scan task. Cutting
-# the output by row count spreads later scans without a shuffle.
-ROWS_PER_FILE = 25_000
 _WRITTEN: set[str] = set()
 
 
+def state_of(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of what lies in a folder, so that changed data isn't taken for the old."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return folder + "".join(sorted(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in files))
+
+
 def base_path(spark: SparkSession, sf_dir: str) -> str:
-    ensure_checkpoint_dir(spark)
-    folder = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-    return f"{spark.sparkContext.getCheckpointDir()}/batch-{folder}"
+    folder = hashlib.md5(state_of(spark, sf_dir).encode()).hexdigest()[:12]
+    return f"{shared_folder(spark)}/batch-{folder}"
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of what `write` puts there the first time that it is asked for."""
     path = f"{base_path(spark, sf_dir)}/{name}"
     if path not in _WRITTEN:
-        build().write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+        write(path)
         _WRITTEN.add(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    # File sizes are the writer's affair; bench.py sets this option of Spark for its small tables.
+    return spark.read.parquet(once(spark, sf_dir, name, lambda path: build().write.mode("overwrite").parquet(path)))

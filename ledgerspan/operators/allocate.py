@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerspan.operators.ordering import ensure_checkpoint_dir
-from ledgerspan.operators.skew import HOT_FLOOR, attach
+from ledgerspan.operators.skew import MAX_HOT, attach
+from ledgerspan.operators.storage import keep
 
 CENTS = "decimal(18,0)"
 
@@ -32,7 +32,7 @@ def allocate(
     *,
     eligible: Column,
     out: str,
-    floor: int = HOT_FLOOR,
+    most_hot: int = MAX_HOT,
 ) -> DataFrame:
     """Split `amount` (one value per key, repeated on its rows) over the eligible rows of the key.
 
@@ -54,7 +54,7 @@ def allocate(
         F.sum("__weight").cast(CENTS).alias("__total"),
         F.max(F.when(F.col("__ok"), F.struct(*order))).alias("__last"),
     )
-    sized = attach(base, totals, [key], ["__total", "__last"], salt_on=salt_on, floor=floor)
+    sized = attach(base, totals, [key], ["__total", "__last"], salt_on=salt_on, most_hot=most_hot)
     exceeds = F.col("__amount") > F.col("__total") + 1
     usable = F.col("__ok") & (F.col("__amount") > 0) & (F.col("__total") > 0) & ~exceeds
     # round(amount * weight / total) half-up, in integers
@@ -69,9 +69,8 @@ def allocate(
             f"{out}_exceeds": F.coalesce(exceeds, F.lit(False)),
         }
     )
-    # Read three times below; without the checkpoint each reader would repeat the joins above.
-    ensure_checkpoint_dir(shared.sparkSession)
-    shared = shared.checkpoint()
+    # Read three times below; each reader would repeat the joins above.
+    shared = keep(shared, "allocation-shares")
     given = shared.groupBy(F.col(key).alias("__key")).agg(F.sum("__share").cast(CENTS).alias("__given"))
     # Only the last row of a key needs the sum of the others: one row per key on both sides.
     last = shared.where("__is_last").join(given, F.col(key) == F.col("__key")).drop("__key")

@@ -9,11 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerspan.functions.dates import key_name
 from ledgerspan.operators.skew import join_unique
 
-# A DATE of four-digit year has at most 9999 * 366 values; a calendar within it is always
-# broadcastable (16 bytes per day), whatever the size of the facts.
-MAX_CALENDAR_DAYS = 9999 * 366
-
-
 class AmbiguousKeyError(ValueError):
     """A many-to-one lookup found a repeated key on its one side."""
 
@@ -68,12 +63,12 @@ def lookup(
 def calendar_roles(df: DataFrame, calendar: DataFrame, date_columns: Sequence[str]) -> DataFrame:
     """Add `<role>_calendar_key` for each date column, NULL when the day is not in the calendar.
 
-    The calendar is bounded by MAX_CALENDAR_DAYS, so it is broadcast; all roles reuse one exchange.
-    A shuffle on a date would be the real danger: few distinct days, hence few and uneven tasks.
+    The calendar carries no hint: a stored one has a known size and is broadcast while that is small (all
+    roles reuse one exchange); one blown up by a wrong date is joined by shuffle.
     """
     for name in date_columns:
         days = calendar.select(F.col("calendar_date").alias("__day"), F.col("calendar_key").alias(key_name(name)))
-        df = df.join(F.broadcast(days), F.col(name) == F.col("__day"), "left").drop("__day")
+        df = df.join(days, F.col(name) == F.col("__day"), "left").drop("__day")
     return df
 
 
@@ -81,7 +76,7 @@ def calendar_dates(df: DataFrame, calendar: DataFrame, roles: dict[str, str], ho
     """Inverse of `calendar_roles`: key column -> named date column."""
     for key, name in roles.items():
         days = calendar.select(F.col("calendar_key").alias("__key"), F.col("calendar_date").alias(name))
-        df = df.join(F.broadcast(days), F.col(key) == F.col("__key"), how).drop("__key")
+        df = df.join(days, F.col(key) == F.col("__key"), how).drop("__key")
     return df
 
 

@@ -2,33 +2,25 @@
 
 `Window.orderBy(...)` with no partition sends every row to one task. Here rows are range-
 partitioned, numbered inside each partition, and shifted by the sizes of the partitions before
-theirs. The numbered rows are checkpointed, because a partition number is only meaningful as
+theirs. The numbered rows are stored, because a partition number is only meaningful as
 long as it is never computed a second time (a lost executor or a second reader would do that).
 """
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a temporary one only where none is named."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerspan-")
-        spark.sparkContext.setCheckpointDir(folder)
+from ledgerspan.operators.storage import keep
 
 
 def dense_positions(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
     """Add 1-based consecutive positions in the given order (`order` should be total)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = keep(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("__id", F.monotonically_increasing_id())
-        .withColumn("__part", F.shiftright("__id", 33))
-        .checkpoint()
+        .withColumn("__part", F.shiftright("__id", 33)),
+        "positions",
     )
     sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
     # One row per shuffle partition, so this unpartitioned window is bounded by the cluster layout.

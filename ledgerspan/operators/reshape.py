@@ -64,11 +64,17 @@ def unpivot_years(
 def monthly_schedule(df: DataFrame, start: str, end: str, name: str) -> DataFrame:
     """One row per monthly date from `start` to `end`; the start alone when the window is empty.
 
-    Months count from the start (31 Jan, 28 Feb, 31 Mar), so the day of the month does not drift.
+    Every date is one month after the one before it, so a day that a short month lacks stays lost
+    (31 Jan, 28 Feb, 28 Mar).
     """
-    last = F.greatest(F.col(start), F.col(end))
-    dates = F.sequence(F.col(start), last, F.expr("interval 1 month"))
-    return df.withColumn(name, F.explode(dates))
+    first, last = F.col(start), F.greatest(F.col(start), F.col(end))
+    months = F.greatest(F.ceil(F.months_between(last, first)).cast("int"), F.lit(0))
+    steps = F.sequence(F.lit(0), months)
+    # step 0 is the start itself
+    dates = F.aggregate(
+        steps, F.array().cast("array<date>"), lambda got, i: F.concat(got, F.array(F.when(i == 0, first).otherwise(F.add_months(F.try_element_at(got, F.lit(-1)), 1))))
+    )
+    return df.withColumn(name, F.explode(F.filter(dates, lambda d: d <= last)))
 
 
 def key_set_comparison(expected: DataFrame, actual: DataFrame, key: str = "key") -> DataFrame:

@@ -20,7 +20,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_HOT = 1_000  # size bound of the broadcast list
-HOT_FLOOR = 100_000  # no key below this many rows is worth separating
 SALTS = 256
 
 
@@ -33,9 +32,9 @@ def _zero(c: Column) -> Column:
     return F.pmod(F.hash(c), F.lit(1))
 
 
-def hot_keys(per_key: DataFrame, rows: str = "__rows", floor: int = HOT_FLOOR) -> DataFrame:
-    """Rows of the most frequent keys, never more than MAX_HOT (a top-k, not a full sort)."""
-    return per_key.where(F.col(rows) > floor).orderBy(F.col(rows).desc()).limit(MAX_HOT)
+def hot_keys(per_key: DataFrame, rows: str = "__rows", most_hot: int = MAX_HOT) -> DataFrame:
+    """Rows of the `most_hot` most frequent keys (a top-k, not a full sort), whatever the size of the table."""
+    return per_key.orderBy(F.col(rows).desc()).limit(most_hot)
 
 
 def attach(
@@ -46,7 +45,7 @@ def attach(
     *,
     salt_on: Sequence[str],
     exempt: Column | None = None,
-    floor: int = HOT_FLOOR,
+    most_hot: int = MAX_HOT,
 ) -> DataFrame:
     """Bring `values` of `per_key` (keys, values, `__rows`) to every row of `df`, NULL keys included.
 
@@ -55,7 +54,7 @@ def attach(
     """
     names = [f"__k{i}" for i in range(len(keys))]
     renamed = [F.col(k).alias(n) for k, n in zip(keys, names)]
-    hot = hot_keys(per_key, floor=floor).select(*renamed, F.struct(*values).alias("__hot"))
+    hot = hot_keys(per_key, most_hot=most_hot).select(*renamed, F.struct(*values).alias("__hot"))
     cold = per_key.select(*renamed, _zero(F.col("__rows")).alias("__bucket"), F.struct(*values).alias("__cold"))
     same = _same(list(zip(keys, names)))
     apart = F.col("__hot").isNotNull()

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerspan.operators.skew import HOT_FLOOR, attach
+from ledgerspan.operators.skew import MAX_HOT, attach
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,7 +25,7 @@ def flag_repeated(
     *,
     exempt: Column | None = None,
     salt_on: Sequence[str] = ("source_file", "source_row_number"),
-    floor: int = HOT_FLOOR,
+    most_hot: int = MAX_HOT,
 ) -> DataFrame:
     """Add `flag`: true on EVERY copy of a key that occurs more than once (NULL equals NULL).
 
@@ -35,7 +35,7 @@ def flag_repeated(
     salt_on = [c for c in salt_on if c in df.columns] or df.columns
     counted = df if exempt is None else df.where(~F.coalesce(exempt, F.lit(False)))
     repeated = key_counts(counted, keys).where("__rows > 1").withColumn(flag, F.lit(True))
-    flagged = attach(df, repeated, keys, [flag], salt_on=salt_on, exempt=exempt, floor=floor)
+    flagged = attach(df, repeated, keys, [flag], salt_on=salt_on, exempt=exempt, most_hot=most_hot)
     return flagged.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

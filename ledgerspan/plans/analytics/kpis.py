@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerspan.functions.dates import days_between, expiry_band
 from ledgerspan.functions.numbers import EXACT_SUM, RISK_ORDER, exact_sum, or_zero, ordinal, safe_ratio
-from ledgerspan.operators.ordering import dense_rank_desc, ensure_checkpoint_dir
+from ledgerspan.operators.ordering import dense_rank_desc
+from ledgerspan.operators.storage import keep
 from ledgerspan.operators.uniqueness import latest_per_key
 
 
@@ -51,10 +52,9 @@ def concentration(spending: DataFrame) -> DataFrame:
     """Spend share and dense rank per group and supplier.
 
     Three consumers (share, total, rank) need the totals, which are small next to the payments, so
-    the payments are aggregated once and the totals are checkpointed.
+    the payments are aggregated once and the totals are stored.
     """
-    ensure_checkpoint_dir(spending.sparkSession)
-    totals = spending_by_supplier(spending).checkpoint()
+    totals = keep(spending_by_supplier(spending), "spending-totals")
     shared = portfolio_share(totals, "total_spending", "spending_concentration_ratio")
     ranked = dense_rank_desc(shared, "total_spending", "spending_rank")
     return ranked.select(

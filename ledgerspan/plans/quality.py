@@ -231,6 +231,15 @@ def coverage(name: str, source: DataFrame, published: DataFrame, rejected: DataF
     )
 
 
+def require_reconciled(report: DataFrame) -> None:
+    """Raise when a control of one row (`is_..._reconciled` columns) fails."""
+    row = report.first().asDict()
+    failed = [name for name, value in row.items() if name.startswith("is_") and name.endswith("reconciled") and not value]
+    if failed:
+        numbers = ", ".join(f"{k}={v}" for k, v in row.items() if not k.startswith("is_"))
+        raise QualityGateError(f"Publicação recusada ({', '.join(failed)}): {numbers}.")
+
+
 def spending_reconciliation(payments: DataFrame, fact: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows and cents of payments against fact plus exceptions."""
     control = Control("fact_spending", "stg_pagamentos", "fact_spending_exceptions", "payment_id", "payment_value")

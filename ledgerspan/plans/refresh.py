@@ -57,12 +57,18 @@ class Run:
     def rejected(self, table: str) -> DataFrame:
         return read_table(self.spark, self.path("curated/exceptions", table))
 
-    def publish(self, table: str, rows: DataFrame, columns, exception_table: str) -> None:
-        """Evaluate the rules once into a stored table, then write resolved rows and exceptions from it."""
+    def publish(self, table: str, rows: DataFrame, columns, exception_table: str, control=None) -> None:
+        """Evaluate the rules once into a stored table, then write resolved rows and exceptions from it.
+
+        `control` compares both with their source; if it fails, neither becomes visible.
+        """
         write_table(rows, self.path("annotated", table))
         stored = read_table(self.spark, self.path("annotated", table))
-        write_table(published(stored, columns), self.path("curated", table))
-        write_table(exceptions(stored), self.path("curated/exceptions", exception_table))
+        good, bad = published(stored, columns), exceptions(stored)
+        if control is not None:
+            Q.require_reconciled(control(good, bad))
+        write_table(good, self.path("curated", table))
+        write_table(bad, self.path("curated/exceptions", exception_table))
 
 
 def stage_all(run: Run, snapshot: str, manifest: dict) -> dict[str, dict]:
@@ -107,6 +113,7 @@ def publish_curated(run: Run) -> None:
     run.publish(
         "fact_supplier_financial", C.resolve_financials(staged["companies"], supplier, calendar),
         FINANCIAL_COLUMNS, "fact_supplier_financial_exceptions",
+        control=lambda good, bad: Q.coverage("fact_supplier_financial", expected_revenue(staged["companies"]), good, bad),
     )
     run.publish(
         "dim_contract", C.resolve_contracts(staged["contracts"], supplier, category, calendar),
@@ -117,11 +124,16 @@ def publish_curated(run: Run) -> None:
     run.publish(
         "fact_spending", C.resolve_spending(staged["payments"], contract, supplier, category, calendar),
         SPENDING_COLUMNS, "fact_spending_exceptions",
+        control=lambda good, bad: Q.spending_reconciliation(staged["payments"], good, bad),
+    )
+    run.publish(
+        "fact_rfi", C.resolve_rfi(staged["risk"], supplier, calendar), RFI_COLUMNS, "fact_rfi_exceptions",
+        control=lambda good, bad: Q.coverage("fact_rfi", staged["risk"], good, bad),
     )
-    run.publish("fact_rfi", C.resolve_rfi(staged["risk"], supplier, calendar), RFI_COLUMNS, "fact_rfi_exceptions")
     run.publish(
         "fact_renewal", C.resolve_renewals(staged["amendments"], contract, calendar),
         RENEWAL_COLUMNS, "fact_renewal_exceptions",
+        control=lambda good, bad: Q.coverage("fact_renewal", staged["amendments"], good, bad),
     )
 
 

@@ -35,7 +35,8 @@ def risk_as_of(events: DataFrame, assessments: DataFrame, event_date: str) -> Da
 
 
 def close_unapproved(contracts: DataFrame, assessments: DataFrame, reference: date) -> DataFrame:
-    """Running contracts whose supplier has no current approval end the day before `reference`.
+    """Running contracts that aren't closed yet and whose supplier has no current approval end the day
+    before `reference`.
 
     The assessment is looked up once per supplier (all contracts share the reference date), so a
     supplier with many contracts costs one lookup.
@@ -45,7 +46,7 @@ def close_unapproved(contracts: DataFrame, assessments: DataFrame, reference: da
         F.col("supplier_cnpj").alias("__supplier"), "as_of_result", "as_of_assessment_date", "as_of_final_risk"
     )
     rows = contracts.join(current, F.col("supplier_cnpj") == F.col("__supplier"), "left").drop("__supplier")
-    running = F.col("validity_end_date") >= F.lit(reference)
+    running = (F.col("contract_status") != "encerrado") & (F.col("validity_end_date") >= F.lit(reference))
     refused = F.coalesce(F.col("as_of_result") != "aprovada", F.lit(True))
     closed = F.coalesce(running & refused, F.lit(False))
     updates: dict[str, Column] = {

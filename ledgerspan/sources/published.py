@@ -53,10 +53,6 @@ STAGING_SCHEMAS: dict[str, tuple[tuple[str, str, bool], ...]] = {
 }
 
 
-class NullInRequiredColumnError(ValueError):
-    """A column that must be filled has NULLs."""
-
-
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan; only `columns` are read when given."""
     df = spark.read.parquet(path)

@@ -121,12 +121,18 @@ def conform(df: DataFrame, source: str) -> DataFrame:
     return renamed
 
 
-def scan_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+# RFC 4180: fields may be quoted, a quote inside them is doubled, blanks belong to the value.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def scan_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = False) -> DataFrame:
     """CSV with a header, every column as text: leading zeros survive and nothing is inferred.
 
-    Only the header of one file is read to learn the column names.
+    Only the header of one file is read to learn the column names. `multi_line` is for files whose
+    values hold line breaks: such a file can't be cut into blocks and is read by one task, so write
+    large sources as several files.
     """
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).option("multiLine", multi_line).csv(path)
 
 
 def batch_of(file_name: Column | str) -> Column:

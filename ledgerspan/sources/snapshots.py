@@ -11,10 +11,13 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ledgerspan.sources.published import MAX_RECORDS_PER_FILE, read_json, write_json, write_table
-from ledgerspan.sources.raw import FILE_STEMS
+from ledgerspan.plans.quality import snapshot_integrity
+from ledgerspan.sources.published import read_json, write_json, write_table
+from ledgerspan.sources.raw import CSV_OPTIONS, FILE_STEMS
 
 MANIFEST_VERSION = "1.0"
+# A part file is hashed as one value: about 0.2 GB of the widest source, far from the 2 GB that one may have.
+ROWS_PER_PART = 500_000
 # Name of each source in a manifest.
 MANIFEST_NAMES = {
     "companies": "empresas",
@@ -40,8 +43,8 @@ def source_path(snapshot: str, source: str, snapshot_id: str) -> str:
 def file_hashes(spark: SparkSession, paths: list[str], base: str) -> DataFrame:
     """SHA-256 and size of every data file below `paths`, named relative to `base`.
 
-    One row per file. Part files are capped on write (`maxRecordsPerFile`), which keeps them far
-    below the size one row can hold.
+    One row per file. Part files hold at most ROWS_PER_PART rows, which keeps them far below the size
+    that one value can have; foreign snapshots of one file per source must stay below it as well.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
         "pathGlobFilter", "*.csv"
@@ -52,6 +55,14 @@ def file_hashes(spark: SparkSession, paths: list[str], base: str) -> DataFrame:
     )
 
 
+def require_integrity(sources: dict[str, DataFrame]) -> None:
+    """Raise when a check on the whole snapshot fails; six rows reach the driver."""
+    report = snapshot_integrity(*(sources[s] for s in ("companies", "contracts", "amendments", "payments")))
+    failed = [f"{r['check_name']}: {r['violations']}" for r in report.where("NOT passed").collect()]
+    if failed:
+        raise SnapshotError(f"Snapshot sem integridade: {'; '.join(failed)}.")
+
+
 def write_snapshot(
     sources: dict[str, DataFrame],
     *,
@@ -62,11 +73,19 @@ def write_snapshot(
     parent_snapshot_id: str | None = None,
     parameters: dict[str, object] | None = None,
     kind: str = "initial",
+    check: bool = True,
 ) -> str:
-    """Write the five sources and the manifest of a new snapshot; never over an existing one."""
+    """Write the five sources and the manifest of a new snapshot; never over an existing one.
+
+    Values are stored as they are, blanks included; CSV tells an empty text from NULL no more than the
+    readers of such files do. `check` refuses sources with broken references or repeated ids before
+    anything is written.
+    """
     missing = [name for name in FILE_STEMS if name not in sources]
     if missing:
         raise SnapshotError(f"Fonte obrigatória ausente no snapshot: {', '.join(missing)}.")
+    if check:
+        require_integrity(sources)
     spark = next(iter(sources.values())).sparkSession
     snapshot = snapshot_path(raw_dir, scenario_id, snapshot_id)
     counts, paths = {}, []
@@ -74,8 +93,8 @@ def write_snapshot(
         path = source_path(snapshot, name, snapshot_id)
         observation = Observation()
         observed = sources[name].observe(observation, F.count(F.lit(1)).alias("rows"))
-        writer = observed.write.mode("errorifexists").option("header", True)
-        writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).csv(path)
+        writer = observed.write.mode("errorifexists").options(**CSV_OPTIONS)
+        writer.option("maxRecordsPerFile", ROWS_PER_PART).csv(path)
         counts[name] = observation.get["rows"]
         paths.append(path)
     write_table(file_hashes(spark, paths, snapshot), f"{snapshot}/hashes")

@@ -137,3 +137,55 @@ def test_single_file_snapshot_with_hashes_in_the_manifest(spark, tmp_path):
     (folder / "aditamentos_20260730_120000.csv").write_text("a,b\n1,3\n")
     with raises(SnapshotError, match="aditamentos"):
         open_snapshot(spark, str(folder))
+
+
+def test_csv_dialect_is_that_of_the_csv_module(spark, tmp_path):
+    import csv
+
+    rows = [
+        ["1", 'ACME ""X"" Ltda'.replace('""', '"'), "plain"],
+        ["2", 'a, b "q", c', " blanks at both ends "],
+        ["3", "two\nlines", "after"],
+        ["4", "", 'ends with "'],
+    ]
+    path = tmp_path / "empresas_20260730_120000.csv"
+    with path.open("w", newline="", encoding="utf-8") as out:
+        csv.writer(out).writerows([["id", "name", "note"], *rows])
+    got = [[v or "" for v in r] for r in scan_csv(spark, str(path), multi_line=True).collect()]
+    assert got == rows
+    numbered = add_lineage(scan_csv(spark, str(path), multi_line=True), load_date=AS_OF).collect()
+    assert sorted((r["id"], r["source_row_number"]) for r in numbered) == [("1", 2), ("2", 3), ("3", 4), ("4", 5)]
+    single = [r for r in rows if r[0] != "3"]
+    with path.open("w", newline="", encoding="utf-8") as out:
+        csv.writer(out).writerows([["id", "name", "note"], *single])
+    assert [[v or "" for v in r] for r in scan_csv(spark, str(path)).collect()] == single
+
+
+def test_snapshot_keeps_blanks(spark, tmp_path):
+    changed = sources(spark)["companies"].withColumn("Razao_Social", F.lit('  "A", b  '))
+    snapshot = store(spark, tmp_path, companies=changed)
+    back = scan_csv(spark, f"{snapshot}/empresas_20260730_120000.csv")
+    assert {r["Razao_Social"] for r in back.collect()} == {'  "A", b  '}
+
+
+def test_snapshot_without_integrity_is_refused(spark, tmp_path):
+    orphan = sources(spark)["payments"].withColumn("Cód_Contrato", F.lit("CS00000009"))
+    with raises(SnapshotError, match="pagamentos sem contrato: 2"):
+        store(spark, tmp_path, payments=orphan)
+    assert not (tmp_path / "raw").exists()
+
+
+def test_a_lost_row_stops_the_publication(spark, tmp_path, monkeypatch):
+    from ledgerspan.plans import refresh
+
+    snapshot = store(spark, tmp_path)
+    whole = refresh.C.resolve_spending
+    monkeypatch.setattr(refresh.C, "resolve_spending", lambda *a: whole(*a).limit(1))
+    with raises(QualityGateError, match="Publicação recusada"):
+        run_batch(spark, snapshot, out_dir=str(tmp_path / "runs"), run_id="lost")
+    assert not (tmp_path / "runs/lost/curated/fact_spending").exists()
+    monkeypatch.setattr(refresh.C, "resolve_spending", whole)
+    other = refresh.C.resolve_renewals
+    monkeypatch.setattr(refresh.C, "resolve_renewals", lambda *a: other(*a).limit(0))
+    with raises(QualityGateError, match="fact_renewal"):
+        run_batch(spark, snapshot, out_dir=str(tmp_path / "runs"), run_id="lost2")
