@@ -2,38 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. A temporary one is set only for a plain local session."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not re.match(r"local(\[|$)", context.master):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            named = tempfile.mkdtemp(prefix="ledgerspan-llm-")
-        context.setCheckpointDir(named)
-    return context.getCheckpointDir()
+from ledgerspan.operators.storage import keep as stored, shared_folder
 
+__all__ = ["stored", "shared_folder", "table", "fresh", "let", "words_of", "ascii_lower", "crc_remainder", "commonest", "WORD"]
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back.
-
-    This cuts the lineage (a lost executor rereads the table instead of repeating the stages before),
-    and gives the next step a table whose size Spark knows, so it broadcasts only what is small.
-    """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,3 +48,20 @@ def ascii_lower(text: Column) -> Column:
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo `divisor`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def commonest(counts: DataFrame, count: str, limit: int) -> DataFrame:
+    """Rows with the highest counts, as many as fit in `limit` when cut between two bins of counts.
+
+    Bins are an eighth of an octave wide, so their sizes are a few hundred numbers whatever the table, and
+    no task sends more than what is taken. Rows of a bin that would pass the limit stay out together.
+    """
+    at = F.floor(F.log2(F.col(count)) * 8)
+    sizes = {r["at"]: r["n"] for r in counts.groupBy(at.alias("at")).agg(F.count("*").alias("n")).collect()}
+    total, least = 0, None
+    for bin_ in sorted(sizes, reverse=True):
+        total += sizes[bin_]
+        if total > limit:
+            break
+        least = bin_
+    return counts.where(at >= least) if least is not None else counts.limit(0)

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerspan.llm.common import crc_remainder, stored
+from ledgerspan.llm.common import commonest, crc_remainder, stored
 
 STATES = 6
 ROUNDS = 4
@@ -101,7 +101,7 @@ def classes(counts: DataFrame, own: int = OWN, frequent: int = FREQUENT) -> Clas
     the words of their own. `frequent` bounds what the driver collects."""
     row = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     end = F.col("word") == F.lit(END).cast("binary")
-    top = counts.where(~end).orderBy(F.desc("c"), "word").limit(frequent).collect()
+    top = sorted(commonest(counts.where(~end), "c", frequent).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
     ends = counts.where(end).collect()
     spelled = counts.where(~end).mapInArrow(_spelled, "class long, tokens long, kinds long")
     sums = spelled.groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).collect()

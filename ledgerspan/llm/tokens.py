@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerspan.llm.common import commonest, stored
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -81,10 +82,9 @@ def _summary(path: str):
 
 
 def frequent(docs: DataFrame, path: str, size: int = FREQUENT) -> dict[str, int]:
-    """Number of tokens of each of the `size` commonest pre-tokens (ties by text)."""
+    """Number of tokens of each of the commonest pre-tokens, at most `size`."""
     summaries = docs.select("text").mapInArrow(_summary(path), "piece string, n long")
-    top = summaries.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(size).select("piece")
-    pieces = [r["piece"] for r in top.collect()]
+    pieces = [r["piece"] for r in commonest(stored(summaries.groupBy("piece").agg(F.sum("n").alias("n")), "pre-tokens"), "n", size).collect()]
     tokenizer = _tools(path)[0]
     return {p: len(e.ids) for p, e in zip(pieces, tokenizer.encode_batch(pieces, add_special_tokens=False))} if pieces else {}
 
