@@ -6,13 +6,14 @@ wherever it stands. Equal paragraphs form one class at once. Classes are banded
 bucket are compared by the exact Jaccard similarity of their five-word shingles, and clusters are the
 components of the links.
 
-A bucket is never expanded into all its pairs: its members are first compared with a few leaders; then
+A bucket is never expanded into all its pairs: its members are first compared with one of them; then
 only members that are in different components by now still meet. What the buckets propose is thereby
 decided in full, while a bucket of many alike paragraphs costs about its size.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.998  # chance that a pair of exactly SIMILARITY shares a bucket
 ROWS = 3
-LEADERS = 2
 SEED = 11
 
 
@@ -94,45 +94,55 @@ def _banded(bands: int, rows: int, id_type: pa.DataType):
         mix = _numbers(rows + bands)
         hashed = xxhash.xxh64_intdigest
         for batch in batches:
-            out = [[] for _ in range(6)]
+            out = [[] for _ in range(7)]
             keys = []
             for doc_id, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for first, last, n, shingles in _cut(text, hashed):
+                cut = list(_cut(text, hashed))
+                firsts = [c[0] for c in cut]
+                for at, (first, last, n, shingles) in enumerate(cut):
+                    overlaps = bisect_right(firsts, last) - at - 1
                     with np.errstate(over="ignore"):
                         # order matters for a class, not for the MinHash
                         same = int(np.bitwise_xor.reduce(shingles * (np.arange(1, 2 * len(shingles), 2, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))))
                         least = np.array([(shingles * f).min() for f in factors]).reshape(bands, rows)
                         keys.append((least * mix[:rows]).sum(1) ^ mix[rows:])
-                    for column, value in zip(out, (doc_id, mark, first, last, n, same - (1 << 64) if same >> 63 else same)):
+                    for column, value in zip(out, (doc_id, mark, first, last, n, same - (1 << 64) if same >> 63 else same, overlaps)):
                         column.append(value)
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             buckets = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), pa.array(flat))
-            types = (id_type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(out, types)], buckets], ["doc_id", "mark", "first", "last", "n_words", "class", "buckets"])
+            types = (id_type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(out, types)], buckets], ["doc_id", "mark", "first", "last", "n_words", "class", "overlaps", "buckets"])
 
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by bucket, those whose bucket the row before or after has too, and the two ends of
-    the partition, whose neighbours are elsewhere."""
-    held = None  # the last row, not yet decided, and whether its bucket was seen before it
+    """From (bucket, unit, overlaps) sorted by both, the units of buckets that hold two paragraphs which don't overlap.
+
+    `overlaps` is the number of following units of the same text that a unit overlaps, and units of a text have
+    successive numbers, so a bucket is dropped if its first unit overlaps all others. The first and the last
+    bucket of a partition may go on elsewhere and are kept.
+    """
+    last_kept = None  # bucket at the end of the batches so far, if it is kept whatever follows
+    rest = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))  # its rows, if that is still open
+    first = True
+    out = lambda b, u: pa.RecordBatch.from_arrays([pa.array(b), pa.array(u)], ["bucket", "unit"])
     for batch in batches:
         if not batch.num_rows:
             continue
-        bucket, value = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if held is not None:
-            bucket, value = np.concatenate([[held[0]], bucket]), np.concatenate([[held[1]], value])
-        same = bucket[1:] == bucket[:-1]
-        keep = np.zeros(len(bucket), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        keep[0] |= held is None or held[2]
-        held = (bucket[-1], value[-1], bool(keep[-1]))
-        keep[-1] = False
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[keep]), pa.array(value[keep])], ["bucket", "class"])
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], ["bucket", "class"])
+        bucket, unit, over = (np.concatenate([r, batch.column(i).to_numpy()]) for i, r in enumerate(rest))
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        ends = np.concatenate([starts[1:], [len(bucket)]])
+        keep = unit[ends - 1] > unit[starts] + over[starts]
+        if first or bucket[0] == last_kept:
+            keep[0] = True
+        first = False
+        open_ = not keep[-1]
+        last_kept = None if open_ else bucket[-1]
+        rows = np.repeat(keep, ends - starts)
+        rest = (bucket[starts[-1] :], unit[starts[-1] :], over[starts[-1] :]) if open_ else tuple(x[:0] for x in (bucket, unit, over))
+        yield out(bucket[rows], unit[rows])
+    yield out(rest[0], rest[1])
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,11 +174,11 @@ def _mark(text: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, mark, first, last, n_words, class, buckets) of every paragraph; `mark` hashes the text."""
+    """(doc_id, mark, first, last, n_words, class, overlaps, buckets) of every paragraph; `mark` hashes the text."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind, bands = docs.schema["doc_id"].dataType, tune_bands(similarity)
-    schema = f"doc_id {kind.simpleString()}, mark long, first int, last int, n_words int, class long, buckets array<long>"
+    schema = f"doc_id {kind.simpleString()}, mark long, first int, last int, n_words int, class long, overlaps long, buckets array<long>"
     return docs.select("doc_id", _mark(F.col("text")).alias("mark"), "text").mapInArrow(_banded(bands, ROWS, to_arrow_type(kind)), schema)
 
 
@@ -181,60 +191,57 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     overlap don't count as repeats of each other. Null, empty and short texts have no paragraphs, rows
     alike in id and text count as one document, and an empty table gives no rows.
     """
-    found = stored(paragraphs(docs, similarity), "paragraphs")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "first", "last")
-    doc = F.struct("doc_id", "mark")
-    kinds = stored(
-        found.groupBy("class").agg(
-            F.min(place).alias("at"), F.max(place).alias("end"), F.min("buckets").alias("buckets"), F.min(doc).alias("doc"), (F.min(doc) == F.max(doc)).alias("one_doc"),
-            F.min("first").alias("top"), F.max("last").alias("bottom"),
+    found = stored(paragraphs(docs, similarity).withColumn("unit", F.monotonically_increasing_id()), "paragraphs")
+    thin = found.drop("buckets", "overlaps")
+    # ranges of (bucket, unit) cut also a bucket that many share
+    posted = found.select(F.explode("buckets").alias("bucket"), "unit", "overlaps").repartitionByRange("bucket", "unit")
+    near = stored(posted.sortWithinPartitions("bucket", "unit").mapInArrow(_shared, "bucket long, unit long"), "paragraph-buckets")
+    shared = stored(near.join(found.select("unit", "class"), "unit").select("bucket", "class").distinct(), "paragraph-shared")
+    # a bucket of one class holds copies, which are together already
+    several = shared.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("class", F.xxhash64("class")).alias("leader")).where("n > 1").drop("n")
+    led = stored(join_unique(shared, stored(several, "paragraph-leaders"), ["bucket"], ["bucket"]).where("leader is not null"), "paragraph-led")
+    tagged = thin.withColumn("doc", F.xxhash64("doc_id", "mark"))
+    stats = stored(
+        tagged.groupBy("class").agg(
+            F.min("unit").alias("unit"), F.min("doc").alias("doc"), F.max("doc").alias("other_doc"), F.min("first").alias("top"), F.max("first").alias("low"), F.max("last").alias("bottom")
         ),
         "paragraph-classes",
-    )
-    posted = kinds.select(F.explode("buckets").alias("bucket"), "class")
-    # ranges of (bucket, class) cut also a bucket that many classes share
-    placed = posted.repartitionByRange("bucket", "class").sortWithinPartitions("bucket", "class")
-    shared = stored(placed.mapInArrow(_shared, "bucket long, class long"), "paragraph-buckets")
-    wanted = kinds.join(shared.select("class").distinct(), "class", "left_semi")
-    spans = wanted.select("at.doc_id", "at.mark", F.struct("at.first", "at.last", "class").alias("span")).groupBy("doc_id", "mark").agg(F.collect_set("span").alias("spans"))
-    spans = stored(spans.withColumnsRenamed({"doc_id": "its_id", "mark": "its_mark"}), "paragraph-wanted")
+    )
+    wanted = stored(stats.join(led.select("class").distinct(), "class", "left_semi"), "paragraph-wanted")
+    spans = thin.join(wanted.select("unit"), "unit", "left_semi").groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "last", "class")).alias("spans"))
+    spans = stored(spans.withColumnsRenamed({"doc_id": "its_id", "mark": "its_mark"}), "paragraph-spans")
     texts = docs.select("doc_id", "text").withColumn("mark", _mark(F.col("text")))
     read = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))).select("text", "spans")
     shingles = stored(read.mapInArrow(_fetched, "class long, shingles array<long>").dropDuplicates(["class"]), "paragraph-shingles")
-    place_of = kinds.select("class", "doc", "one_doc", "top", "bottom")
 
     def apart(pairs: DataFrame) -> DataFrame:
         """Without pairs that only overlap inside one document."""
-        a = place_of.select(F.col("class").alias("a"), *[F.col(c).alias(f"{c}_a") for c in place_of.columns[1:]])
-        b = place_of.select(F.col("class").alias("b"), *[F.col(c).alias(f"{c}_b") for c in place_of.columns[1:]])
+        names = ("doc", "other_doc", "top", "bottom")
+        a = wanted.select(F.col("class").alias("a"), *[F.col(c).alias(f"{c}_a") for c in names])
+        b = wanted.select(F.col("class").alias("b"), *[F.col(c).alias(f"{c}_b") for c in names])
         met = pairs.join(a, "a").join(b, "b")
-        overlap = F.col("one_doc_a") & F.col("one_doc_b") & F.col("doc_a").eqNullSafe(F.col("doc_b")) & (F.col("top_a") <= F.col("bottom_b")) & (F.col("top_b") <= F.col("bottom_a"))
-        return met.where(~overlap).select("a", "b")
-
-    links = None
-    for turn in range(LEADERS):
-        order = F.xxhash64("class", F.lit(turn))
-        leaders = shared.groupBy("bucket").agg(F.min_by("class", order).alias("leader"))
-        led = join_unique(shared, leaders, ["bucket"], ["bucket"]).where("class <> leader")
-        pairs = led.select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
-        good = stored(_verified(apart(pairs), shingles, similarity), "paragraph-links")
-        links = good if links is None else links.unionByName(good)
+        one_doc = (F.col("doc_a") == F.col("other_doc_a")) & (F.col("doc_b") == F.col("other_doc_b")) & (F.col("doc_a") == F.col("doc_b"))
+        return met.where(~(one_doc & (F.col("top_a") <= F.col("bottom_b")) & (F.col("top_b") <= F.col("bottom_a")))).select("a", "b")
+
+    pairs = led.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
+    links = stored(_verified(apart(pairs), shingles, similarity), "paragraph-links")
     known = stored(components(links, "a", "b"), "paragraph-components")
-    at = shared.join(known, F.col("class") == F.col("node"), "left").select("bucket", "class", F.coalesce("component", "class").alias("root"))
-    at = stored(at, "paragraph-roots")
+    at = stored(led.join(known, F.col("class") == F.col("node"), "left").select("bucket", "class", F.coalesce("component", "class").alias("root")), "paragraph-roots")
     other = at.select(F.col("bucket").alias("bucket_b"), F.col("class").alias("b"), F.col("root").alias("root_b"))
-    across = at.join(other, (F.col("bucket") == F.col("bucket_b")) & (F.col("root") < F.col("root_b"))).select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
-    links = links.unionByName(stored(_verified(apart(across), shingles, similarity), "paragraph-links"))
-    final = components(links, "a", "b")
-    rooted = stored(
-        kinds.join(final, F.col("class") == F.col("node"), "left").select(F.col("class").alias("of"), "at", F.coalesce("component", "class").alias("root"), (F.col("node").isNotNull() | (F.col("at") != F.col("end"))).alias("repeated")),
-        "paragraph-clusters",
-    )
-    kept = rooted.where("repeated").groupBy(F.col("root").alias("cluster")).agg(F.min("at").alias("keeper"))
-    cluster = stored(rooted.where("repeated").join(kept, F.col("root") == F.col("cluster")).select("of", "keeper"), "paragraph-keepers")
-    placed = found.join(cluster, F.col("class") == F.col("of")).select("doc_id", "mark", "first", "last", "n_words", "keeper").distinct()
+    across = at.join(other, (F.col("bucket") == F.col("bucket_b")) & (F.col("root") < F.col("root_b"))).select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
+    tried = pairs.withColumnsRenamed({"a": "old_a", "b": "old_b"})
+    untried = across.distinct().join(tried, (F.col("a") == F.col("old_a")) & (F.col("b") == F.col("old_b")), "left_anti")
+    links = links.unionByName(stored(_verified(apart(untried), shingles, similarity), "paragraph-links"))
+    final = stored(components(links, "a", "b"), "paragraph-clusters")
+    copied = stats.where("doc <> other_doc or top <> low").select(F.col("class").alias("of"))
+    members = copied.unionByName(final.select(F.col("node").alias("of"))).distinct()
+    rooted = members.join(final, F.col("of") == F.col("node"), "left").select("of", F.coalesce("component", "of").alias("root"))
+    placed = stored(thin.join(stored(rooted, "paragraph-members"), F.col("class") == F.col("of")).drop("of", "class", "unit").distinct(), "paragraph-places")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "first", "last")
+    keepers = placed.groupBy(F.col("root").alias("cluster")).agg(F.min(place).alias("keeper"))
+    placed = placed.join(stored(keepers, "paragraph-keepers"), F.col("root") == F.col("cluster"))
     # a run that holds a shorter one of its cluster with the same end repeats only for the sake of that one
-    next_in_text = Window.partitionBy("doc_id", "mark", "keeper").orderBy("first")
+    next_in_text = Window.partitionBy("doc_id", "mark", "root").orderBy("first")
     least = placed.withColumn("next", F.lead("last").over(next_in_text)).where(F.col("next").isNull() | (F.col("next") > F.col("last")))
     stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & F.col("mark").eqNullSafe(F.col("keeper.mark")) & (F.col("first") <= F.col("keeper.last")) & (F.col("keeper.first") <= F.col("last"))
     return least.select("doc_id", "mark", "first", "last", "n_words", F.col("keeper.doc_id").alias("component_id"), (~stays).alias("removed"))
