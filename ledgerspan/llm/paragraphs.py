@@ -215,13 +215,13 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     shingles = stored(read.mapInArrow(_fetched, "class long, shingles array<long>").dropDuplicates(["class"]), "paragraph-shingles")
 
     def apart(pairs: DataFrame) -> DataFrame:
-        """Without pairs that only overlap inside one document."""
-        names = ("doc", "other_doc", "top", "bottom")
+        """Without pairs that stand in one place each, and there overlap."""
+        names = ("doc", "other_doc", "top", "low", "bottom")
         a = wanted.select(F.col("class").alias("a"), *[F.col(c).alias(f"{c}_a") for c in names])
         b = wanted.select(F.col("class").alias("b"), *[F.col(c).alias(f"{c}_b") for c in names])
         met = pairs.join(a, "a").join(b, "b")
-        one_doc = (F.col("doc_a") == F.col("other_doc_a")) & (F.col("doc_b") == F.col("other_doc_b")) & (F.col("doc_a") == F.col("doc_b"))
-        return met.where(~(one_doc & (F.col("top_a") <= F.col("bottom_b")) & (F.col("top_b") <= F.col("bottom_a")))).select("a", "b")
+        once = (F.col("doc_a") == F.col("other_doc_a")) & (F.col("doc_b") == F.col("other_doc_b")) & (F.col("top_a") == F.col("low_a")) & (F.col("top_b") == F.col("low_b"))
+        return met.where(~(once & (F.col("doc_a") == F.col("doc_b")) & (F.col("top_a") <= F.col("bottom_b")) & (F.col("top_b") <= F.col("bottom_a")))).select("a", "b")
 
     pairs = led.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
     links = stored(_verified(apart(pairs), shingles, similarity), "paragraph-links")
