@@ -40,23 +40,25 @@ def vocabulary(words: DataFrame) -> DataFrame:
     return stored(distinct.select("word", F.monotonically_increasing_id().alias("term")), "test-vocabulary")
 
 
-def build_index(docs: DataFrame, vocab: DataFrame, doc: str | None = None) -> DataFrame:
-    """(term, doc, pos, doc_id): the postings of `docs`; doc_id is set on closing postings only.
+def build_index(docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(term, doc, pos, doc_id, mark): the postings of `docs`, whose rows are numbered here.
 
-    `doc` names a column that numbers the rows; without it rows are numbered here.
+    doc_id and `mark`, a hash of the text, are set on closing postings only.
     """
-    number = F.col(doc) if doc else F.monotonically_increasing_id()
-    words = docs.select(number.alias("doc"), "doc_id", F.array_append(tokens(F.col("text")), F.lit(CLOSING)).alias("ws"))
-    each = words.select("doc", "doc_id", F.posexplode("ws").alias("pos", "raw"))
-    each = each.select("doc", "pos", ascii_lower(F.col("raw")).alias("word"), F.when(F.col("raw") == CLOSING, F.col("doc_id")).alias("doc_id"))
-    postings = each.join(vocab, "word").select("term", "doc", "pos", "doc_id")
+    words = docs.select(
+        F.monotonically_increasing_id().alias("doc"), "doc_id", F.xxhash64("text").alias("mark"), F.array_append(tokens(F.col("text")), F.lit(CLOSING)).alias("ws")
+    )
+    each = words.select("doc", "doc_id", "mark", F.posexplode("ws").alias("pos", "raw"))
+    at_end = lambda c: F.when(F.col("raw") == CLOSING, F.col(c)).alias(c)
+    each = each.select("doc", "pos", ascii_lower(F.col("raw")).alias("word"), at_end("doc_id"), at_end("mark"))
+    postings = each.join(vocab, "word").select("term", "doc", "pos", "doc_id", "mark")
     return stored(postings.sortWithinPartitions("term"), "postings")
 
 
 def closing(index: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(doc, doc_id, n_words) of every indexed row."""
+    """(doc, doc_id, mark, n_words) of every indexed row."""
     last = vocab.where(F.col("word") == CLOSING).select("term")
-    return index.join(last, "term", "left_semi").select("doc", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    return index.join(last, "term", "left_semi").select("doc", "doc_id", "mark", F.col("pos").cast("long").alias("n_words"))
 
 
 def anchors(words: DataFrame, vocab: DataFrame, index: DataFrame, window: int) -> DataFrame:
@@ -165,16 +167,20 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that are not contaminated, with the columns of `docs`."""
-    number, bad_number = fresh(docs.columns, "__doc"), fresh(docs.columns, "__contaminated")
-    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "decontamination-docs")
+    """The documents that are not contaminated, with the columns of `docs`.
+
+    Rows are told apart by id and hash of the text. The table of contaminated rows is broadcast while it
+    is small; otherwise both sides are shuffled.
+    """
+    its_id, its_mark = fresh(docs.columns, "__id"), fresh(docs.columns, "__mark")
     words = test_words(items)
     vocab = vocabulary(words)
-    index = build_index(numbered, vocab, number)
+    index = build_index(docs, vocab)
     found = hits(phrases(index, words, vocab, window))
     judged = found.join(closing(index, vocab), "doc").where(_contaminated(F.col("n_hit"), F.col("n_words")))
-    bad = stored(judged.select(F.col("doc").alias(bad_number)), "contaminated")
-    return numbered.join(bad, F.col(number) == F.col(bad_number), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = stored(judged.select(F.col("doc_id").alias(its_id), F.col("mark").alias(its_mark)).distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(F.col(its_id)) & (F.xxhash64(docs["text"]) == F.col(its_mark))
+    return docs.join(bad, same, "left_anti")
 
 
 def benchmark(spark, sf_dir: str) -> DataFrame:

@@ -141,17 +141,20 @@ def groups(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """One row of each group, with the columns of `docs`: that of the smallest doc_id (null ids last).
 
-    Of rows that repeat the id, the one whose text hashes lowest stays; rows alike in both are copies,
-    and any single one stays. Each row gets a number when it is stored, which tells copies apart.
+    Of rows that repeat the id, the one whose text hashes lowest stays; of rows alike in both any single
+    one. Only ids and hashes are stored; the texts meet the table of those that stay in one join.
     """
-    mark, number, kept_number = (fresh(docs.columns, n) for n in ("__fp", "__row", "__kept"))
-    numbered = stored(docs.withColumns({mark: fingerprint("text"), number: F.monotonically_increasing_id()}), "simhash-docs")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text").alias("h"), F.col(number).alias("row"))
-    distinct = stored(numbered.groupBy(F.col(mark).alias("fp")).agg(F.min(order).alias("first")), "simhash-values")
+    none, mark, wins = (fresh(docs.columns, n) for n in ("__none", "__mark", "__wins"))
+    thin = stored(docs.select("doc_id", F.xxhash64("text").alias("mark"), fingerprint("text").alias("fp")), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("mark"))
+    distinct = stored(thin.groupBy("fp").agg(F.min(order).alias("first")), "simhash-values")
     joined = components(links(distinct, "fp", distance), "a", "b")
     rooted = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "first", F.coalesce("component", "fp").alias("root")
     )
-    best = stored(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(kept_number)), "simhash-kept")
-    kept = numbered.join(best, F.col(number) == F.col(kept_number), "left_semi")
+    best = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    best = stored(best.select(F.coalesce("first.doc_id", F.lit(0)).alias(wins), F.col("first.none").alias(none), F.col("first.mark").alias(mark)), "simhash-kept")
+    same = (F.coalesce(docs["doc_id"], F.lit(0)) == F.col(wins)) & (docs["doc_id"].isNull() == F.col(none)) & (F.xxhash64(docs["text"]) == F.col(mark))
+    # the join's own partitioning serves the removal of rows alike in id and text
+    kept = docs.join(best, same).dropDuplicates([wins, none, mark])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
