@@ -21,7 +21,8 @@ TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
 FREQUENT = 32_768  # entries of the broadcast table (about 2 MB)
 SUMMARY = 4_096  # entries that a task's summary may report
-HELD = 1 << 17  # entries that a task counts before it prunes, and that a worker caches
+HELD = 1 << 17  # entries that a task counts before it prunes
+CACHED = 1 << 20  # entries that a worker caches besides (about 100 MB)
 # Fixed value: how a byte-level BPE tokenizer of this kind cuts a text.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters on whose class every Unicode version agrees; a text with any other is cut by the library.
@@ -89,30 +90,37 @@ def frequent(docs: DataFrame, path: str, size: int = FREQUENT) -> dict[str, int]
     return {p: len(e.ids) for p, e in zip(pieces, tokenizer.encode_batch(pieces, add_special_tokens=False))} if pieces else {}
 
 
+class Lengths(dict):
+    """Lengths by pre-token: the broadcast table, and what the worker has encoded besides, up to CACHED entries."""
+
+    def __init__(self, table: dict[str, int], tokenizer):
+        super().__init__(table)
+        self.table, self.tokenizer = table, tokenizer
+
+    def __missing__(self, piece: str) -> int:
+        n = len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        if len(self) >= CACHED + len(self.table):
+            self.clear()
+            self.update(self.table)
+        self[piece] = n
+        return n
+
+
 def counter(path: str, table):
     """Function from text to its number of tokens; `table` is the broadcast of `frequent`."""
-    cache: dict[str, int] = _per_process(f"lengths {path}", dict)
     tokenizer, find, plain, special = _tools(path)
+    # one per worker: what it has encoded outlives the task, and a later table only adds to it
+    lengths = _per_process(f"lengths {path}", lambda: Lengths(table.value, tokenizer))
+    if lengths.table is not table.value:
+        lengths.table = table.value
+        lengths.update(table.value)
 
     def count(text: str | None) -> int:
         if not text:
             return 0
         if not _is_plain(text, plain, special):
             return len(tokenizer.encode(text, add_special_tokens=False).ids)
-        known = table.value
-        found = list(map(known.get, pieces := find(text)))
-        if None not in found:
-            return sum(found)
-        total = 0
-        for piece, n in zip(pieces, found):
-            if n is None:
-                n = cache.get(piece)
-                if n is None:
-                    if len(cache) >= HELD:
-                        cache.clear()
-                    n = cache[piece] = len(tokenizer.encode(piece, add_special_tokens=False).ids)
-            total += n
-        return total
+        return sum(map(lengths.__getitem__, find(text)))
 
     return count
 
