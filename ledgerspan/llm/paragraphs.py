@@ -6,6 +6,11 @@ wherever it stands. Equal paragraphs form one class at once. Classes are banded
 bucket are compared by the exact Jaccard similarity of their five-word shingles, and clusters are the
 components of the links.
 
+A passage may also begin and end inside longer lines. Every run of MIN_WORDS words that stands, word for
+word, in two places is found, wherever its lines break; such runs that follow each other make one passage.
+All runs hang on a seed of SEED_WORDS words, chosen by the words of the run alone, and only runs whose seed
+stands in two places are compared. What differs in single words is found where its lines are paragraphs.
+
 A bucket is never expanded into all its pairs: its members are first compared with one of them; then
 only members that are in different components by now still meet. What the buckets propose is thereby
 decided in full, while a bucket of many alike paragraphs costs about its size.
@@ -13,14 +18,16 @@ decided in full, while a bucket of many alike paragraphs costs about its size.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerspan.llm.common import fresh, stored
+from ledgerspan.llm.common import WORD, fresh, stored
 from ledgerspan.llm.components import components
 from ledgerspan.operators.skew import join_unique
 
@@ -30,6 +37,8 @@ SIMILARITY = 0.8
 RECALL = 0.998  # chance that a pair of exactly SIMILARITY shares a bucket
 ROWS = 3
 SEED = 11
+SEED_WORDS = 25  # a run has MIN_WORDS - SEED_WORDS + 1 of these
+FLUSH = 500_000  # words
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -71,8 +80,8 @@ def _numbers(n: int) -> np.ndarray:
     return rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
 
 
-def _cut(text: str | None, hashed) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """(first line, last line, words, shingle hashes) of every paragraph of a text."""
+def _cut(text: str | None, hashed) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+    """(first line, last line, first word, words, shingle hashes) of every paragraph of a text."""
     lines = [line.split() for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
     counts = [len(w) for w in lines]
     found = runs(counts)
@@ -83,7 +92,7 @@ def _cut(text: str | None, hashed) -> Iterator[tuple[int, int, int, np.ndarray]]
     whole = shingle_hashes(values)
     for first, last in found:
         a, b = places[first], places[last + 1]
-        yield first, last, int(b - a), whole[a : b - SHINGLE + 1] if b - a >= SHINGLE else shingle_hashes(values[a:b])
+        yield first, last, int(a), int(b - a), whole[a : b - SHINGLE + 1] if b - a >= SHINGLE else shingle_hashes(values[a:b])
 
 
 def _banded(bands: int, rows: int, id_type: pa.DataType):
@@ -94,24 +103,24 @@ def _banded(bands: int, rows: int, id_type: pa.DataType):
         mix = _numbers(rows + bands)
         hashed = xxhash.xxh64_intdigest
         for batch in batches:
-            out = [[] for _ in range(7)]
+            out = [[] for _ in range(8)]
             keys = []
             for doc_id, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 cut = list(_cut(text, hashed))
                 firsts = [c[0] for c in cut]
-                for at, (first, last, n, shingles) in enumerate(cut):
+                for at, (first, last, start, n, shingles) in enumerate(cut):
                     overlaps = bisect_right(firsts, last) - at - 1
                     with np.errstate(over="ignore"):
                         # order matters for a class, not for the MinHash
                         same = int(np.bitwise_xor.reduce(shingles * (np.arange(1, 2 * len(shingles), 2, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))))
                         least = np.array([(shingles * f).min() for f in factors]).reshape(bands, rows)
                         keys.append((least * mix[:rows]).sum(1) ^ mix[rows:])
-                    for column, value in zip(out, (doc_id, mark, first, last, n, same - (1 << 64) if same >> 63 else same, overlaps)):
+                    for column, value in zip(out, (doc_id, mark, first, last, start, n, same - (1 << 64) if same >> 63 else same, overlaps)):
                         column.append(value)
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             buckets = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), pa.array(flat))
-            types = (id_type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(out, types)], buckets], ["doc_id", "mark", "first", "last", "n_words", "class", "overlaps", "buckets"])
+            types = (id_type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(out, types)], buckets], ["doc_id", "mark", "first", "last", "start", "n_words", "class", "overlaps", "buckets"])
 
     return run
 
@@ -153,7 +162,7 @@ def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, shingles = [], []
         for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             at = {(w["first"], w["last"]): w["class"] for w in wanted}
-            for first, last, _, found in _cut(text, xxhash.xxh64_intdigest):
+            for first, last, _, _, found in _cut(text, xxhash.xxh64_intdigest):
                 if (first, last) in at:
                     classes.append(at[(first, last)])
                     shingles.append(np.unique(found.view(np.int64)))
@@ -169,25 +178,162 @@ def _verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataF
     return met.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _joined(hashed: np.ndarray, n: int, step: int) -> np.ndarray:
+    """A hash of every `n` values that are `step` apart."""
+    size = len(hashed) - (n - 1) * step
+    out = np.zeros(size, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            out = (out ^ hashed[k * step : k * step + size]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+    return out
+
+
+def _windowed(id_type: pa.DataType):
+    """(doc_id, mark, at, seed, windows): hashes of all runs of MIN_WORDS words, from the word `at` on, cut where their seed changes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        names, places = ["doc_id", "mark", "at", "seed", "windows"], MIN_WORDS - SEED_WORDS + 1
+
+        def out(ids: list, marks: list, ats: list, seeds: list, windows: list) -> pa.RecordBatch:
+            join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
+            flat, sizes = join(windows, np.uint64).view(np.int64), [np.diff(np.append(a, len(w))) for a, w in zip(ats, windows)]
+            each = [len(a) for a in ats]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(join(sizes, np.int64))]), pa.int32())
+            repeated = pa.array(np.repeat(np.arange(len(ids)), each))
+            columns = [pa.array(ids, id_type).take(repeated), pa.array(marks, pa.int64()).take(repeated), pa.array(join(ats, np.int32)), pa.array(join(seeds, np.uint64).view(np.int64))]
+            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, pa.array(flat))], names)
+
+        for batch in batches:
+            held, total = ([], [], [], [], []), 0
+            for doc_id, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = words_in(text)
+                if len(words) < MIN_WORDS:
+                    continue
+                values = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+                five = _joined(values, SHINGLE, 1)
+                seed = _joined(five, SEED_WORDS // SHINGLE, SHINGLE)
+                windows = _joined(seed, MIN_WORDS // SEED_WORDS, SEED_WORDS)
+                anchors = np.arange(len(windows)) + np.lib.stride_tricks.sliding_window_view(five, places)[: len(windows)].argmin(1)
+                ats = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+                for column, value in zip(held, (doc_id, mark, ats, seed[anchors[ats]], windows)):
+                    column.append(value)
+                total += len(words)
+                if total > FLUSH:
+                    yield out(*held)
+                    held, total = ([], [], [], [], []), 0
+            yield out(*held)
+
+    return run
+
+
+def _merged(id_type: pa.DataType):
+    """From texts with their repeated runs (place, keeper's mark, id and place) and covered words, the passages that whole lines don't cover."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[] for _ in range(6)]
+            ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for k, (doc_id, mark) in enumerate(zip(ids, marks)):
+                found, lines = batch.column(2)[k].values, batch.column(3)[k].as_py() or []
+                pos, order = np.unique(found.field("pos").to_numpy(), return_index=True)
+                its_mark, its_pos = (found.field(f).to_numpy()[order] for f in ("its_mark", "its_pos"))
+                its_id = found.field("its_id")
+                numbers = pc.dictionary_encode(pc.take(its_id, pa.array(order)), null_encoding="encode").indices.to_numpy()
+                own = np.array([x == doc_id for x in pc.take(its_id, pa.array(order)).to_pylist()], bool) if (its_mark == mark).any() else np.zeros(len(pos), bool)
+                near = own & (its_mark == mark) & (np.abs(its_pos - pos) < MIN_WORDS)
+                cut = (np.diff(pos) != 1) | (np.diff(its_mark) != 0) | (np.diff(numbers) != 0) | (near[1:] != near[:-1])
+                starts = np.flatnonzero(np.concatenate([[True], cut]))
+                ends = np.concatenate([starts[1:], [len(pos)]]) - 1
+                size = max([int(pos[-1]) + MIN_WORDS, *[x["start"] + x["n_words"] for x in lines]])
+                by_any, by_removed = np.zeros(size, bool), np.zeros(size, bool)
+                for x in lines:
+                    by_any[x["start"] : x["start"] + x["n_words"]] = True
+                    if x["removed"]:
+                        by_removed[x["start"] : x["start"] + x["n_words"]] = True
+                for a, b in zip(starts, ends):
+                    start, end, keeper, stays = int(pos[a]), int(pos[b]) + MIN_WORDS, its_id[int(order[a])].as_py(), bool(near[a])
+                    # a few words more than whole lines agree by chance
+                    if np.count_nonzero(~(by_any if stays else by_removed)[start:end]) < SHINGLE:
+                        continue
+                    for column, value in zip(out, (doc_id, mark, start, end - start, keeper, not stays)):
+                        column.append(value)
+            types = (id_type, pa.int64(), pa.int32(), pa.int32(), id_type, pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["doc_id", "mark", "start", "n_words", "component_id", "removed"])
+
+    return run
+
+
+def _lined(id_type: pa.DataType):
+    """Passages with the lines that they touch, from (doc_id, mark, text, spans)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[] for _ in range(8)]
+            for doc_id, mark, text, spans in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                ends = np.cumsum([len(line.split()) for line in text.encode("utf-8", "surrogatepass").split(b"\n")])
+                for x in spans:
+                    first, last = np.searchsorted(ends, [x["start"], x["start"] + x["n_words"] - 1], "right")
+                    for column, value in zip(out, (doc_id, mark, int(first), int(last), x["n_words"], x["component_id"], x["removed"], x["start"])):
+                        column.append(value)
+            types = (id_type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), id_type, pa.bool_(), pa.int32())
+            names = ["doc_id", "mark", "first", "last", "n_words", "component_id", "removed", "start"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+
+    return run
+
+
+def passages(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(doc_id, mark, first, last, n_words, component_id, removed, start) of the passages that repeat word for word beyond `lines`,
+    the places of whole lines with doc_id, mark, start, n_words and removed."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(docs.schema["doc_id"].dataType)
+    name = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", _mark(F.col("text")).alias("mark"), "text")
+    cut = stored(texts.mapInArrow(_windowed(kind), f"doc_id {name}, mark long, at int, seed long, windows array<long>"), "passage-windows")
+    seeds = stored(cut.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "passage-seeds")
+    met = join_unique(cut, seeds, ["seed"], ["seed"]).where("n is not null")
+    each = stored(met.select("doc_id", "mark", "at", F.posexplode("windows").alias("i", "window")).select("doc_id", "mark", (F.col("at") + F.col("i")).alias("pos"), "window"), "passage-runs")
+    doc = F.xxhash64("doc_id", "mark")
+    twice = each.groupBy("window").agg(F.min(doc).alias("doc"), F.max(doc).alias("other"), F.min("pos").alias("top"), F.max("pos").alias("low"))
+    twice = stored(twice.where(f"doc <> other or low - top >= {MIN_WORDS}").select("window", F.lit(True).alias("twice")), "passage-repeats")
+    again = stored(join_unique(each, twice, ["window"], ["window"]).where("twice").drop("twice"), "passage-places")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark"), F.col("pos").alias("its_pos"))
+    keepers = stored(again.groupBy("window").agg(F.min(place).alias("keeper")), "passage-keepers")
+    kept = join_unique(again, keepers, ["window"], ["window"]).select("doc_id", "mark", F.struct("pos", "keeper.its_id", "keeper.its_mark", "keeper.its_pos").alias("run"))
+    runs_of = kept.groupBy("doc_id", "mark").agg(F.collect_list("run").alias("runs"))
+    covered = lines.groupBy(F.col("doc_id").alias("lines_id"), F.col("mark").alias("lines_mark")).agg(F.collect_set(F.struct("start", "n_words", "removed")).alias("lines"))
+    both = runs_of.join(covered, F.col("doc_id").eqNullSafe(F.col("lines_id")) & (F.col("mark") == F.col("lines_mark")), "left").select("doc_id", "mark", "runs", "lines")
+    found = both.mapInArrow(_merged(kind), f"doc_id {name}, mark long, start int, n_words int, component_id {name}, removed boolean")
+    spans = found.groupBy(F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark")).agg(F.collect_set(F.struct("start", "n_words", "component_id", "removed")).alias("spans"))
+    spans = stored(spans, "passage-spans")
+    read = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))).select("doc_id", "mark", "text", "spans")
+    schema = f"doc_id {name}, mark long, first int, last int, n_words int, component_id {name}, removed boolean, start int"
+    # rows alike in id and text give the same passages
+    return read.dropDuplicates(["doc_id", "mark"]).mapInArrow(_lined(kind), schema)
+
+
 def _mark(text: Column) -> Column:
     return F.xxhash64(text)
 
 
 def paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, mark, first, last, n_words, class, overlaps, buckets) of every paragraph; `mark` hashes the text."""
+    """(doc_id, mark, first, last, start, n_words, class, overlaps, buckets) of every paragraph; `mark` hashes the text."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind, bands = docs.schema["doc_id"].dataType, tune_bands(similarity)
-    schema = f"doc_id {kind.simpleString()}, mark long, first int, last int, n_words int, class long, overlaps long, buckets array<long>"
+    schema = f"doc_id {kind.simpleString()}, mark long, first int, last int, start int, n_words int, class long, overlaps long, buckets array<long>"
     return docs.select("doc_id", _mark(F.col("text")).alias("mark"), "text").mapInArrow(_banded(bands, ROWS, to_arrow_type(kind)), schema)
 
 
 def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, mark, first, last, n_words, component_id, removed): the places of all repeated paragraphs.
+    """(doc_id, mark, first, last, n_words, component_id, removed, start, whole): the places of all repeated paragraphs.
 
     A cluster's paragraph in the smallest doc_id (ties: the smallest mark and line) stays, and so does what
     overlaps it; all others are `removed`. component_id is that doc_id. Of runs of a cluster that end on
-    the same line the shortest counts. Lines are numbered from 0. Paragraphs of one document that
+    the same line the shortest counts. Lines are numbered from 0, and words from `start` on, the first of the place. Passages
+    that reach SHINGLE words or more beyond whole lines have a row of their own, with the lines that they
+    touch and without `whole`; of these the smallest doc_id and word stay. Paragraphs of one document that
     overlap don't count as repeats of each other. Null, empty and short texts have no paragraphs, rows
     alike in id and text count as one document, and an empty table gives no rows.
     """
@@ -244,16 +390,36 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     next_in_text = Window.partitionBy("doc_id", "mark", "root").orderBy("first")
     least = placed.withColumn("next", F.lead("last").over(next_in_text)).where(F.col("next").isNull() | (F.col("next") > F.col("last")))
     stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & F.col("mark").eqNullSafe(F.col("keeper.mark")) & (F.col("first") <= F.col("keeper.last")) & (F.col("keeper.first") <= F.col("last"))
-    return least.select("doc_id", "mark", "first", "last", "n_words", F.col("keeper.doc_id").alias("component_id"), (~stays).alias("removed"))
+    lines = stored(least.select("doc_id", "mark", "first", "last", "n_words", F.col("keeper.doc_id").alias("component_id"), (~stays).alias("removed"), "start"), "paragraph-lines")
+    return lines.withColumn("whole", F.lit(True)).unionByName(passages(docs, lines).withColumn("whole", F.lit(False)))
+
+
+def _left(text: str, lines: list[int] | None, spans: list | None) -> str:
+    """`text` without the lines, and without the words of the spans (start, n_words); a line that loses all its words goes."""
+    gone, out, at = set(lines or ()), [], 0
+    dropped = {k for s in spans or () for k in range(s["start"], s["start"] + s["n_words"])}
+    for i, line in enumerate(text.split("\n")):
+        found = list(re.finditer(WORD, line))
+        stay = [k for k in range(len(found)) if at + k not in dropped]
+        at += len(found)
+        if i in gone or (found and not stay):
+            continue
+        if len(stay) < len(found):
+            # every word keeps the white space before it
+            line = "".join(line[found[k - 1].end() if k else 0 : found[k].end()] for k in stay) + line[found[-1].end() :]
+        out.append(line)
+    return "\n".join(out)
 
 
 def without_repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """`docs` with the removed lines taken out of the texts; other columns stay."""
-    gone = repeats(docs, similarity).where("removed")
-    lines = gone.select("doc_id", "mark", F.explode(F.sequence("first", "last")).alias("line")).groupBy("doc_id", "mark").agg(F.collect_set("line").alias("gone"))
-    its_id, its_mark, gone_name = (fresh(docs.columns, x) for x in ("__id", "__mark", "__gone"))
-    lines = stored(lines.withColumnsRenamed({"doc_id": its_id, "mark": its_mark, "gone": gone_name}), "paragraph-removals")
-    met = docs.join(lines, docs["doc_id"].eqNullSafe(F.col(its_id)) & (_mark(F.col("text")) == F.col(its_mark)), "left")
-    left = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(gone_name), i))
-    text = F.when(F.col(gone_name).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return met.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    """`docs` with the removed lines and passages taken out of the texts; other columns stay."""
+    gone = stored(repeats(docs, similarity).where("removed"), "paragraph-removed")
+    per_text = gone.groupBy("doc_id", "mark").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("whole"), F.sequence("first", "last"))))).alias("gone"),
+        F.collect_list(F.when(~F.col("whole"), F.struct("start", "n_words"))).alias("spans"),
+    )
+    its_id, its_mark, gone_name, spans_name = (fresh(docs.columns, x) for x in ("__id", "__mark", "__gone", "__spans"))
+    per_text = stored(per_text.withColumnsRenamed({"doc_id": its_id, "mark": its_mark, "gone": gone_name, "spans": spans_name}), "paragraph-removals")
+    met = docs.join(per_text, docs["doc_id"].eqNullSafe(F.col(its_id)) & (_mark(F.col("text")) == F.col(its_mark)), "left")
+    left = F.udf(lambda text, lines, spans: text if lines is None and spans is None else _left(text, lines, spans), "string")
+    return met.select(*[left("text", gone_name, spans_name).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -148,6 +148,30 @@ def test_repeated_paragraphs(spark):
     assert left[5] == rows[5][1] and left[130] == ""
 
 
+def test_repeated_passages_inside_long_lines(spark):
+    one, two, least, short = (prose(9000 + i, n, per_line=n) for i, n in enumerate((60, 140, 50, 49)))
+    line = lambda seed, n: prose(seed, n, per_line=n)
+    rows = [(i, f"{line(700 + i, 70)} {one} {line(720 + i, 90)}\n{line(740 + i, 30)}") for i in range(3)]
+    rows += [(10 + i, f"{line(760 + i, 7 + 9 * i)} " + "\n".join([" ".join(two.split()[: 45 + i]), " ".join(two.split()[45 + i :])]) + f" {line(780 + i, 80)}") for i in range(3)]
+    rows += [(20, f"{line(800, 40)} {least} {line(801, 40)} {least} {line(802, 30)}")]
+    rows += [(30 + i, f"{line(810 + i, 60)} {short} {line(830 + i, 60)}") for i in range(2)]
+    rows += [(40, f"{line(840, 90)}"), (41, f"{line(841, 55)} {line(840, 90)} {line(842, 55)}"), (42, line(840, 90))]
+    places = {}
+    for r in paragraphs.repeats(frame(spark, rows)).collect():
+        words = dict(rows)[r["doc_id"]].split()
+        places.setdefault(r["doc_id"], []).append((" ".join(words[r["start"] : r["start"] + r["n_words"]]), r["component_id"], r["removed"]))
+    want = {i: (one, 0, i > 0) for i in range(3)} | {10 + i: (two.replace("\n", " "), 10, i > 0) for i in range(3)}
+    for i, (text, keeper, removed) in want.items():
+        # a word or two beside it may agree by chance
+        assert any(text in t and len(t.split()) <= len(text.split()) + 4 and k == keeper and gone == removed for t, k, gone in places[i]), i
+    assert sorted(gone for t, _, gone in places[20] if least in t) == [False, True]
+    assert not {30, 31} & set(places) and {40, 41, 42} <= set(places)
+    left = {r["doc_id"]: r["text"] for r in paragraphs.without_repeats(frame(spark, rows)).collect()}
+    assert left[0] == rows[0][1] and left[10] == rows[3][1] and left[40] == line(840, 90) and left[42] == ""
+    assert all(one not in left[i] and 186 <= len(left[i].split()) <= 190 for i in (1, 2))
+    assert left[20].count(least) == 1 and left[41] == f"{line(841, 55)} {line(842, 55)}"
+
+
 def test_bands_reach_their_recall():
     bands = paragraphs.tune_bands(0.8, 0.998, 3)
     assert 1 - (1 - 0.8**3) ** bands >= 0.998 > 1 - (1 - 0.8**3) ** (bands - 1)
