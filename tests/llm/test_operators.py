@@ -348,6 +348,19 @@ def test_rules(spark):
     assert all(got[100 + i]["kept"] for i in range(60)) and not any(got[300 + i]["kept"] for i in range(5))
 
 
+def test_texts_without_common_words_are_far(spark):
+    def text(seed, share):
+        rng = random.Random(seed)
+        return " ".join(rng.choice(["the", "of", "and", "to", "in", "is"]) if rng.random() < share else w for w in prose(seed, 200).split())
+
+    rows = [(i, text(i, 0.18)) for i in range(60)] + [(100 + i, text(100 + i, 0)) for i in range(3)]
+    got = {r["doc_id"]: r for r in rules.report(frame(spark, rows)).collect()}
+    assert all(got[i]["kept"] for i in range(60))
+    for i in range(3):
+        r = got[100 + i]
+        assert not r["base_failed"] and not r["kept"] and r["class_distance"] < rules.MAX_CLASS_DISTANCE
+
+
 def test_divergence(spark):
     row = spark.createDataFrame([([0.5, 0.5, 0.0], [0.0, 0.5, 0.5], [0.5, 0.5, 0.0])], "p array<double>, q array<double>, r array<double>")
     got = row.select(rules.divergence(F.col("p"), F.col("q")).alias("a"), rules.divergence(F.col("p"), F.col("r")).alias("b")).first()
