@@ -1,6 +1,7 @@
 """Secret scans: candidates by shape, then a random forest that removes false positives.
 
-A candidate is a whole run of 16 or more characters of keys, with a digit in it. The forest looks at its length and
+A candidate is a whole run of 16 or more characters of keys, with a digit in it, or any value that is
+assigned to a telling name, whatever its length and characters. The forest looks at its length and
 character transitions, how much of it a dictionary covers, and whether a path or telling words stand
 beside it. It is trained from labelled findings; candidates, features and scoring are column expressions
 and the forest that of Spark ML, so nothing leaves the JVM.
@@ -16,15 +17,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerspan.llm.common import crc_remainder, fresh, stored
 
 RUN = r"[A-Za-z0-9+/_\-]"
-CANDIDATE = rf"(?<!{RUN})(?=[A-Za-z+/_\-]*[0-9]){RUN}{{16,}}+"
+LONG = rf"(?<!{RUN})(?=[A-Za-z+/_\-]*[0-9]){RUN}{{16,}}+"
 BEFORE, AFTER = 32, 8  # characters of context
 TREES, DEPTH, SEED = 30, 6, 5
 THRESHOLD = 0.5
 DIVISOR, HELD_OUT = 5, 0
 
 # Names that secrets are assigned to, formats that issuers document, and frequent parts of words.
-NAMES = r"(?i)(pass(word|wd)?|secret|token|api_?key|access_?key|private_?key|auth|bearer|credential)"
-ASSIGNED = NAMES + r"\"?'?\s*(=|:|:=|=>)\s*[\"']?$"
+NAMES = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|auth|bearer|credential)"
+TELLING = rf"(?:{NAMES}|(?i:key))"  # wider, for candidates
+SCHEME = r"(?:(?i:bearer|basic|token)\s{1,8})?"
+GIVEN = rf"{RUN}*+[\"']?\s{{0,8}}(?:=>|:=|=|:)\s{{0,8}}{SCHEME}[\"']?"
+ASSIGNED = NAMES + GIVEN + "$"
+PREFIX = rf"(?:(?<!{RUN}){RUN}*?{TELLING}{GIVEN}{SCHEME}|(?<!{RUN})(?i:bearer)\s{{1,8}})"
+# Inside quotes up to the closing one, with blanks unless that would hide a long run; else up to a blank, a quote or the next parameter of an address.
+QUOTED = "|".join(rf"(?<={q})(?:[^{q}\s]++(?={q})|(?![^{q}\r\n]*{RUN}{{16}})[^{q}\r\n]++(?={q}))" for q in ("\"", "'"))
+VALUE = rf"(?:{QUOTED}|[^\s\"']+?(?=[,;)\]}}>]*(?:\s|\z|[\"'])|&[\w.\-]+=))"
+CANDIDATE = rf"(?:{PREFIX}{VALUE}|{LONG})"
 FORMATS = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^sk[-_][A-Za-z0-9_\-]{20,}$|^xox[abprs]-[A-Za-z0-9\-]{10,}$"
 PARTS = r"(?i)(tion|ing|the|and|ent|ion|for|ere|her|ter|hat|tha|ate|all|eth|ver|his|oft|ith|com|www|http|file|data|user|home|index|image|page|test)"
 FEATURES = (
@@ -43,8 +52,10 @@ def candidates(docs: DataFrame, row: str | None = None) -> DataFrame:
     found = docs.select(number.alias("row"), "doc_id", text.alias("t"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"))
     # n candidates cut the text into n + 1 pieces
     cut = found.where(F.size("found") > 0).withColumn("pieces", F.split("t", CANDIDATE, -1))
-    each = cut.select("row", "doc_id", "pieces", F.posexplode("found").alias("number", "candidate"))
-    piece, following = F.get("pieces", F.col("number")), F.get("pieces", F.col("number") + 1)
+    each = cut.select("row", "doc_id", "pieces", F.posexplode("found").alias("number", "match"))
+    each = each.withColumn("candidate", F.regexp_replace("match", f"^{PREFIX}(?=.)", ""))
+    named = F.left("match", F.length("match") - F.length("candidate"))
+    piece, following = F.concat(F.get("pieces", F.col("number")), named), F.get("pieces", F.col("number") + 1)
     placed = each.select(
         "row", "doc_id", "number", "candidate", F.length(piece).alias("gap"), F.right(piece, F.lit(BEFORE)).alias("before"), F.left(following, F.lit(AFTER)).alias("after")
     )
@@ -118,13 +129,20 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """`docs` with every secret replaced by as many asterisks; other columns stay."""
+    """`docs` with every secret replaced by as many asterisks, one of 16 characters or more wherever it stands; other columns stay."""
     number, at, found_name = (fresh(docs.columns, x) for x in ("__row", "__at", "__secrets"))
     numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "secret-docs")
     found = stored(described(candidates(numbered, number)), "secret-candidates")
     bad = judged(found, train(rule_labels(found))).where("is_secret")
-    per_text = stored(bad.groupBy(F.col("row").alias(at)).agg(F.collect_set("candidate").alias(found_name)), "secret-texts")
+    per_text = stored(bad.groupBy(F.col("row").alias(at)).agg(F.collect_set(F.struct("start", "candidate")).alias(found_name)), "secret-texts")
     met = numbered.join(per_text, F.col(number) == F.col(at), "left")
-    secrets = F.coalesce(F.col(found_name), F.array().cast("array<string>"))
-    cleaned = F.aggregate(secrets, F.col("text"), lambda t, s: F.replace(t, s, F.repeat(F.lit("*"), F.length(s))))
+    secrets = F.coalesce(F.col(found_name), F.array().cast("array<struct<start:bigint,candidate:string>>"))
+
+    def hidden(t: Column, x: Column) -> Column:
+        start, value = x.getField("start").cast("int"), x.getField("candidate")
+        stars = F.repeat(F.lit("*"), F.length(value))
+        there = F.overlay(t, stars, start + 1, F.length(value))
+        return F.when(F.length(value) >= 16, F.replace(there, value, stars)).otherwise(there)
+
+    cleaned = F.aggregate(secrets, F.col("text"), hidden)
     return met.select(*[cleaned.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])

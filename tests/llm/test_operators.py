@@ -238,6 +238,20 @@ def test_secrets(spark):
     assert all(("*" * 18 in clean[i]) if i % 4 < 2 else clean[i] == texts[i] for i in texts)
 
 
+def test_assigned_values_are_candidates(spark):
+    values = {
+        'password="Tr0ub4d&r3!"': "Tr0ub4d&r3!", "passwd: s3cr.et@x#y$z": "s3cr.et@x#y$z", "api_key = 'qwXvbnKjhgZfdsPoiuYt'": "qwXvbnKjhgZfdsPoiuYt", "pass=x7!": "x7!",
+        "API_KEY_PROD=Zq81kLm0": "Zq81kLm0", "Authorization: Bearer abcDEFghi.JKL": "abcDEFghi.JKL", 'pwd: "correct horse battery"': "correct horse battery",
+        "https://a.b/?token=q1w2e3&x=1": "q1w2e3", "my_secret_0123456789abcdef=Hx9$k": "Hx9$k", "(password=zU7-qq!x),": "zU7-qq!x", "auth_token => R2d2.C3po": "R2d2.C3po",
+    }
+    rows = [(i, f"{prose(i, 20)} {t} {prose(900 + i, 10)}") for i, t in enumerate(values)]
+    texts, found = dict(rows), {}
+    for r in secrets.candidates(frame(spark, rows)).collect():
+        assert texts[r["doc_id"]][r["start"] : r["start"] + len(r["candidate"])] == r["candidate"]
+        found.setdefault(r["doc_id"], set()).add(r["candidate"])
+    assert all(v in found.get(i, ()) for i, v in enumerate(values.values()))
+
+
 # 6
 
 
