@@ -40,6 +40,9 @@ FEATURES = (
     "length", "transitions", "digit_share", "upper_share", "hex", "digits_only", "distinct_share", "dictionary", "slashes", "separators",
     "path_beside", "assigned", "name_beside", "quoted", "format",
 )
+# What rule_labels decides by would be all that a forest learns from its labels.
+BY_RULE = ("digits_only", "assigned", "format")
+LEARNED = tuple(f for f in FEATURES if f not in BY_RULE)
 
 
 def candidates(docs: DataFrame, row: str | None = None) -> DataFrame:
@@ -94,29 +97,47 @@ def described(found: DataFrame) -> DataFrame:
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Labelled findings where nobody has labelled any: 1 for a documented format or an assignment to a telling
-    name of a run that isn't all digits, else 0. Only candidates that are not held out get a label."""
-    sure = (F.col("format") == 1) | ((F.col("assigned") == 1) & (F.col("digits_only") == 0))
-    return found.where(crc_remainder(F.col("doc_id"), DIVISOR) != HELD_OUT).withColumn("label", sure.cast("double"))
+    """Labelled findings where nobody has labelled any, of what is sure alone; the forest decides on all others.
 
+    1 for a documented format, or letters with digits or marks that are assigned to a telling name and hold few
+    parts of words; 0 for plain numbers and dictionary words or paths that aren't assigned, and for words that
+    are. Only candidates that are not held out get a label.
+    """
+    c = F.col("candidate")
+    mixed = c.rlike("[A-Za-z]") & c.rlike("[^A-Za-z\\s]") & (F.length(c) >= 8)
+    secret = (F.col("format") == 1) | ((F.col("assigned") == 1) & mixed & (F.col("dictionary") < 0.3) & (F.col("slashes") == 0) & ~c.rlike("\\s"))
+    word = c.rlike("^\\p{L}+[.,;:!?]?$") & ((F.col("dictionary") >= 0.3) | (F.length(c) < 8))
+    plain = (F.col("assigned") == 0) & ((F.col("digits_only") == 1) | (F.col("dictionary") >= 0.3) | ((F.col("slashes") > 0) & (F.col("path_beside") == 1)))
+    label = F.when(secret, 1.0).when(word | plain, 0.0)
+    return found.where(crc_remainder(F.col("doc_id"), DIVISOR) != HELD_OUT).withColumn("label", label).where("label is not null")
+
+
+def without_names(labelled: DataFrame) -> DataFrame:
+    """`labelled`, and its secrets once more as they would stand without name and quotes: rules find them by these."""
+    return labelled.unionByName(labelled.where("label = 1").withColumns({"name_beside": F.lit(0.0), "quoted": F.lit(0.0)}))
 
-def train(labelled: DataFrame):
+
+def train(labelled: DataFrame, features: tuple[str, ...] = FEATURES):
     """The forest from labelled findings (features and `label`), or None without findings of both kinds."""
     if labelled.select("label").distinct().count() < 2:
         return None
-    data = stored(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(labelled.select("label", *FEATURES)).select("label", "features"), "secret-labels")
+    data = stored(VectorAssembler(inputCols=list(features), outputCol="features").transform(labelled.select("label", *features)).select("label", "features"), "secret-labels")
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=False).fit(data)
 
 
-def judged(found: DataFrame, model) -> DataFrame:
+def judged(found: DataFrame, model, features: tuple[str, ...] = FEATURES) -> DataFrame:
     """Add `score` and `is_secret`; without a model every candidate counts as a secret."""
     if model is None:
         return found.withColumns({"score": F.lit(1.0), "is_secret": F.lit(True)})
-    scored = model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found))
+    scored = model.transform(VectorAssembler(inputCols=list(features), outputCol="features").transform(found))
     score = F.get(vector_to_array("probability"), F.lit(1))
     return scored.withColumn("score", score).withColumn("is_secret", F.col("score") >= THRESHOLD).drop("features", "rawPrediction", "probability", "prediction")
 
 
+def judged_by_rules(found: DataFrame) -> DataFrame:
+    return judged(found, train(without_names(rule_labels(found)), LEARNED), LEARNED)
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """doc_id, start, length, score, is_secret and the candidate itself, one row per candidate.
 
@@ -124,8 +145,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     texts have no candidates; repeated rows have theirs each; an empty table gives none.
     """
     found = stored(described(candidates(docs)), "secret-candidates")
-    model = train(rule_labels(found) if labelled is None else labelled)
-    return judged(found, model).select("doc_id", "start", F.length("candidate").alias("length"), "score", "is_secret", "candidate")
+    scored = judged_by_rules(found) if labelled is None else judged(found, train(labelled))
+    return scored.select("doc_id", "start", F.length("candidate").alias("length"), "score", "is_secret", "candidate")
 
 
 def masked(docs: DataFrame) -> DataFrame:
@@ -133,7 +154,7 @@ def masked(docs: DataFrame) -> DataFrame:
     number, at, found_name = (fresh(docs.columns, x) for x in ("__row", "__at", "__secrets"))
     numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "secret-docs")
     found = stored(described(candidates(numbered, number)), "secret-candidates")
-    bad = judged(found, train(rule_labels(found))).where("is_secret")
+    bad = judged_by_rules(found).where("is_secret")
     per_text = stored(bad.groupBy(F.col("row").alias(at)).agg(F.collect_set(F.struct("start", "candidate")).alias(found_name)), "secret-texts")
     met = numbered.join(per_text, F.col(number) == F.col(at), "left")
     secrets = F.coalesce(F.col(found_name), F.array().cast("array<struct<start:bigint,candidate:string>>"))

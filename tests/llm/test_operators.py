@@ -252,6 +252,28 @@ def test_assigned_values_are_candidates(spark):
     assert all(v in found.get(i, ()) for i, v in enumerate(values.values()))
 
 
+def test_forest_finds_secrets_that_no_rule_names(spark):
+    rng = random.Random(55)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n, of=chars: "".join(rng.choice(of) for _ in range(n))
+    kinds = [
+        lambda i: f"password={key(12, chars + '!@#$')}", lambda i: f'token = "{key(40)}"', lambda i: f"card {rng.randrange(10**15, 10**16)}", lambda i: f"/home/data/file{i}/the_image_page_{i}",
+        lambda i: f"the password: {rng.choice(['is', 'the', 'that', 'other', 'for'])} and",
+    ]
+    rows = [(i, f"{prose(i, 20)} {kinds[i % 5](i)} {prose(900 + i, 10)}") for i in range(300)]
+    bare = [key(40) for _ in range(30)]
+    rows += [(1000 + i, f"{prose(i, 20)} {b} {prose(i, 9)}") for i, b in enumerate(bare)]
+    got = secrets.scan(frame(spark, rows)).collect()
+    found = {r["candidate"] for r in got if r["is_secret"]}
+    assert not {"assigned", "format", "digits_only"} & set(secrets.LEARNED)
+    assert sum(b in found for b in bare) >= 27
+    hit = {r["doc_id"] for r in got if r["is_secret"]}
+    short = [i for i in range(300) if i % 5 < 2]
+    assert sum(i in hit for i in short) >= 0.95 * len(short) and not any(i in hit for i in range(300) if i % 5 >= 2)
+    clean = {r["doc_id"]: r["text"] for r in secrets.masked(frame(spark, rows)).collect()}
+    assert all(len(clean[i]) == len(t) and (i >= 1000 or i % 5 < 2 or clean[i] == t) for i, t in rows)
+
+
 # 6
 
 
