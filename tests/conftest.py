@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import date
 from pathlib import Path
 
 import pytest
@@ -10,10 +9,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from ledgerspan.session import tune  # noqa: E402
 
-LINEAGE = ("source.csv", 2, date(2026, 7, 30), "20260730_120000")
-LINEAGE_SCHEMA = "source_file string, source_row_number bigint, load_date date, batch_id string"
-REFERENCE = date(2026, 7, 30)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -28,13 +23,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
     session.stop()
-
-
-def table(spark, schema, *rows):
-    """Rows without lineage; lineage is added with consecutive row numbers."""
-    full = [(*row, LINEAGE[0], i + 2, *LINEAGE[2:]) for i, row in enumerate(rows)]
-    return spark.createDataFrame(full, f"{schema}, {LINEAGE_SCHEMA}")
-
-
-def raw(spark, columns, *rows):
-    return table(spark, ", ".join(f"`{c}` string" for c in columns), *rows)

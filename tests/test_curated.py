@@ -3,9 +3,9 @@
 from datetime import date
 from decimal import Decimal
 
-from conftest import LINEAGE_SCHEMA, table
 from pyspark.sql import functions as F
 from pytest import approx, raises
+from raw_rows import LINEAGE_SCHEMA, table
 
 from ledgerspan.operators.reshape import union_all
 from ledgerspan.plans import curated as C, quality as Q

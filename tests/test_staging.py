@@ -3,7 +3,7 @@
 from datetime import date
 from decimal import Decimal
 
-from conftest import REFERENCE, raw
+from raw_rows import REFERENCE, raw
 from pytest import raises
 
 from ledgerspan.operators.rules import accepted, rejected, rule_counts
