@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from conftest import EDGES, clashing, frame  # tests/llm/conftest.py
+from llm_frames import EDGES, clashing, frame
 from ledgerspan.llm import contamination, hmm, mixing, paragraphs, quality_model, rules, secrets, sharding, simhash, tokens
 
 

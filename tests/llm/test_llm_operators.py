@@ -10,7 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import frame  # tests/llm/conftest.py
+from llm_frames import frame
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 

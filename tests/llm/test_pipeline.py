@@ -11,8 +11,8 @@ from pathlib import Path
 import pytest
 import regex
 import xxhash
-from conftest import frame  # tests/llm/conftest.py
-from test_operators import WORDS, brute_hits, brute_rules, edited, prose  # tests/llm/test_operators.py
+from llm_frames import frame
+from test_llm_operators import WORDS, brute_hits, brute_rules, edited, prose
 
 from ledgerspan.llm import rules, sharding
 
