@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerspan.llm import contamination, hmm, mixing, paragraphs, quality_model, rules, secrets, sharding, simhash, tokens
+from ledgerspan.llm import (
+    centroids, contamination, hmm, mixing, paragraphs, periods, quality_model, rules, secrets, sharding, simhash, tokens, warc,
+)
 from ledgerspan.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,8 +126,6 @@ FROM verdict""",
 )
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the base rules and the verdict of every document; distances are rounded, -1 where a guard applies."""
-    from pyspark.sql import functions as F
-
     judged = rules.report(table(spark, sf_dir, "documents"))
     return judged.withColumns({c: F.coalesce(F.round(c, 6), F.lit(-1.0)) for c in ("class_distance", "word_distance")})
 
@@ -205,3 +205,89 @@ def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place and verdict of every candidate for a secret; the candidates themselves stay out of the result."""
     return secrets.scan(table(spark, sf_dir, "documents")).drop("candidate")
+
+
+@query(
+    "op11_warc_records",
+    f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+n AS (SELECT *, sha1(payload) AS h, max(page_id) OVER (PARTITION BY payload) AS keeper, row_number() OVER (PARTITION BY payload ORDER BY page_id DESC NULLS LAST) AS k FROM p),
+t AS (SELECT *, strlen(payload) >= {warc.LEAST_BYTES} AND k > 1 AS revisit FROM n)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda c: substr('{warc.BASE32}', 1 + ((CAST('0x' || substr(h, CAST(5 * (c // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (c % 4) AS BIGINT)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN revisit THEN keeper END AS refers_to
+FROM t""",
+)
+def op11_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back, with the response that a repeated payload refers to."""
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+# crc32 by its table; pairs of equal words of a document are islands of one distance.
+@query(
+    "op12_periodic_runs",
+    r"""WITH t AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda acc, x: CASE WHEN acc & 1 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END) ORDER BY i) AS crcs FROM range(256) AS x(i)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    xor(4294967295, list_reduce([4294967295] || list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda k: CAST(ascii(CAST(doc_id AS VARCHAR)[k]) AS BIGINT)),
+      lambda acc, x: xor(acc >> 8, crcs[(xor(acc, x) & 255) + 1]))) AS h
+  FROM documents, t
+), a AS (SELECT *, len(ws) AS n, h // 10 AS g, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d),
+w AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_transform(ws, lambda x, i: CASE WHEN i <= a THEN x ELSE ws[a + (i - 1 - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) ELSE ws END AS ws
+  FROM a
+), e AS (SELECT r, unnest(ws) AS word, unnest(range(n)) AS i FROM w),
+q AS (SELECT x.r, y.i - x.i AS p, x.i FROM e x JOIN e y ON x.r = y.r AND x.word = y.word AND x.i < y.i),
+s AS (SELECT r, p, min(i) AS start, count(*) AS same FROM (SELECT r, p, i, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS island FROM q) GROUP BY r, p, island HAVING count(*) >= greatest(p, 12 - p)),
+u AS (SELECT r, start, same + p AS length, min(p) AS period FROM s GROUP BY r, start, same + p),
+m AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+    list({'start': start, 'length': length, 'period': period} ORDER BY length DESC, start, period)[1] AS best
+  FROM u GROUP BY r
+), g AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM u),
+c AS (SELECT e.r, string_agg(word, ' ' ORDER BY e.i) AS left_over FROM e LEFT JOIN g ON e.r = g.r AND e.i = g.i WHERE g.i IS NULL GROUP BY e.r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.start AS BIGINT) AS start, CAST(best.length AS BIGINT) AS length,
+  CAST(best.period AS BIGINT) AS period, CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(left_over, '')) AS collapsed_sha256
+FROM w LEFT JOIN m USING (r) LEFT JOIN c USING (r)""",
+)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, of which a tenth is made to repeat, and its text without repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    return periods.report(docs.withColumn("text", periods.planted(F.col("doc_id"), F.col("text"))))
+
+
+def centroids_sql() -> str:
+    """The rounds one by one; a distance is a sum over components."""
+    near = """
+n{i} AS (
+  SELECT r, cluster, distance FROM (
+    SELECT r, cluster, distance, row_number() OVER (PARTITION BY r ORDER BY distance, cluster) AS k FROM (
+      SELECT v.r, c.cluster, CAST(list_sum(list_transform(list_zip(v.whole, c.whole), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance FROM v, c{i} c
+    )
+  ) WHERE k = 1
+)"""
+    move = """
+s{i} AS (SELECT cluster, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT n.cluster, unnest(v.whole) AS x, unnest(range(1, {dimensions} + 1)) AS d FROM n{before} n JOIN v USING (r)) GROUP BY cluster, d),
+m{i} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY d) AS whole FROM s{i} GROUP BY cluster),
+c{i} AS (SELECT c.cluster, coalesce(m.whole, c.whole) AS whole FROM c{before} c LEFT JOIN m{i} m USING (cluster))"""
+    steps = [near.format(i=0)]
+    for i in range(1, centroids.ROUNDS + 1):
+        steps += [move.format(i=i, before=i - 1, dimensions=centroids.DIMENSIONS), near.format(i=i)]
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS whole
+  FROM embeddings WHERE len(embedding) = {centroids.DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.DIMENSIONS}
+), c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), whole) - 1 AS INT) AS cluster, whole FROM v
+  QUALIFY cluster < {centroids.CLUSTERS}
+), {",".join(steps)}, last AS (SELECT * FROM n{centroids.ROUNDS}), per AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM last GROUP BY cluster)
+SELECT vec_id, cluster, distance, cluster_inertia, CAST((SELECT sum(distance) FROM last) AS BIGINT) AS inertia, sha256(array_to_string(c.whole, ',')) AS centroid_sha256
+FROM last JOIN v USING (r) JOIN per USING (cluster) JOIN c{centroids.ROUNDS} c USING (cluster)"""
+
+
+@query("op13_centroid_clusters", centroids_sql())
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after ten rounds."""
+    return centroids.report(table(spark, sf_dir, "embeddings"))
