@@ -22,7 +22,7 @@ from ledgerspan.plans.curated.spending import SPENDING_COLUMNS
 from ledgerspan.plans.curated.suppliers import SUPPLIER_COLUMNS, publish_names
 from ledgerspan.session import tune
 from ledgerspan.sources.published import publish_stage, read_json, read_table, run_context, write_json, write_table
-from ledgerspan.sources.raw import add_lineage, scan_csv
+from ledgerspan.sources.records import read_source
 from ledgerspan.sources.snapshots import MANIFEST_NAMES, open_snapshot, source_paths
 
 # Staging table of each source.
@@ -76,7 +76,7 @@ def stage_all(run: Run, snapshot: str, manifest: dict) -> dict[str, dict]:
     results = {}
 
     def stage(source: str, build) -> None:
-        raw = add_lineage(scan_csv(run.spark, source_paths(snapshot, manifest)[source]), load_date=as_of, batch_id=batch)
+        raw = read_source(run.spark, source_paths(snapshot, manifest)[source], load_date=as_of, batch_id=batch)
         table = STAGING_TABLES[source]
         results[MANIFEST_NAMES[source]] = publish_stage(
             build(raw),

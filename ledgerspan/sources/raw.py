@@ -128,9 +128,8 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteS
 def scan_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = False) -> DataFrame:
     """CSV with a header, every column as text: leading zeros survive and nothing is inferred.
 
-    Only the header of one file is read to learn the column names. `multi_line` is for files whose
-    values hold line breaks: such a file can't be cut into blocks and is read by one task, so write
-    large sources as several files.
+    Only the header of one file is read to learn the column names. This is for files whose values hold no line
+    breaks; `records.read_source` reads any file in parallel. With `multi_line` such a file is read by one task.
     """
     return spark.read.options(**CSV_OPTIONS).option("inferSchema", False).option("multiLine", multi_line).csv(path)
 
@@ -148,6 +147,11 @@ def require_batch(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_id", F.coalesce("batch_id", F.raise_error(message).cast("string")))
 
 
+def loaded_on(day: date | None) -> Column:
+    """The given load date, or today where the sources are loaded."""
+    return F.lit(day) if day else F.to_date(F.from_utc_timestamp(F.current_timestamp(), "America/Sao_Paulo"))
+
+
 def add_lineage(
     df: DataFrame, *, load_date: date | None = None, batch_id: str | None = None
 ) -> DataFrame:
@@ -176,10 +180,9 @@ def add_lineage(
     joined = placed.join(
         offsets, (F.col("__path") == F.col("__opath")) & (F.col("__block") == F.col("__oblock"))
     )
-    loaded = F.lit(load_date) if load_date else F.to_date(F.from_utc_timestamp(F.current_timestamp(), "America/Sao_Paulo"))
     batch = F.lit(batch_id) if batch_id else batch_of("source_file")
     result = joined.withColumns(
-        {"source_row_number": F.col("__id") + F.col("__shift"), "load_date": loaded, "batch_id": batch}
+        {"source_row_number": F.col("__id") + F.col("__shift"), "load_date": loaded_on(load_date), "batch_id": batch}
     ).drop("__path", "__block", "__id", "__opath", "__oblock", "__shift")
     result = result if batch_id else require_batch(result)
     return result.select(*df.columns, *LINEAGE)
