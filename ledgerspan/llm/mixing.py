@@ -43,7 +43,7 @@ def rates(sizes: DataFrame, share: float = SHARE, cap: float = CAP) -> DataFrame
 
     The targets share `share` times all sizes by weight; one above `cap` times its source's size stops
     there and its excess is shared again, until none is above. A round is one aggregate over a row
-    per source. A source of size 0 has target and rate 0.
+    per source. A source of size 0 has target and rate 0, and so have all where no text has a word.
     """
     most = F.col("source_size") * F.lit(cap)
     budget = float(sizes.agg(F.sum("source_size")).first()[0] or 0) * share
@@ -57,7 +57,7 @@ def rates(sizes: DataFrame, share: float = SHARE, cap: float = CAP) -> DataFrame
         ).first()
         if row["n"] == seen or not row["free"]:
             break
-        seen = row["n"] if level else -1
+        seen = row["n"]
         level = (budget - (row["capped"] or 0.0)) / row["free"]
     target = F.least(most, F.lit(level) * F.col("weight"))
     rate = F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0)
@@ -89,7 +89,8 @@ def with_rates(docs: DataFrame, rated: DataFrame, source: str = "source") -> tup
 def emit(docs: DataFrame, seed: int = SEED, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """The mix itself: every document as often as its source's rate says, with the columns of `docs`.
 
-    Null text has size 0. Repeated rows of one id share their draw. An empty table gives none.
+    Null text has size 0. Repeated rows of one id share their draw, and so do all rows without an id. An empty
+    table gives none, and so does one without words.
     """
     sizes = stored(source_sizes(docs, word_count(F.col("text"))), "mix-sizes")
     rated = stored(rates(stored(cyclic_weights(sizes, weights), "mix-weights"), share, cap), "mix-rates")

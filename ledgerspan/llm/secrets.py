@@ -27,12 +27,14 @@ DIVISOR, HELD_OUT = 5, 0
 NAMES = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|auth|bearer|credential)"
 TELLING = rf"(?:{NAMES}|(?i:key))"  # wider, for candidates
 SCHEME = r"(?:(?i:bearer|basic|token)\s{1,8})?"
-GIVEN = rf"{RUN}*+[\"']?\s{{0,8}}(?:=>|:=|=|:)\s{{0,8}}{SCHEME}[\"']?"
-ASSIGNED = NAMES + GIVEN + "$"
-PREFIX = rf"(?:(?<!{RUN}){RUN}*?{TELLING}{GIVEN}{SCHEME}|(?<!{RUN})(?i:bearer)\s{{1,8}})"
+GIVEN = rf"[\"']?\s{{0,8}}(?:=>|:=|=|:)\s{{0,8}}{SCHEME}[\"']?"
+ASSIGNED = rf"{NAMES}{RUN}*+{GIVEN}$"
+# A run is taken at once, after one look at whether it holds a name, so that no place of a long one is tried again.
+PREFIX = rf"(?:(?<!{RUN})(?={RUN}*?{TELLING}){RUN}++{GIVEN}{SCHEME}|(?<!{RUN})(?i:bearer)\s{{1,8}})"
 # Inside quotes up to the closing one, with blanks unless that would hide a long run; else up to a blank, a quote or the next parameter of an address.
 QUOTED = "|".join(rf"(?<={q})(?:[^{q}\s]++(?={q})|(?![^{q}\r\n]*{RUN}{{16}})[^{q}\r\n]++(?={q}))" for q in ("\"", "'"))
-VALUE = rf"(?:{QUOTED}|[^\s\"']+?(?=[,;)\]}}>]*(?:\s|\z|[\"'])|&[\w.\-]+=))"
+VALUE = rf"(?:{QUOTED}|(?:[^\s\"'&]++|&(?![\w.\-]+=))++)"
+CLOSING = ",;)]}>"  # marks at the end of a value that aren't of it
 CANDIDATE = rf"(?:{PREFIX}{VALUE}|{LONG})"
 FORMATS = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^sk[-_][A-Za-z0-9_\-]{20,}$|^xox[abprs]-[A-Za-z0-9\-]{10,}$"
 PARTS = r"(?i)(tion|ing|the|and|ent|ion|for|ere|her|ter|hat|tha|ate|all|eth|ver|his|oft|ith|com|www|http|file|data|user|home|index|image|page|test)"
@@ -46,9 +48,10 @@ LEARNED = tuple(f for f in FEATURES if f not in BY_RULE)
 
 
 def candidates(docs: DataFrame, row: str | None = None) -> DataFrame:
-    """(row, doc_id, number, start, candidate, before, after): every candidate with its place in the text.
+    """(row, doc_id, number, start, candidate, named, before, after): every candidate with its place in the text.
 
-    `row` numbers the documents (by the column of that name, if given), `start` counts characters from 0.
+    `row` numbers the documents (by the column of that name, if given), `start` counts characters from 0, and
+    `named` is the name that the candidate is assigned to, with what stands between them, or empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     number = F.col(row) if row else F.monotonically_increasing_id()
@@ -56,15 +59,22 @@ def candidates(docs: DataFrame, row: str | None = None) -> DataFrame:
     # n candidates cut the text into n + 1 pieces
     cut = found.where(F.size("found") > 0).withColumn("pieces", F.split("t", CANDIDATE, -1))
     each = cut.select("row", "doc_id", "pieces", F.posexplode("found").alias("number", "match"))
-    each = each.withColumn("candidate", F.regexp_replace("match", f"^{PREFIX}(?=.)", ""))
-    named = F.left("match", F.length("match") - F.length("candidate"))
-    piece, following = F.concat(F.get("pieces", F.col("number")), named), F.get("pieces", F.col("number") + 1)
-    placed = each.select(
-        "row", "doc_id", "number", "candidate", F.length(piece).alias("gap"), F.right(piece, F.lit(BEFORE)).alias("before"), F.left(following, F.lit(AFTER)).alias("after")
-    )
+    value = F.regexp_replace("match", f"^{PREFIX}(?=.)", "")
+    named = F.left("match", F.length("match") - F.length("value"))
+    piece, following = F.get("pieces", F.col("number")), F.get("pieces", F.col("number") + 1)
+    # closing marks stay with a value up to its quote and before the next parameter
+    inside = following.startswith("&") | (F.right("named", F.lit(1)).isin('"', "'") & following.startswith(F.right("named", F.lit(1))))
+    closed = F.rtrim("value", F.lit(CLOSING))
+    candidate = F.when(F.coalesce(inside, F.lit(False)), F.col("value")).when(closed == "", F.left("value", F.lit(1))).otherwise(closed)
+    placed = each.withColumn("value", value).withColumn("named", named).withColumn("candidate", candidate)
+    tail = F.right("value", F.length("value") - F.length("candidate"))
+    placed = placed.select(
+        "row", "doc_id", "number", "candidate", "named", F.length(piece).alias("gap"), F.length("match").alias("taken"), F.length(tail).alias("tail"),
+        F.right(F.concat(piece, "named"), F.lit(BEFORE)).alias("before"), F.left(F.concat(F.left(tail, F.lit(AFTER)), following), F.lit(AFTER)).alias("after"),
+    )
     by_place = Window.partitionBy("row").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.length("candidate")).over(by_place)
-    return placed.withColumn("start", (end - F.length("candidate")).cast("long")).drop("gap")
+    end = F.sum(F.col("gap") + F.col("taken")).over(by_place)
+    return placed.withColumn("start", (end - F.col("tail") - F.length("candidate")).cast("long")).drop("gap", "taken", "tail")
 
 
 def _share(c: Column, characters: str) -> Column:
@@ -88,8 +98,8 @@ def described(found: DataFrame) -> DataFrame:
         "slashes": _share(c, "/"),
         "separators": _share(c, r"_\-+"),
         "path_beside": flag(before.rlike(r"([/\\.~@]|://[^\s]*)$") | after.rlike(r"^[./\\@]\w")),
-        "assigned": flag(before.rlike(ASSIGNED)),
-        "name_beside": flag(before.rlike(NAMES)),
+        "assigned": flag(F.col("named").rlike(ASSIGNED)),
+        "name_beside": flag(F.col("named").rlike(NAMES) | before.rlike(NAMES)),
         "quoted": flag(before.rlike("[\"']$") & after.rlike("^[\"']")),
         "format": flag(c.rlike(FORMATS)),
     }

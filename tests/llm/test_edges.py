@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from llm_frames import EDGES, clashing, frame
-from ledgerspan.llm import contamination, hmm, mixing, paragraphs, quality_model, rules, secrets, sharding, simhash, tokens
+from ledgerspan.llm import contamination, hmm, mixing, paragraphs, periods, quality_model, rules, secrets, sharding, simhash, tokens
 
 
 def items(spark, *texts):
@@ -27,6 +27,7 @@ REPORTS = {
     "op8": lambda s, d: rules.report(d),
     "op9": lambda s, d: sharding.report(d, 1_000),
     "op10": lambda s, d: hmm.report(d, states=2, rounds=1),
+    "op12": lambda s, d: periods.report(d),
 }
 FINDINGS = {"op3": lambda s, d: paragraphs.repeats(d), "op5": lambda s, d: secrets.scan(d)}
 KEEPING = {
@@ -51,6 +52,30 @@ def test_empty_table(spark, nothing, name):
     assert (REPORTS | FINDINGS)[name](spark, nothing).count() == 0
 
 
+@pytest.mark.parametrize("name", [*REPORTS, *FINDINGS])
+def test_table_without_words(spark, name):
+    got = (REPORTS | FINDINGS)[name](spark, frame(spark, [(1, None), (2, ""), (3, " \n "), (4, "", "de", "src1")])).collect()
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["doc_id"])] == ([1, 2, 3, 4] if name in REPORTS else [])
+
+
+def test_nothing_to_mix(spark):
+    assert mixing.emit(frame(spark, [(1, None), (2, ""), (3, " ", "en", None)])).count() == 0
+
+
+HARD = {
+    "marks": "password=" + ")" * 1_000_000 + "x", "names": "key" * 400_000 + " = Zq81kLm0", "ampersands": "token=" + "&" * 1_000_000, "quotes": "secret='" * 120_000,
+    "one word": "é" * 300_000, "other letters": "中文\u2019 \u0416 \U0001f600 " * 30_000,
+}
+
+
+@pytest.mark.parametrize("name", [*REPORTS, *FINDINGS])
+def test_hard_texts(spark, name):
+    rows = list(enumerate(HARD.values()))
+    got = (REPORTS | FINDINGS)[name](spark, frame(spark, rows)).collect()
+    if name in REPORTS:
+        assert sorted(r["doc_id"] for r in got) == list(range(len(HARD)))
+
+
 @pytest.mark.parametrize("name", FINDINGS)
 def test_findings_survive_edges(spark, edges, name):
     FINDINGS[name](spark, edges).collect()

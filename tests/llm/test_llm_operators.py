@@ -244,8 +244,13 @@ def test_assigned_values_are_candidates(spark):
         "API_KEY_PROD=Zq81kLm0": "Zq81kLm0", "Authorization: Bearer abcDEFghi.JKL": "abcDEFghi.JKL", 'pwd: "correct horse battery"': "correct horse battery",
         "https://a.b/?token=q1w2e3&x=1": "q1w2e3", "my_secret_0123456789abcdef=Hx9$k": "Hx9$k", "(password=zU7-qq!x),": "zU7-qq!x", "auth_token => R2d2.C3po": "R2d2.C3po",
     }
+    long_name = "password_for_the_quarterly_reporting_database"
+    values |= {"pass=abc);": "abc", "key=)))": ")", 'secret="a)"': "a)", "?token=x)&y=1": "x)", f"{long_name} = qT7&x9": "qT7&x9", "pwd=a))b)), key=c]": "a))b"}
     rows = [(i, f"{prose(i, 20)} {t} {prose(900 + i, 10)}") for i, t in enumerate(values)]
     texts, found = dict(rows), {}
+    for r in secrets.described(secrets.candidates(frame(spark, rows))).collect():
+        if long_name in texts[r["doc_id"]]:
+            assert r["assigned"] == 1 and r["name_beside"] == 1
     for r in secrets.candidates(frame(spark, rows)).collect():
         assert texts[r["doc_id"]][r["start"] : r["start"] + len(r["candidate"])] == r["candidate"]
         found.setdefault(r["doc_id"], set()).add(r["candidate"])
