@@ -169,9 +169,14 @@ INDEX = {
 COLUMNS = ", ".join(Q.REPORT_COLUMNS)
 
 
+def source_sides(batch: Batch) -> list[DataFrame]:
+    sources = batch.sources()
+    return [Q.side_rows(c.entity, sources[c.source], Q.SOURCE, c.money) for c in Q.DIRECT_CONTROLS]
+
+
 def report(spark, sf) -> DataFrame:
     batch = Batch(spark, sf)
-    return Q.reconciliation_report(batch.sources(), batch.all_staged(), batch.curated(), batch.rejected())
+    return Q.reconciliation_report(source_sides(batch), batch.all_staged(), batch.curated(), batch.resolved())
 
 
 def judged(spark, sf) -> DataFrame:
@@ -186,9 +191,8 @@ def index(spark, sf) -> DataFrame:
 @query("q01_direct_controls", O.sql(f"SELECT {COLUMNS} FROM report", report=DIRECT_SQL))
 def q01(spark, sf):
     batch = Batch(spark, sf)
-    sources, curated, rejected = batch.sources(), batch.curated(), batch.rejected()
-    rows = [Q.direct_control(c, sources[c.source], curated[c.entity], rejected[c.exceptions]) for c in Q.DIRECT_CONTROLS]
-    return Q.union_all(rows)
+    resolved = batch.resolved()
+    return Q.direct_controls([*source_sides(batch), *[Q.resolved_rows(c, resolved[c.entity]) for c in Q.DIRECT_CONTROLS]])
 
 
 @query("q02_derived_controls", O.sql(f"SELECT {COLUMNS} FROM report", report=DERIVED_SQL))

@@ -27,7 +27,8 @@ def error_text(rules: list[Rule]) -> Column:
 
 
 def annotate(df: DataFrame, rules: list[Rule], column: str = "validation_errors") -> DataFrame:
-    return df.withColumn(column, error_text(rules))
+    """Add the messages of the violated rules; the column knows all the messages there may be."""
+    return df.withColumn(column, error_text(rules)).withMetadata(column, {"rules": [r.message for r in rules]})
 
 
 def accepted(df: DataFrame, column: str = "validation_errors") -> DataFrame:

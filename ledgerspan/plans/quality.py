@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerspan.functions.numbers import EXACT_SUM, exact_sum
-from ledgerspan.operators.lookup import orphans
+from ledgerspan.functions.numbers import EXACT_SUM
 from ledgerspan.operators.reshape import date_spine, key_set_comparison, union_all
 from ledgerspan.plans.curated.calendar import covered_dates
 from ledgerspan.plans.curated.categories import category_codes
@@ -64,31 +64,47 @@ def match_rate(published: Column, source: Column) -> Column:
     return F.when(source == 0, F.lit(1.0)).otherwise(published.cast("double") / source.cast("double"))
 
 
-def side_totals(df: DataFrame, money: str | None, side: str) -> DataFrame:
-    """Row count and exact total of one side; all three sides are scanned once each."""
-    total = exact_sum(money) if money else F.lit(None).cast(EXACT_SUM)
-    return df.agg(F.count("*").alias("n"), total.alias("m")).select(F.lit(side).alias("side"), "n", "m")
+SOURCE, PUBLISHED, REJECTED = "s", "p", "x"  # sides of a control
 
 
-def direct_control(control: Control, source: DataFrame, published: DataFrame, rejected: DataFrame) -> DataFrame:
-    """One report row. The three one-row totals meet in an aggregate, not in a join."""
-    sides = union_all(
-        [
-            side_totals(source, control.money, "s"),
-            side_totals(published, control.money, "p"),
-            side_totals(rejected, control.money, "x"),
-        ]
+def side_rows(entity: str, df: DataFrame, side: Column | str, money: str | None) -> DataFrame:
+    """(entity, side, n, m) of the rows of one side, or of several where `side` is a column."""
+    tag = F.lit(side) if isinstance(side, str) else side
+    value = F.col(money) if money else F.lit(None)
+    return df.select(F.lit(entity).alias("entity"), tag.alias("side"), F.lit(1).cast("bigint").alias("n"), value.cast(EXACT_SUM).alias("m"))
+
+
+def known_side(spark: SparkSession, entity: str, side: str, rows: int, total: Decimal | str | None = None) -> DataFrame:
+    """A side whose rows and total are known already, from the write that made it."""
+    return spark.range(1).select(
+        F.lit(entity).alias("entity"), F.lit(side).alias("side"), F.lit(rows).cast("bigint").alias("n"), F.lit(None if total is None else str(total)).cast(EXACT_SUM).alias("m")
     )
-    pick = lambda value, side: F.max(F.when(F.col("side") == side, F.col(value)))
-    totals = sides.agg(*[pick(v, s).alias(v + s) for v in ("n", "m") for s in ("s", "p", "x")])
-    delta = F.col("ms") - F.col("mp") - F.col("mx")
-    rows = totals.withColumns({"md": delta.cast(EXACT_SUM)})
+
+
+def resolved_rows(control: Control, resolved: DataFrame) -> DataFrame:
+    """Published and rejected rows of a table in one scan of it."""
+    return side_rows(control.entity, resolved, F.when(F.col(ERRORS) == "", PUBLISHED).otherwise(REJECTED), control.money)
+
+
+def direct_controls(sides: list[DataFrame], controls: Sequence[Control] = DIRECT_CONTROLS) -> DataFrame:
+    """One report row per control, from one aggregate over all rows of all sides."""
+    spark = sides[0].sparkSession
+    zero = [F.struct(F.lit(c.entity).alias("entity"), F.lit(SOURCE).alias("side"), F.lit(0).cast("bigint").alias("n"), F.lit(0 if c.money else None).cast(EXACT_SUM).alias("m")) for c in controls]
+    every = union_all([spark.range(1).select(F.inline(F.array(*zero))), *sides])
+    here = lambda value, side: F.sum(F.when(F.col("side") == side, F.col(value)))
+    names = [F.lit(x) for c in controls for x in (c.entity, c.source)]
+    rejects = [F.lit(x) for c in controls for x in (c.entity, c.exceptions)]
+    with_money = F.col("entity").isin(*[c.entity for c in controls if c.money])
+    sums = {f"n{s}": F.coalesce(here("n", s), F.lit(0)) for s in (SOURCE, PUBLISHED, REJECTED)} | {f"m{s}": here("m", s) for s in (SOURCE, PUBLISHED, REJECTED)}
+    rows = every.groupBy("entity").agg(*[c.alias(n) for n, c in sums.items()])
+    rows = rows.withColumns({m: F.when(with_money, F.coalesce(F.col(m), F.lit(0)).cast(EXACT_SUM)) for m in ("ms", "mp", "mx")})
+    rows = rows.withColumn("md", (F.col("ms") - F.col("mp") - F.col("mx")).cast(EXACT_SUM))
     return rows.select(
-        F.lit(control.entity).alias("entity"),
+        "entity",
         F.lit("direct").alias("reconciliation_type"),
-        F.lit(control.source).alias("source_table"),
-        F.lit(control.entity).alias("curated_table"),
-        F.lit(control.exceptions).alias("exception_table"),
+        F.element_at(F.create_map(*names), F.col("entity")).alias("source_table"),
+        F.col("entity").alias("curated_table"),
+        F.element_at(F.create_map(*rejects), F.col("entity")).alias("exception_table"),
         F.col("ns").alias("source_row_count"),
         F.col("np").alias("published_row_count"),
         F.col("nx").alias("exception_row_count"),
@@ -103,6 +119,12 @@ def direct_control(control: Control, source: DataFrame, published: DataFrame, re
     )
 
 
+def direct_control(control: Control, source: DataFrame, published: DataFrame, rejected: DataFrame) -> DataFrame:
+    """One report row of tables that are kept apart."""
+    sides = zip((source, published, rejected), (SOURCE, PUBLISHED, REJECTED))
+    return direct_controls([side_rows(control.entity, df, side, control.money) for df, side in sides], [control])
+
+
 def derived_control(
     entity: str, source_table: str, expected: DataFrame, actual: DataFrame, key: str
 ) -> DataFrame:
@@ -148,18 +170,10 @@ def derived_controls(staged: dict[str, DataFrame], curated: dict[str, DataFrame]
     ]
 
 
-def reconciliation_report(
-    sources: dict[str, DataFrame],
-    staged: dict[str, DataFrame],
-    curated: dict[str, DataFrame],
-    rejected: dict[str, DataFrame],
-) -> DataFrame:
-    """Nine control rows; `sources` by staging table, `rejected` by exception table."""
-    direct = [
-        direct_control(c, sources[c.source], curated[c.entity], rejected[c.exceptions])
-        for c in DIRECT_CONTROLS
-    ]
-    return union_all([*direct, *derived_controls(staged, curated)])
+def reconciliation_report(sources: list[DataFrame], staged: dict[str, DataFrame], curated: dict[str, DataFrame], resolved: dict[str, DataFrame]) -> DataFrame:
+    """Nine control rows; `sources` are source sides of the direct controls, `resolved` by entity hold published and rejected rows."""
+    direct = direct_controls([*sources, *[resolved_rows(c, resolved[c.entity]) for c in DIRECT_CONTROLS]])
+    return union_all([direct, *derived_controls(staged, curated)])
 
 
 def apply_thresholds(report: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
@@ -216,18 +230,14 @@ def enforce_gate(report: DataFrame) -> None:
 
 def coverage(name: str, source: DataFrame, published: DataFrame, rejected: DataFrame, factor: int = 1) -> DataFrame:
     """source rows (times `factor`) = published rows + exceptions."""
-    sides = union_all(
-        [side_totals(source, None, "s"), side_totals(published, None, "p"), side_totals(rejected, None, "x")]
-    )
-    count = lambda side: F.max(F.when(F.col("side") == side, F.col("n")))
-    return sides.agg(
-        (count("s") * factor).alias("source_row_count"),
-        count("p").alias("fact_row_count"),
-        count("x").alias("exception_row_count"),
-    ).select(
-        F.lit(name).alias("entity"),
-        "*",
-        (F.col("source_row_count") == F.col("fact_row_count") + F.col("exception_row_count")).alias("is_reconciled"),
+    control = Control(name, "", "", "")
+    row = direct_control(control, source, published, rejected)
+    return row.select(
+        "entity",
+        (F.col("source_row_count") * factor).alias("source_row_count"),
+        F.col("published_row_count").alias("fact_row_count"),
+        "exception_row_count",
+        (F.col("source_row_count") * factor == F.col("published_row_count") + F.col("exception_row_count")).alias("is_reconciled"),
     )
 
 
@@ -259,23 +269,39 @@ def spending_reconciliation(payments: DataFrame, fact: DataFrame, rejected: Data
 def snapshot_integrity(
     companies: DataFrame, contracts: DataFrame, amendments: DataFrame, payments: DataFrame
 ) -> DataFrame:
-    """Six checks on a whole RAW snapshot: three references and three unique ids, with violations."""
-    def checked(name: str, violations: DataFrame) -> DataFrame:
-        return violations.agg(F.count("*").alias("violations")).select(
-            F.lit(name).alias("check_name"), "violations", (F.col("violations") == 0).alias("passed")
-        )
-
-    def repeated(df: DataFrame, key: str) -> DataFrame:
-        return df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    """Six checks on a whole RAW snapshot: three references and three unique ids, with violations.
 
+    Every table is read once: its keys go into one tagged union, and one aggregate counts for each key how
+    often its owner has it and how often others refer to it. A null key refers to nothing.
+    """
     contract, company, payment = "Cód_Contrato", "CNPJ", "Cód_Pagamento"
-    return union_all(
+
+    def keys(df: DataFrame, *uses: tuple[str, str, str]) -> DataFrame:
+        """Each use is a kind of key, its column and whether the table owns it or refers to it."""
+        used = [F.struct(F.lit(kind).alias("kind"), F.col(f"`{c}`").cast("string").alias("key"), F.lit(role).alias("role")) for kind, c, role in uses]
+        return df.select(F.inline(F.array(*used)))
+
+    tagged = union_all(
         [
-            checked("contratos sem fornecedor", orphans(contracts, company, companies, company)),
-            checked("aditamentos sem contrato", orphans(amendments, contract, contracts, contract)),
-            checked("pagamentos sem contrato", orphans(payments, contract, contracts, contract)),
-            checked("empresas duplicadas", repeated(companies, company)),
-            checked("contratos duplicados", repeated(contracts, contract)),
-            checked("pagamentos duplicados", repeated(payments, payment)),
+            keys(companies, ("company", company, "owner")),
+            keys(contracts, ("contract", contract, "owner"), ("company", company, "contracts")),
+            keys(amendments, ("contract", contract, "amendments")),
+            keys(payments, ("payment", payment, "owner"), ("contract", contract, "payments")),
         ]
     )
+    count = lambda role: F.count_if(F.col("role") == role).alias(role)
+    per_key = tagged.groupBy("kind", "key").agg(*[count(r) for r in ("owner", "contracts", "amendments", "payments")])
+    lost = (F.col("owner") == 0) | F.col("key").isNull()
+    refers = lambda role: F.coalesce(F.sum(F.when(lost, F.col(role))), F.lit(0))
+    repeated = lambda kind: F.count_if((F.col("kind") == kind) & (F.col("owner") > 1))
+    checks = {
+        "contratos sem fornecedor": refers("contracts"),
+        "aditamentos sem contrato": refers("amendments"),
+        "pagamentos sem contrato": refers("payments"),
+        "empresas duplicadas": repeated("company"),
+        "contratos duplicados": repeated("contract"),
+        "pagamentos duplicados": repeated("payment"),
+    }
+    totals = per_key.agg(*[c.alias(f"c{i}") for i, c in enumerate(checks.values())])
+    rows = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, n in enumerate(checks)])
+    return totals.select(F.inline(rows)).select("check_name", "violations", (F.col("violations") == 0).alias("passed"))

@@ -1,14 +1,16 @@
 """One batch from a RAW snapshot to judged curated tables: a driver function over lazy plans.
 
 Every table is written once and read back by the steps that need it, so no step recomputes another
-one and a lost executor costs only the tasks it was running.
+one and a lost executor costs only the tasks it was running. Valid and rejected rows of a table are one write, parted
+by `is_valid`; rows and money are observed on the way and serve the controls. All tables of a try lie below a
+folder of its own, and the manifest of the run, written last, is what readers follow.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerspan.operators.lookup import assert_unique
 from ledgerspan.plans import curated as C, quality as Q, staging as S
@@ -16,12 +18,15 @@ from ledgerspan.plans.analytics.views import register_views
 from ledgerspan.plans.curated.contracts import CONTRACT_COLUMNS
 from ledgerspan.plans.curated.financials import FINANCIAL_COLUMNS, expected_revenue
 from ledgerspan.plans.curated.renewals import RENEWAL_COLUMNS
-from ledgerspan.plans.curated.resolution import exceptions, published
+from ledgerspan.functions.numbers import exact_sum
+from ledgerspan.plans.curated.resolution import ERRORS
 from ledgerspan.plans.curated.risk import RFI_COLUMNS
 from ledgerspan.plans.curated.spending import SPENDING_COLUMNS
 from ledgerspan.plans.curated.suppliers import SUPPLIER_COLUMNS, publish_names
 from ledgerspan.session import tune
-from ledgerspan.sources.published import publish_stage, read_json, read_table, run_context, write_json, write_table
+from ledgerspan.sources.published import (
+    STAGING_SCHEMAS, VALID, attempt, exists, publish_json, publish_stage, read_json, read_split, read_table, run_context, typed, write_split, write_table,
+)
 from ledgerspan.sources.records import read_source
 from ledgerspan.sources.snapshots import MANIFEST_NAMES, open_snapshot, source_paths
 
@@ -39,36 +44,66 @@ CURATED_TABLES = (
 )
 
 
+# Columns of the tables whose rejected rows are kept beside them.
+PUBLISHED_COLUMNS = {
+    "dim_supplier": SUPPLIER_COLUMNS,
+    "dim_contract": CONTRACT_COLUMNS,
+    "fact_spending": SPENDING_COLUMNS,
+    "fact_rfi": RFI_COLUMNS,
+    "fact_renewal": RENEWAL_COLUMNS,
+    "fact_supplier_financial": FINANCIAL_COLUMNS,
+}
+POINTER = "etl_manifest.json"
+# Money that a source's control adds up.
+STAGED_MONEY = {"payments": "payment_value", "amendments": "amendment_value"}
+
+
 class Run:
-    """Folders of one run and the tables in them."""
+    """The folder of one try at a run, the tables in it and their schemas."""
 
-    def __init__(self, spark: SparkSession, out_dir: str, run_id: str):
-        self.spark, self.base, self.run_id = spark, f"{out_dir.rstrip('/')}/{run_id}", run_id
+    def __init__(self, spark: SparkSession, folder: str, run_id: str, schemas: dict[str, T.StructType] | None = None):
+        self.spark, self.folder, self.run_id, self.schemas = spark, folder, run_id, schemas or {}
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.base}/{layer}/{table}"
+        return f"{self.folder}/{layer}/{table}"
+
+    def split(self, layer: str, table: str, valid: bool | None = None) -> DataFrame:
+        return read_split(self.spark, self.path(layer, table), self.schemas[f"{layer}/{table}"], valid)
 
     def staged(self, source: str) -> DataFrame:
-        return read_table(self.spark, self.path("staging", STAGING_TABLES[source]))
+        table = STAGING_TABLES[source]
+        rows = self.split("staging", table, True).drop("validation_errors")
+        return typed(rows, table) if table in STAGING_SCHEMAS else rows
+
+    def rejected_at_staging(self, source: str) -> DataFrame:
+        return self.split("staging", STAGING_TABLES[source], False)
 
     def curated(self, table: str) -> DataFrame:
+        if table in PUBLISHED_COLUMNS:
+            return self.split("curated", table, True).select(*PUBLISHED_COLUMNS[table])
         return read_table(self.spark, self.path("curated", table))
 
     def rejected(self, table: str) -> DataFrame:
-        return read_table(self.spark, self.path("curated/exceptions", table))
+        return self.split("curated", table, False)
 
-    def publish(self, table: str, rows: DataFrame, columns, exception_table: str, control=None) -> None:
-        """Evaluate the rules once into a stored table, then write resolved rows and exceptions from it.
+    def publish(self, table: str, rows: DataFrame, source: tuple[int, str | None] | None = None) -> None:
+        """Write resolved and rejected rows of a table at once.
 
-        `control` compares both with their source; if it fails, neither becomes visible.
+        With `source`, its rows and total, the stored rows must account for both, and what was observed by the write
+        must be what is stored: one scan of the table. A failure ends the try, so nothing of it becomes visible.
         """
-        write_table(rows, self.path("annotated", table))
-        stored = read_table(self.spark, self.path("annotated", table))
-        good, bad = published(stored, columns), exceptions(stored)
-        if control is not None:
-            Q.require_reconciled(control(good, bad))
-        write_table(good, self.path("curated", table))
-        write_table(bad, self.path("curated/exceptions", exception_table))
+        money = {c.entity: c.money for c in Q.DIRECT_CONTROLS}[table]
+        totals = {side: exact_sum(F.when(F.col(VALID) == flag, F.col(money))) for side, flag in (("valid total", True), ("invalid total", False))} if money else {}
+        seen = write_split(rows, self.path("curated", table), F.col(ERRORS) == "", totals)
+        self.schemas[f"curated/{table}"] = rows.schema
+        if source is not None:
+            control = next(c for c in Q.DIRECT_CONTROLS if c.entity == table)
+            sides = [Q.known_side(self.spark, table, Q.SOURCE, *source), Q.resolved_rows(control, self.split("curated", table))]
+            stored = Q.direct_controls(sides, [control])
+            Q.require_reconciled(stored)
+            row = stored.first()
+            if (row["published_row_count"], row["exception_row_count"]) != (seen["valid"], seen["invalid"]):
+                raise Q.QualityGateError(f"Publicação recusada: {table} tem {row['published_row_count']} linhas, escritas {seen['valid']}.")
 
 
 def stage_all(run: Run, snapshot: str, manifest: dict) -> dict[str, dict]:
@@ -76,17 +111,17 @@ def stage_all(run: Run, snapshot: str, manifest: dict) -> dict[str, dict]:
     results = {}
 
     def stage(source: str, build) -> None:
-        raw = read_source(run.spark, source_paths(snapshot, manifest)[source], load_date=as_of, batch_id=batch)
-        table = STAGING_TABLES[source]
+        rows = build(read_source(run.spark, source_paths(snapshot, manifest)[source], load_date=as_of, batch_id=batch))
+        table, money = STAGING_TABLES[source], STAGED_MONEY.get(source)
         results[MANIFEST_NAMES[source]] = publish_stage(
-            build(raw),
+            rows,
             table,
-            run.path("annotated", table),
             run.path("staging", table),
-            run.path("staging/exceptions", table),
-            source_file=manifest["sources"][MANIFEST_NAMES[source]]["path"],
+            source_file=manifest["sources"][MANIFEST_NAMES[source]]["path"].rsplit("/", 1)[-1],
             batch_id=batch,
+            totals={money: exact_sum(F.when(F.col(VALID), F.col(money)))} if money else None,
         )
+        run.schemas[f"staging/{table}"] = T.StructType.fromJson(results[MANIFEST_NAMES[source]].pop("stored_schema"))
 
     stage("companies", S.stage_companies)
     stage("risk", lambda raw: S.stage_risk(raw, as_of))
@@ -97,12 +132,20 @@ def stage_all(run: Run, snapshot: str, manifest: dict) -> dict[str, dict]:
     return results
 
 
-def publish_curated(run: Run) -> None:
+def source_totals(run: Run, staging: dict[str, dict]) -> dict[str, tuple[int, str | None]]:
+    """Rows and total of the source of every controlled table: as staging observed them, and of the yearly figures one scan."""
+    yearly = expected_revenue(run.staged("companies")).agg(F.count("*").alias("n"), exact_sum("gross_revenue").cast("string").alias("m")).first()
+    by_table = {STAGING_TABLES[s]: (staging[MANIFEST_NAMES[s]]["row_counts"]["valid"], staging[MANIFEST_NAMES[s]]["totals"].get(STAGED_MONEY.get(s))) for s in STAGING_TABLES}
+    by_table["stg_empresas_financial"] = (yearly["n"], yearly["m"])
+    return {c.entity: by_table[c.source] for c in Q.DIRECT_CONTROLS}
+
+
+def publish_curated(run: Run, totals: dict[str, tuple[int, str | None]]) -> None:
     staged = {s: run.staged(s) for s in STAGING_TABLES}
     # Exceptions keep the staging name of the key; published rows carry the published one.
     resolved = C.resolve_suppliers(staged["companies"])
     suppliers = publish_names(resolved.withColumn("__cnpj", F.col("cnpj"))).withColumnRenamed("__cnpj", "cnpj")
-    run.publish("dim_supplier", suppliers, SUPPLIER_COLUMNS, "dim_supplier_resolution_exceptions")
+    run.publish("dim_supplier", suppliers)
     supplier = run.curated("dim_supplier")
     write_table(C.economic_groups(supplier), run.path("curated", "dim_economic_group"))
     write_table(C.build_calendar(staged, check=True), run.path("curated", "dim_calendar"))
@@ -110,43 +153,27 @@ def publish_curated(run: Run) -> None:
     category, calendar = run.curated("dim_category"), run.curated("dim_calendar")
     assert_unique(supplier, "supplier_cnpj", "dim_supplier")
     assert_unique(category, "category_code", "dim_category")
-    run.publish(
-        "fact_supplier_financial", C.resolve_financials(staged["companies"], supplier, calendar),
-        FINANCIAL_COLUMNS, "fact_supplier_financial_exceptions",
-        control=lambda good, bad: Q.coverage("fact_supplier_financial", expected_revenue(staged["companies"]), good, bad),
-    )
-    run.publish(
-        "dim_contract", C.resolve_contracts(staged["contracts"], supplier, category, calendar),
-        CONTRACT_COLUMNS, "dim_contract_resolution_exceptions",
-    )
+    financials = C.resolve_financials(staged["companies"], supplier, calendar)
+    run.publish("fact_supplier_financial", financials, totals["fact_supplier_financial"])
+    run.publish("dim_contract", C.resolve_contracts(staged["contracts"], supplier, category, calendar))
     contract = run.curated("dim_contract")
     assert_unique(contract, "contract_id", "dim_contract")
-    run.publish(
-        "fact_spending", C.resolve_spending(staged["payments"], contract, supplier, category, calendar),
-        SPENDING_COLUMNS, "fact_spending_exceptions",
-        control=lambda good, bad: Q.spending_reconciliation(staged["payments"], good, bad),
-    )
-    run.publish(
-        "fact_rfi", C.resolve_rfi(staged["risk"], supplier, calendar), RFI_COLUMNS, "fact_rfi_exceptions",
-        control=lambda good, bad: Q.coverage("fact_rfi", staged["risk"], good, bad),
-    )
-    run.publish(
-        "fact_renewal", C.resolve_renewals(staged["amendments"], contract, calendar),
-        RENEWAL_COLUMNS, "fact_renewal_exceptions",
-        control=lambda good, bad: Q.coverage("fact_renewal", staged["amendments"], good, bad),
-    )
-
-
-def judge(run: Run, batch_id: str, limits: Q.Thresholds) -> DataFrame:
+    spending = C.resolve_spending(staged["payments"], contract, supplier, category, calendar)
+    run.publish("fact_spending", spending, totals["fact_spending"])
+    run.publish("fact_rfi", C.resolve_rfi(staged["risk"], supplier, calendar), totals["fact_rfi"])
+    run.publish("fact_renewal", C.resolve_renewals(staged["amendments"], contract, calendar), totals["fact_renewal"])
+
+
+def judge(run: Run, batch_id: str, limits: Q.Thresholds, totals: dict[str, tuple[int, str | None]]) -> DataFrame:
     """Write the reconciliation report and the exception index; return the report as stored."""
-    sources = {STAGING_TABLES[s]: run.staged(s) for s in STAGING_TABLES}
-    sources["stg_empresas_financial"] = expected_revenue(run.staged("companies"))
+    sources = [Q.known_side(run.spark, entity, Q.SOURCE, *known) for entity, known in totals.items()]
     staged = {s: run.staged(s) for s in STAGING_TABLES}
     curated = {t: run.curated(t) for t in CURATED_TABLES}
-    rejected = {c.exceptions: run.rejected(c.exceptions) for c in Q.DIRECT_CONTROLS}
+    resolved = {c.entity: run.split("curated", c.entity) for c in Q.DIRECT_CONTROLS}
     ids = {"pipeline_run_id": F.lit(run.run_id), "source_snapshot_id": F.lit(batch_id)}
-    report = Q.apply_thresholds(Q.reconciliation_report(sources, staged, curated, rejected), limits)
+    report = Q.apply_thresholds(Q.reconciliation_report(sources, staged, curated, resolved), limits)
     write_table(report.withColumns(ids).coalesce(1), run.path("curated", "reconciliation_report"))
+    rejected = {c.exceptions: run.rejected(c.entity) for c in Q.DIRECT_CONTROLS}
     index = Q.exception_index(rejected, batch_id).withColumn("pipeline_run_id", F.lit(run.run_id))
     write_table(index, run.path("curated", "exception_index"))
     return run.curated("reconciliation_report")
@@ -160,43 +187,60 @@ def run_batch(
     run_id: str,
     limits: Q.Thresholds = Q.Thresholds(),
 ) -> dict:
-    """Stage, publish and judge a snapshot. The manifest is written before a failed gate raises."""
+    """Stage, publish and judge a snapshot. The manifest is written before a failed gate raises.
+
+    A run that has a manifest is refused. A try that fails before it leaves nothing visible and can be repeated.
+    """
     tune(spark)
-    raw = open_snapshot(spark, snapshot)
-    run = Run(spark, out_dir, run_id)
-    staging = stage_all(run, snapshot, raw)
-    publish_curated(run)
-    report = judge(run, raw["snapshot_id"], limits)
-    failed = Q.failed_entities(report)
-    manifest = {
-        "pipeline_run_id": run_id,
-        "source_snapshot_id": raw["snapshot_id"],
-        "scenario_id": raw["scenario_id"],
-        "raw_manifest": snapshot,
-        "as_of_date": raw["as_of_date"],
-        "directories": {"staging": f"{run.base}/staging", "curated": f"{run.base}/curated"},
-        "staging": staging,
-        "curated": {"quality": {"quality_passed": not failed, "failed_entities": failed}},
-    }
-    write_json(spark, manifest, f"{run.base}/etl_manifest.json")
+    base = f"{out_dir.rstrip('/')}/{run_id}"
+    with attempt(spark, base, POINTER) as folder:
+        raw = open_snapshot(spark, snapshot)
+        run = Run(spark, folder, run_id)
+        staging = stage_all(run, snapshot, raw)
+        totals = source_totals(run, staging)
+        publish_curated(run, totals)
+        report = judge(run, raw["snapshot_id"], limits, totals)
+        failed = Q.failed_entities(report)
+        manifest = {
+            "pipeline_run_id": run_id,
+            "source_snapshot_id": raw["snapshot_id"],
+            "scenario_id": raw["scenario_id"],
+            "raw_manifest": snapshot,
+            "as_of_date": raw["as_of_date"],
+            "directories": {"staging": f"{folder}/staging", "curated": f"{folder}/curated"},
+            "staging": staging,
+            "curated": {"quality": {"quality_passed": not failed, "failed_entities": failed}, "source_totals": totals},
+            "schemas": {name: schema.jsonValue() for name, schema in run.schemas.items()},
+        }
+        publish_json(spark, manifest, f"{base}/{POINTER}")
     Q.enforce_gate(report)
     return manifest
 
 
+def open_run(spark: SparkSession, run_dir: str) -> tuple[Run, dict]:
+    """The tables of a published run, and its manifest."""
+    pointer = f"{run_dir.rstrip('/')}/{POINTER}"
+    if not exists(spark, pointer):
+        raise FileNotFoundError(f"Pipeline run sem manifesto: {run_dir}.")
+    manifest = read_json(spark, pointer)
+    schemas = {name: T.StructType.fromJson(schema) for name, schema in manifest["schemas"].items()}
+    folder = manifest["directories"]["curated"].removesuffix("/curated")
+    return Run(spark, folder, manifest["pipeline_run_id"], schemas), manifest
+
+
 def open_analytics(spark: SparkSession, run_dir: str) -> list[str]:
     """Register the analytic views of an approved run; SQL users then query `vw_*`."""
     tune(spark)
-    manifest = read_json(spark, f"{run_dir}/etl_manifest.json")
+    run, manifest = open_run(spark, run_dir)
     if not manifest["curated"]["quality"]["quality_passed"]:
         raise Q.QualityGateError("O quality gate curated não foi aprovado para este pipeline run.")
-    run = Run(spark, *run_dir.rstrip("/").rsplit("/", 1))
     context = run_context(
         spark,
         pipeline_run_id=manifest["pipeline_run_id"],
         source_snapshot_id=manifest["source_snapshot_id"],
         scenario_id=manifest["scenario_id"],
         as_of_date=date.fromisoformat(manifest["as_of_date"]),
-        etl_manifest_path=f"{run_dir}/etl_manifest.json",
+        etl_manifest_path=f"{run_dir}/{POINTER}",
         curated_dir=manifest["directories"]["curated"],
     )
     curated = {t: run.curated(t) for t in CURATED_TABLES}

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, suppress
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from ledgerspan.operators.rules import accepted, rejected, rule_counts
+from ledgerspan.operators.rules import SEPARATOR, rule_counts
 
 CONTRACT_VERSION = "1.0"
 # Rows per file cap: keeps part files in the hundreds of MB whatever the size of a partition.
@@ -59,16 +61,23 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def conform_to_schema(df: DataFrame, table: str) -> DataFrame:
-    """Project and cast to the staging contract. A NULL in a required column fails the write."""
-    def typed(name: str, kind: str, nullable: bool):
-        value = F.col(name).cast(kind)
-        if not nullable:
-            message = F.lit(f"{table}.{name} não pode ser nulo")
-            value = F.coalesce(value, F.raise_error(message).cast(kind))
-        return value.alias(name)
+def guarded(df: DataFrame, table: str, when: Column) -> DataFrame:
+    """A NULL in a required column of a row for which `when` holds fails the write."""
+    def checked(name: str) -> Column:
+        message = F.lit(f"{table}.{name} não pode ser nulo")
+        return F.when(when & F.col(name).isNull(), F.raise_error(message).cast(df.schema[name].dataType)).otherwise(F.col(name))
+
+    return df.withColumns({name: checked(name) for name, _, nullable in STAGING_SCHEMAS[table] if not nullable})
+
+
+def typed(df: DataFrame, table: str) -> DataFrame:
+    """The columns of the staging contract in its types."""
+    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind, _ in STAGING_SCHEMAS[table]])
 
-    return df.select(*[typed(*field) for field in STAGING_SCHEMAS[table]])
+
+def conform_to_schema(df: DataFrame, table: str) -> DataFrame:
+    """Project and cast to the staging contract. A NULL in a required column fails the write, also one that the cast makes."""
+    return guarded(typed(df, table), table, F.lit(True))
 
 
 def physical_schema(schema: T.StructType) -> list[dict[str, object]]:
@@ -93,40 +102,117 @@ def stage_counts(annotated: DataFrame, column: str = "validation_errors") -> Dat
     )
 
 
+VALID = "is_valid"
+
+
+def write_split(df: DataFrame, path: str, valid: Column, metrics: dict[str, Column] | None = None) -> dict[str, object]:
+    """Write rows once, parted by `valid`, and return what `metrics` count on the way, with the rows of both sides.
+
+    Readers of one side read its folder alone (`read_split`).
+    """
+    observation = Observation()
+    split = df.withColumn(VALID, valid)
+    counted = {"valid": F.count_if(F.col(VALID)), "invalid": F.count_if(~F.col(VALID))} | (metrics or {})
+    observed = split.observe(observation, *[c.alias(f"m{i}") for i, c in enumerate(counted.values())])
+    write_table(observed, path, partition_by=[VALID])
+    return dict(zip(counted, (observation.get[f"m{i}"] for i in range(len(counted)))))
+
+
+def read_split(spark: SparkSession, path: str, schema: T.StructType, valid: bool | None = None) -> DataFrame:
+    """One side of a table that `write_split` wrote from rows of `schema`, or both with the column `is_valid`."""
+    whole = T.StructType([f for f in schema.fields if f.name != VALID]).add(VALID, "boolean")
+    rows = spark.read.schema(whole).parquet(path)
+    return rows if valid is None else rows.where(F.col(VALID) == F.lit(valid)).drop(VALID)
+
+
+def rule_metrics(annotated: DataFrame, column: str = "validation_errors") -> dict[str, Column] | None:
+    """A count per rule that `annotate` evaluated, or None for rows that were annotated elsewhere."""
+    messages = (annotated.schema[column].metadata or {}).get("rules")
+    if messages is None:
+        return None
+    listed = F.concat(F.lit(SEPARATOR), F.col(column), F.lit(SEPARATOR))
+    return {m: F.count_if((F.col(column) != "") & F.contains(listed, F.lit(f"{SEPARATOR}{m}{SEPARATOR}"))) for m in messages}
+
+
 def publish_stage(
-    annotated: DataFrame,
-    table: str,
-    annotated_path: str,
-    valid_path: str,
-    invalid_path: str,
-    *,
-    source_file: str,
-    batch_id: str,
+    annotated: DataFrame, table: str, path: str, *, source_file: str, batch_id: str, totals: dict[str, Column] | None = None
 ) -> dict[str, object]:
-    """Write valid rows and exceptions of one staged source; return its manifest.
+    """Write the rows of one staged source, valid and rejected ones parted; return its manifest.
 
-    The rules feed two tables and two counts, so they are evaluated once into `annotated_path` and
-    everything else reads that: no executor memory is held, and a lost executor recomputes nothing
-    that is already written. The counts read one column. Only they reach the driver: the number of
-    distinct messages is the number of rules.
+    The rules are evaluated once, in the one write there is; rows, violations per rule and `totals` of the
+    valid rows are observed on the way.
     """
-    write_table(annotated, annotated_path)
-    stored = annotated.sparkSession.read.parquet(annotated_path)
-    valid = accepted(stored)
-    valid = conform_to_schema(valid, table) if table in STAGING_SCHEMAS else valid
-    schema = write_table(valid, valid_path)
-    write_table(rejected(stored), invalid_path)
+    valid = F.col("validation_errors") == ""
+    rows = guarded(annotated, table, valid) if table in STAGING_SCHEMAS else annotated
+    per_rule, totals = rule_metrics(annotated), totals or {}
+    seen = write_split(rows, path, valid, (per_rule or {}) | {f"total {k}": v for k, v in totals.items()})
+    side = annotated.drop("validation_errors")
+    if per_rule is None:
+        rejected = read_split(annotated.sparkSession, path, rows.schema, False)
+        violations = {r["message"]: r["violations"] for r in rule_counts(rejected).collect()}
+    else:
+        violations = {m: seen[m] for m in sorted(per_rule) if seen[m]}
     return {
         "table": table,
         "contract_version": CONTRACT_VERSION,
         "source_file": source_file,
         "batch_id": batch_id,
-        "row_counts": stage_counts(stored).first().asDict(),
-        "schema": schema,
-        "validation_error_counts": {r["message"]: r["violations"] for r in rule_counts(stored).collect()},
+        "row_counts": {"source": seen["valid"] + seen["invalid"], "valid": seen["valid"], "invalid": seen["invalid"]},
+        "totals": {k: str(seen[f"total {k}"]) for k in totals},
+        "schema": physical_schema((typed(side, table) if table in STAGING_SCHEMAS else side).schema),
+        "stored_schema": json.loads(rows.schema.json()),
+        "validation_error_counts": violations,
     }
 
 
+class AlreadyPublishedError(ValueError):
+    """What is published stays as it is."""
+
+
+def _located(spark: SparkSession, path: str):
+    """Hadoop's file system and path."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _located(spark, path)
+    return system.exists(at)
+
+
+def publish_json(spark: SparkSession, content: dict[str, object], path: str) -> None:
+    """Write one small JSON file that appears whole or not at all: written beside its place, then renamed."""
+    system, at = _located(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = system.create(draft, False)
+    try:
+        out.write(bytearray(json.dumps(content, ensure_ascii=False, default=str).encode("utf-8")))
+    finally:
+        out.close()
+    if system.exists(at) or not system.rename(draft, at):
+        system.delete(draft, False)
+        raise AlreadyPublishedError(f"Publicação já existe (exists): {path}.")
+
+
+@contextmanager
+def attempt(spark: SparkSession, base: str, pointer: str) -> Iterator[str]:
+    """A folder of its own below `base` for one try at a publication, visible to readers only by what `pointer` names.
+
+    The last thing a try does is to publish `base`/`pointer`; where that exists, nothing is begun. A try that fails
+    takes its folder along, and one that is killed leaves a folder that nothing points to.
+    """
+    if exists(spark, f"{base}/{pointer}"):
+        raise AlreadyPublishedError(f"Publicação já existe (exists): {base}/{pointer}.")
+    folder = f"{base}/attempt-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    except BaseException:
+        with suppress(Exception):
+            system, at = _located(spark, folder)
+            system.delete(at, True)
+        raise
+
+
 def write_json(spark: SparkSession, content: dict[str, object], path: str) -> None:
     """Write one small JSON document through Spark, so any file system Spark knows will do."""
     text = json.dumps(content, ensure_ascii=False, default=str)

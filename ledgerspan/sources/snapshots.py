@@ -1,8 +1,9 @@
-"""Immutable RAW snapshots: publish five tables with counts and hashes, and audit them later.
+"""Immutable RAW snapshots: publish five tables with counts and digests, and audit them later.
 
 A snapshot source is a folder of CSV part files written by Spark. Counts come with the write
-(`observe`), hashes are computed per part file on the executors, and the audit compares them as a
-join; neither the rows nor the hash list pass through the driver.
+(`observe`), digests are hash trees over the lines, and the audit compares them as a join; neither the rows nor
+the digests pass through the driver. All is written below a folder of its own first; the manifest, written last, is what
+makes it a snapshot, so a failed try leaves nothing that a reader or a repeat would meet.
 """
 
 from __future__ import annotations
@@ -12,12 +13,16 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ledgerspan.plans.quality import snapshot_integrity
-from ledgerspan.sources.published import read_json, write_json, write_table
+from ledgerspan.sources.digests import file_digests
+from ledgerspan.sources.published import attempt, exists, publish_json, read_json, write_table
 from ledgerspan.sources.raw import CSV_OPTIONS, FILE_STEMS
 
-MANIFEST_VERSION = "1.0"
-# A part file is hashed as one value: about 0.2 GB of the widest source, far from the 2 GB that one may have.
+MANIFEST_VERSION = "2.0"
+POINTER = "raw_manifest.json"
+# Part files that many tasks can read and write.
 ROWS_PER_PART = 500_000
+# Foreign manifests hold hashes of whole files, which take a file as one value.
+MOST_BYTES = 2_000_000_000
 # Name of each source in a manifest.
 MANIFEST_NAMES = {
     "companies": "empresas",
@@ -36,23 +41,22 @@ def snapshot_path(raw_dir: str, scenario_id: str, snapshot_id: str) -> str:
     return f"{raw_dir.rstrip('/')}/{scenario_id}/{snapshot_id}"
 
 
-def source_path(snapshot: str, source: str, snapshot_id: str) -> str:
-    return f"{snapshot}/{FILE_STEMS[source]}_{snapshot_id}.csv"
+def _relative(path: str, base: str):
+    return F.substring_index(path, base.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
 
 
 def file_hashes(spark: SparkSession, paths: list[str], base: str) -> DataFrame:
-    """SHA-256 and size of every data file below `paths`, named relative to `base`.
+    """(file, sha256, bytes, lines) of every data file below `paths`, named relative to `base`; `sha256` is the root of its hash tree."""
+    return file_digests(spark, paths).select(_relative("path", base).alias("file"), "sha256", "bytes", "lines")
 
-    One row per file. Part files hold at most ROWS_PER_PART rows, which keeps them far below the size
-    that one value can have; foreign snapshots of one file per source must stay below it as well.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.csv"
-    ).load(paths)
-    relative = F.substring_index("path", base.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
-    return files.select(
-        relative.alias("file"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")
-    )
+
+def byte_hashes(spark: SparkSession, paths: list[str], base: str, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """(file, sha256) of the bytes of whole files, as foreign manifests declare them. A file beyond `most_bytes` is refused."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(paths)
+    large = files.where(F.col("length") > most_bytes).select("path", "length").take(1)
+    if large:
+        raise SnapshotError(f"Arquivo grande demais para um hash de bytes ({large[0]['length']} > {most_bytes}): {large[0]['path']}; republique o snapshot.")
+    return files.select(_relative("path", base).alias("file"), F.sha2("content", 256).alias("sha256"))
 
 
 def require_integrity(sources: dict[str, DataFrame]) -> None:
@@ -77,7 +81,7 @@ def write_snapshot(
 ) -> str:
     """Write the five sources and the manifest of a new snapshot; never over an existing one.
 
-    Values are stored as they are, blanks included; CSV tells an empty text from NULL no more than the
+    Values are stored as they are, blanks and line breaks included; CSV tells an empty text from NULL no more than the
     readers of such files do. `check` refuses sources with broken references or repeated ids before
     anything is written.
     """
@@ -88,31 +92,29 @@ def write_snapshot(
         require_integrity(sources)
     spark = next(iter(sources.values())).sparkSession
     snapshot = snapshot_path(raw_dir, scenario_id, snapshot_id)
-    counts, paths = {}, []
-    for name in FILE_STEMS:
-        path = source_path(snapshot, name, snapshot_id)
-        observation = Observation()
-        observed = sources[name].observe(observation, F.count(F.lit(1)).alias("rows"))
-        writer = observed.write.mode("errorifexists").options(**CSV_OPTIONS)
-        writer.option("maxRecordsPerFile", ROWS_PER_PART).csv(path)
-        counts[name] = observation.get["rows"]
-        paths.append(path)
-    write_table(file_hashes(spark, paths, snapshot), f"{snapshot}/hashes")
-    manifest = {
-        "manifest_version": MANIFEST_VERSION,
-        "scenario_id": scenario_id,
-        "snapshot_id": snapshot_id,
-        "parent_snapshot_id": parent_snapshot_id,
-        "snapshot_type": kind,
-        "as_of_date": as_of_date.isoformat(),
-        "created_at": datetime.now().astimezone().isoformat(),
-        "parameters": parameters or {},
-        "sources": {
-            MANIFEST_NAMES[n]: {"path": p.rsplit("/", 1)[-1], "row_count": counts[n]}
-            for n, p in zip(FILE_STEMS, paths)
-        },
-    }
-    write_json(spark, manifest, f"{snapshot}/raw_manifest.json")
+    with attempt(spark, snapshot, POINTER) as folder:
+        counts, paths = {}, {n: f"{folder}/{stem}_{snapshot_id}.csv" for n, stem in FILE_STEMS.items()}
+        for name, path in paths.items():
+            observation = Observation()
+            observed = sources[name].observe(observation, F.count(F.lit(1)).alias("rows"))
+            writer = observed.write.mode("errorifexists").options(**CSV_OPTIONS)
+            writer.option("maxRecordsPerFile", ROWS_PER_PART).csv(path)
+            counts[name] = observation.get["rows"]
+        write_table(file_hashes(spark, list(paths.values()), snapshot), f"{folder}/hashes")
+        inside = lambda path: path[len(snapshot) + 1 :]
+        manifest = {
+            "manifest_version": MANIFEST_VERSION,
+            "scenario_id": scenario_id,
+            "snapshot_id": snapshot_id,
+            "parent_snapshot_id": parent_snapshot_id,
+            "snapshot_type": kind,
+            "as_of_date": as_of_date.isoformat(),
+            "created_at": datetime.now().astimezone().isoformat(),
+            "parameters": parameters or {},
+            "hashes": inside(f"{folder}/hashes"),
+            "sources": {MANIFEST_NAMES[n]: {"path": inside(p), "row_count": counts[n]} for n, p in paths.items()},
+        }
+        publish_json(spark, manifest, f"{snapshot}/{POINTER}")
     return snapshot
 
 
@@ -129,18 +131,21 @@ def compare_hashes(declared: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def declared_hashes(spark: SparkSession, snapshot: str, manifest: dict) -> DataFrame:
-    """Hashes stored with the snapshot: in the manifest when each source is one file, else in a table."""
-    entries = list(manifest["sources"].values())
-    if all("sha256" in e for e in entries):
-        return spark.createDataFrame([(e["path"], e["sha256"]) for e in entries], "file string, sha256 string")
-    return spark.read.parquet(f"{snapshot}/hashes")
+    """Digests stored with a snapshot of this library."""
+    return spark.read.parquet(f"{snapshot}/{manifest['hashes']}")
 
 
 def audit_snapshot(spark: SparkSession, snapshot: str) -> DataFrame:
-    """Problems of a stored snapshot against the hashes written with it."""
+    """Problems of a stored snapshot against the digests written with it, or the hashes in a foreign manifest."""
     manifest = load_manifest(spark, snapshot)
     paths = list(source_paths(snapshot, manifest).values())
-    return compare_hashes(declared_hashes(spark, snapshot, manifest), file_hashes(spark, paths, snapshot))
+    if "hashes" in manifest:
+        return compare_hashes(declared_hashes(spark, snapshot, manifest), file_hashes(spark, paths, snapshot))
+    entries = [(e["path"], e.get("sha256")) for e in manifest["sources"].values()]
+    if not all(digest for _, digest in entries):
+        raise SnapshotError("Manifesto sem hashes das fontes.")
+    declared = spark.createDataFrame(entries, "file string, sha256 string")
+    return compare_hashes(declared, byte_hashes(spark, paths, snapshot))
 
 
 def source_paths(snapshot: str, manifest: dict) -> dict[str, str]:
@@ -148,7 +153,9 @@ def source_paths(snapshot: str, manifest: dict) -> dict[str, str]:
 
 
 def load_manifest(spark: SparkSession, snapshot: str) -> dict:
-    manifest = read_json(spark, f"{snapshot}/raw_manifest.json")
+    if not exists(spark, f"{snapshot}/{POINTER}"):
+        raise SnapshotError(f"Snapshot sem manifesto: {snapshot}.")
+    manifest = read_json(spark, f"{snapshot}/{POINTER}")
     missing = {"scenario_id", "snapshot_id", "as_of_date", "sources"}.difference(manifest)
     if missing:
         raise SnapshotError(f"Manifesto sem campos obrigatórios: {', '.join(sorted(missing))}.")

@@ -81,7 +81,7 @@ def test_batch_reads_line_breaks(spark, tmp_path):
     names = ["Empresa\nfilial 2", 'Em"presa,\r\n\n']
     payments = frame(spark, *[{**PAYMENT, "CNPJ": "11222333000199", "Fornecedor": n, "Cód_Pagamento": f"PAG0000000{i}"} for i, n in enumerate(names)])
     snapshot = store(spark, tmp_path, payments=payments)
-    run = Run(spark, str(tmp_path / "runs"), "run")
+    run = Run(spark, str(tmp_path / "runs" / "try"), "run")
     counts = stage_all(run, snapshot, load_manifest(spark, snapshot))["pagamentos"]["row_counts"]
     assert counts == {"source": 2, "valid": 2, "invalid": 0}
     assert {r["supplier_name"] for r in run.staged("payments").collect()} == {n.strip() for n in names}
