@@ -19,7 +19,6 @@ decided in full, while a bucket of many alike paragraphs costs about its size.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +38,7 @@ ROWS = 3
 SEED = 11
 SEED_WORDS = 25  # a run has MIN_WORDS - SEED_WORDS + 1 of these
 FLUSH = 500_000  # words
+CHUNK = 20_000  # words whose shingles are multiplied together
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -80,47 +80,85 @@ def _numbers(n: int) -> np.ndarray:
     return rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
 
 
-def _cut(text: str | None, hashed) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-    """(first line, last line, first word, words, shingle hashes) of every paragraph of a text."""
+def _cut(text: str | None, hashed) -> tuple[list[tuple[int, int, int, int]], np.ndarray]:
+    """(first line, last line, first word, words) of every paragraph of a text, and the hashes of its words."""
     lines = [line.split() for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
     counts = [len(w) for w in lines]
     found = runs(counts)
     if not found:
-        return
+        return [], np.zeros(0, np.uint64)
     values = np.fromiter((hashed(w) for line in lines for w in line), np.uint64, sum(counts))
-    places = np.concatenate([[0], np.cumsum(counts)])
-    whole = shingle_hashes(values)
-    for first, last in found:
-        a, b = places[first], places[last + 1]
-        yield first, last, int(a), int(b - a), whole[a : b - SHINGLE + 1] if b - a >= SHINGLE else shingle_hashes(values[a:b])
+    places = np.concatenate([[0], np.cumsum(counts)]).tolist()
+    return [(first, last, places[first], places[last + 1] - places[first]) for first, last in found], values
+
+
+POWER = np.uint64(0xD6E8FEB86659FD93)
+BACK = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+
+
+def _classes(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the shingles of every range, in order, from prefix sums; it does not depend on where the range stands."""
+    powers = np.full(len(shingles) + 1, POWER)
+    back = np.full(len(shingles) + 1, BACK)
+    powers[0] = back[0] = 1
+    with np.errstate(over="ignore"):
+        np.multiply.accumulate(powers, out=powers)
+        np.multiply.accumulate(back, out=back)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(shingles * powers[:-1], dtype=np.uint64)])
+        mixed = (sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * POWER
+        return mixed ^ (mixed >> np.uint64(31))
 
 
 def _banded(bands: int, rows: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        factors = _numbers(bands * rows)
-        mix = _numbers(rows + bands)
-        hashed = xxhash.xxh64_intdigest
+        factors, mix = _numbers(bands * rows), _numbers(rows + bands)
+        names = ["doc_id", "mark", "first", "last", "start", "n_words", "class", "overlaps", "buckets"]
+
+        def out(texts: list[int], batch: pa.RecordBatch, cuts: list, words: list[np.ndarray]) -> pa.RecordBatch:
+            """The paragraphs of some texts: their shingles are multiplied once, though paragraphs overlap."""
+            shingles = [shingle_hashes(w) for w in words]
+            bases = np.cumsum([0, *[len(x) for x in shingles]])
+            rows_ = np.concatenate([np.zeros((0, 4), np.int64), *[np.array(c, np.int64) for c in cuts]])
+            each = [len(c) for c in cuts]
+            base = np.repeat(bases[:-1], each)
+            starts, ends = base + rows_[:, 2], base + rows_[:, 2] + np.maximum(rows_[:, 3] - SHINGLE + 1, 1)
+            # following paragraphs of the text that begin on a line of this one
+            last, limit = rows_[:, 1], np.repeat(np.cumsum(each), each)
+            key = np.repeat(np.arange(len(cuts)), each) * (int(last.max(initial=0)) + 2)
+            overlaps = np.minimum(np.searchsorted(key + rows_[:, 0], key + last, "right"), limit) - np.arange(len(rows_)) - 1
+            flat = np.append(np.concatenate([np.zeros(0, np.uint64), *shingles]), np.uint64(0xFFFFFFFFFFFFFFFF))
+            pairs = np.stack([starts, ends], 1).ravel()
+            least = np.empty((len(rows_), bands * rows), np.uint64)
+            with np.errstate(over="ignore"):
+                for k, f in enumerate(factors):
+                    product = flat * f
+                    product[-1] = flat[-1]
+                    least[:, k] = np.minimum.reduceat(product, pairs)[::2] if len(pairs) else 0
+                keys = (least.reshape(-1, bands, rows) * mix[:rows]).sum(2) ^ mix[rows:]
+            chosen = pa.array(np.repeat(np.array(texts, np.int64), each))
+            columns = [batch.column(0).take(chosen).cast(id_type), batch.column(1).take(chosen)]
+            columns += [pa.array(rows_[:, i].astype(np.int32)) for i in range(4)]
+            columns += [pa.array(_classes(flat[:-1], starts, ends).view(np.int64)), pa.array(overlaps.astype(np.int64))]
+            offsets = pa.array(np.arange(0, keys.size + 1, bands), pa.int32())
+            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))], names)
+
         for batch in batches:
-            out = [[] for _ in range(8)]
-            keys = []
-            for doc_id, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                cut = list(_cut(text, hashed))
-                firsts = [c[0] for c in cut]
-                for at, (first, last, start, n, shingles) in enumerate(cut):
-                    overlaps = bisect_right(firsts, last) - at - 1
-                    with np.errstate(over="ignore"):
-                        # order matters for a class, not for the MinHash
-                        same = int(np.bitwise_xor.reduce(shingles * (np.arange(1, 2 * len(shingles), 2, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))))
-                        least = np.array([(shingles * f).min() for f in factors]).reshape(bands, rows)
-                        keys.append((least * mix[:rows]).sum(1) ^ mix[rows:])
-                    for column, value in zip(out, (doc_id, mark, first, last, start, n, same - (1 << 64) if same >> 63 else same, overlaps)):
-                        column.append(value)
-            flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-            buckets = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), pa.array(flat))
-            types = (id_type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(out, types)], buckets], ["doc_id", "mark", "first", "last", "start", "n_words", "class", "overlaps", "buckets"])
+            texts, cuts, words, total = [], [], [], 0
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                found, values = _cut(text, xxhash.xxh64_intdigest)
+                if not found:
+                    continue
+                texts.append(i)
+                cuts.append(found)
+                words.append(values)
+                total += len(values)
+                if total > CHUNK:
+                    yield out(texts, batch, cuts, words)
+                    texts, cuts, words, total = [], [], [], 0
+            if texts:
+                yield out(texts, batch, cuts, words)
 
     return run
 
@@ -162,10 +200,12 @@ def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, shingles = [], []
         for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             at = {(w["first"], w["last"]): w["class"] for w in wanted}
-            for first, last, _, _, found in _cut(text, xxhash.xxh64_intdigest):
+            found, values = _cut(text, xxhash.xxh64_intdigest)
+            whole = shingle_hashes(values).view(np.int64)
+            for first, last, start, n in found:
                 if (first, last) in at:
                     classes.append(at[(first, last)])
-                    shingles.append(np.unique(found.view(np.int64)))
+                    shingles.append(np.unique(whole[start : start + max(n - SHINGLE + 1, 1)]))
         yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(shingles, pa.list_(pa.int64()))], ["class", "shingles"])
 
 
@@ -189,58 +229,85 @@ def _joined(hashed: np.ndarray, n: int, step: int) -> np.ndarray:
     return out
 
 
-def _windowed(id_type: pa.DataType):
-    """(doc_id, mark, at, seed, windows): hashes of all runs of MIN_WORDS words, from the word `at` on, cut where their seed changes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+def _hashed_words(text: str | None) -> np.ndarray:
+    import xxhash
 
-        names, places = ["doc_id", "mark", "at", "seed", "windows"], MIN_WORDS - SEED_WORDS + 1
+    words = words_in(text)
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
 
-        def out(ids: list, marks: list, ats: list, seeds: list, windows: list) -> pa.RecordBatch:
-            join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
-            flat, sizes = join(windows, np.uint64).view(np.int64), [np.diff(np.append(a, len(w))) for a, w in zip(ats, windows)]
-            each = [len(a) for a in ats]
-            offsets = pa.array(np.concatenate([[0], np.cumsum(join(sizes, np.int64))]), pa.int32())
-            repeated = pa.array(np.repeat(np.arange(len(ids)), each))
-            columns = [pa.array(ids, id_type).take(repeated), pa.array(marks, pa.int64()).take(repeated), pa.array(join(ats, np.int32)), pa.array(join(seeds, np.uint64).view(np.int64))]
-            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, pa.array(flat))], names)
 
-        for batch in batches:
-            held, total = ([], [], [], [], []), 0
-            for doc_id, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = words_in(text)
-                if len(words) < MIN_WORDS:
-                    continue
-                values = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-                five = _joined(values, SHINGLE, 1)
-                seed = _joined(five, SEED_WORDS // SHINGLE, SHINGLE)
-                windows = _joined(seed, MIN_WORDS // SEED_WORDS, SEED_WORDS)
-                anchors = np.arange(len(windows)) + np.lib.stride_tricks.sliding_window_view(five, places)[: len(windows)].argmin(1)
-                ats = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
-                for column, value in zip(held, (doc_id, mark, ats, seed[anchors[ats]], windows)):
-                    column.append(value)
-                total += len(words)
-                if total > FLUSH:
-                    yield out(*held)
-                    held, total = ([], [], [], [], []), 0
-            yield out(*held)
+def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mark, size, at, until, seed): of every text of MIN_WORDS words or more the stretches of runs, `at` to `until`, with one seed."""
+    names, places = ["mark", "size", "at", "until", "seed"], MIN_WORDS - SEED_WORDS + 1
 
-    return run
+    def out(held: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        each = [len(h[2]) for h in held]
+        join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
+        once = lambda i, kind: np.repeat(np.array([h[i] for h in held], kind), each)
+        columns = [once(0, np.int64), once(1, np.int32), join([h[2] for h in held], np.int32), join([h[3] for h in held], np.int32), join([h[4] for h in held], np.uint64).view(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    for batch in batches:
+        held, total = [], 0
+        for mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            values = _hashed_words(text)
+            if len(values) < MIN_WORDS:
+                continue
+            five = _joined(values, SHINGLE, 1)
+            seed = _joined(five, SEED_WORDS // SHINGLE, SHINGLE)
+            n = len(values) - MIN_WORDS + 1
+            anchors = np.arange(n) + np.lib.stride_tricks.sliding_window_view(five, places)[:n].argmin(1)
+            ats = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+            held.append((mark, len(values), ats, np.append(ats[1:], n), seed[anchors[ats]]))
+            total += len(values)
+            if total > FLUSH:
+                yield out(held)
+                held, total = [], 0
+        yield out(held)
+
+
+def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mark, pos, window): hashes of the runs of MIN_WORDS words in the given stretches of a text."""
+    for batch in batches:
+        marks, positions, windows = [], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for mark, text, stretches in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            five = _joined(_hashed_words(text), SHINGLE, 1)
+            whole = _joined(five, MIN_WORDS // SHINGLE, SHINGLE)
+            at = np.concatenate([np.arange(x["at"], x["until"]) for x in stretches])
+            marks += [mark] * len(at)
+            positions.append(at)
+            windows.append(whole[at])
+        columns = [pa.array(marks, pa.int64()), pa.array(np.concatenate(positions).astype(np.int32)), pa.array(np.concatenate(windows).view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["mark", "pos", "window"])
 
 
 def _merged(id_type: pa.DataType):
-    """From texts with their repeated runs (place, keeper's mark, id and place) and covered words, the passages that whole lines don't cover."""
+    """From texts with their repeated runs (place, keeper's mark, id and place) and covered words, the passages that whole lines don't cover.
+
+    In a text that other documents hold as well (`rep` is the first of them) every run repeats, if only there.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[] for _ in range(6)]
-            ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k, (doc_id, mark) in enumerate(zip(ids, marks)):
+            for k, (doc_id, mark, rep, copied, words) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 1, 4, 5, 6)))):
                 found, lines = batch.column(2)[k].values, batch.column(3)[k].as_py() or []
-                pos, order = np.unique(found.field("pos").to_numpy(), return_index=True)
-                its_mark, its_pos = (found.field(f).to_numpy()[order] for f in ("its_mark", "its_pos"))
-                its_id = found.field("its_id")
-                numbers = pc.dictionary_encode(pc.take(its_id, pa.array(order)), null_encoding="encode").indices.to_numpy()
-                own = np.array([x == doc_id for x in pc.take(its_id, pa.array(order)).to_pylist()], bool) if (its_mark == mark).any() else np.zeros(len(pos), bool)
+                listed = found.field("pos").to_numpy() if found is not None else np.zeros(0, np.int32)
+                pos, order = np.unique(listed, return_index=True)
+                if found is None:
+                    its_mark, its_pos, ids = np.zeros(0, np.int64), np.zeros(0, np.int32), []
+                else:
+                    its_mark, its_pos = (found.field(f).to_numpy()[order] for f in ("its_mark", "its_pos"))
+                    ids = pc.take(found.field("its_id"), pa.array(order)).to_pylist()
+                if copied:
+                    every = np.arange(words - MIN_WORDS + 1)
+                    marks, places, names = np.full(len(every), mark), every.copy(), [rep] * len(every)
+                    marks[pos], places[pos] = its_mark, its_pos
+                    for at, name in zip(pos.tolist(), ids):
+                        names[at] = name
+                    pos, its_mark, its_pos, ids = every, marks, places, names
+                its_id = pa.array(ids, id_type)
+                numbers = pc.dictionary_encode(its_id, null_encoding="encode").indices.to_numpy()
+                own = np.array([x == doc_id for x in ids], bool) if (its_mark == mark).any() else np.zeros(len(pos), bool)
                 near = own & (its_mark == mark) & (np.abs(its_pos - pos) < MIN_WORDS)
                 cut = (np.diff(pos) != 1) | (np.diff(its_mark) != 0) | (np.diff(numbers) != 0) | (near[1:] != near[:-1])
                 starts = np.flatnonzero(np.concatenate([[True], cut]))
@@ -252,7 +319,7 @@ def _merged(id_type: pa.DataType):
                     if x["removed"]:
                         by_removed[x["start"] : x["start"] + x["n_words"]] = True
                 for a, b in zip(starts, ends):
-                    start, end, keeper, stays = int(pos[a]), int(pos[b]) + MIN_WORDS, its_id[int(order[a])].as_py(), bool(near[a])
+                    start, end, keeper, stays = int(pos[a]), int(pos[b]) + MIN_WORDS, ids[int(a)], bool(near[a])
                     # a few words more than whole lines agree by chance
                     if np.count_nonzero(~(by_any if stays else by_removed)[start:end]) < SHINGLE:
                         continue
@@ -290,20 +357,33 @@ def passages(docs: DataFrame, lines: DataFrame) -> DataFrame:
     kind = to_arrow_type(docs.schema["doc_id"].dataType)
     name = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", _mark(F.col("text")).alias("mark"), "text")
-    cut = stored(texts.mapInArrow(_windowed(kind), f"doc_id {name}, mark long, at int, seed long, windows array<long>"), "passage-windows")
-    seeds = stored(cut.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "passage-seeds")
-    met = join_unique(cut, seeds, ["seed"], ["seed"]).where("n is not null")
-    each = stored(met.select("doc_id", "mark", "at", F.posexplode("windows").alias("i", "window")).select("doc_id", "mark", (F.col("at") + F.col("i")).alias("pos"), "window"), "passage-runs")
-    doc = F.xxhash64("doc_id", "mark")
-    twice = each.groupBy("window").agg(F.min(doc).alias("doc"), F.max(doc).alias("other"), F.min("pos").alias("top"), F.max("pos").alias("low"))
-    twice = stored(twice.where(f"doc <> other or low - top >= {MIN_WORDS}").select("window", F.lit(True).alias("twice")), "passage-repeats")
-    again = stored(join_unique(each, twice, ["window"], ["window"]).where("twice").drop("twice"), "passage-places")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark"), F.col("pos").alias("its_pos"))
+    # texts count once, whoever holds them; `rep` is the first document of each
+    holders = stored(texts.select("doc_id", "mark").distinct(), "passage-holders")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("rep")))
+    reps = stored(holders.groupBy("mark").agg(first.alias("first"), (F.count("*") > 1).alias("copied")).select("mark", "first.none", "first.rep", "copied"), "passage-texts")
+    cut = stored(texts.select("mark", "text").mapInArrow(_seeded, "mark long, size int, at int, until int, seed long"), "passage-seeds")
+    span = cut.groupBy("seed").agg(F.min("mark").alias("one"), F.max("mark").alias("two"), F.min("at").alias("top"), F.max("at").alias("low"))
+    seeds = stored(span.where("one <> two or top <> low").select("seed", F.lit(True).alias("again")), "passage-repeated-seeds")
+    met = join_unique(cut, seeds, ["seed"], ["seed"]).where("again")
+    stretches = met.groupBy("mark").agg(F.collect_set(F.struct("at", "until")).alias("stretches"))
+    wanted = stored(stretches.withColumnRenamed("mark", "its_mark"), "passage-stretches")
+    again_read = texts.select("mark", "text").join(wanted, F.col("mark") == F.col("its_mark")).dropDuplicates(["its_mark"]).select("mark", "text", "stretches")
+    each = stored(again_read.mapInArrow(_windowed, "mark long, pos int, window long"), "passage-runs")
+    twice = each.groupBy("window").agg(F.min("mark").alias("one"), F.max("mark").alias("two"), F.min("pos").alias("top"), F.max("pos").alias("low"))
+    twice = stored(twice.where(f"one <> two or low - top >= {MIN_WORDS}").select("window", F.lit(True).alias("twice")), "passage-repeats")
+    again = join_unique(each, twice, ["window"], ["window"]).where("twice").drop("twice")
+    held = reps.select(F.col("mark").alias("held_mark"), "none", "rep")
+    again = stored(again.join(held, F.col("mark") == F.col("held_mark")).select("mark", "pos", "window", "none", "rep"), "passage-places")
+    place = F.struct("none", F.col("rep").alias("its_id"), F.col("mark").alias("its_mark"), F.col("pos").alias("its_pos"))
     keepers = stored(again.groupBy("window").agg(F.min(place).alias("keeper")), "passage-keepers")
-    kept = join_unique(again, keepers, ["window"], ["window"]).select("doc_id", "mark", F.struct("pos", "keeper.its_id", "keeper.its_mark", "keeper.its_pos").alias("run"))
-    runs_of = kept.groupBy("doc_id", "mark").agg(F.collect_list("run").alias("runs"))
+    kept = join_unique(again, keepers, ["window"], ["window"]).select("mark", F.struct("pos", "keeper.its_id", "keeper.its_mark", "keeper.its_pos").alias("run"))
+    runs_of = stored(kept.groupBy(F.col("mark").alias("runs_mark")).agg(F.collect_list("run").alias("runs")), "passage-runs-of")
+    sizes = cut.groupBy(F.col("mark").alias("size_mark")).agg(F.max("size").alias("size"))
+    known = reps.join(sizes, F.col("mark") == F.col("size_mark")).join(runs_of, F.col("mark") == F.col("runs_mark"), "left").where("copied or runs is not null")
+    known = stored(known.select(F.col("mark").alias("known_mark"), "rep", "copied", "size", "runs"), "passage-known")
     covered = lines.groupBy(F.col("doc_id").alias("lines_id"), F.col("mark").alias("lines_mark")).agg(F.collect_set(F.struct("start", "n_words", "removed")).alias("lines"))
-    both = runs_of.join(covered, F.col("doc_id").eqNullSafe(F.col("lines_id")) & (F.col("mark") == F.col("lines_mark")), "left").select("doc_id", "mark", "runs", "lines")
+    both = holders.join(covered, F.col("doc_id").eqNullSafe(F.col("lines_id")) & (F.col("mark") == F.col("lines_mark")), "left")
+    both = both.join(known, F.col("mark") == F.col("known_mark")).select("doc_id", "mark", "runs", "lines", "rep", "copied", "size")
     found = both.mapInArrow(_merged(kind), f"doc_id {name}, mark long, start int, n_words int, component_id {name}, removed boolean")
     spans = found.groupBy(F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark")).agg(F.collect_set(F.struct("start", "n_words", "component_id", "removed")).alias("spans"))
     spans = stored(spans, "passage-spans")
