@@ -9,6 +9,7 @@ from ledgerspan.functions.numbers import amendment_id, lenient_double, money
 from ledgerspan.functions.text import CONTRACT_ID_FORMAT, code, enum_slug
 from ledgerspan.operators.intervals import flag_contained
 from ledgerspan.operators.lookup import flag_member_unique
+from ledgerspan.operators.narrow import with_flags
 from ledgerspan.operators.rules import Rule, annotate, formatted, one_of, parsed, positive, required
 from ledgerspan.operators.uniqueness import flag_repeated
 from ledgerspan.sources.raw import conform
@@ -66,15 +67,18 @@ def flag_inside_renewal(rows: DataFrame, flag: str = "__inside") -> DataFrame:
 
 def stage_amendments(raw: DataFrame, valid_contracts: DataFrame) -> DataFrame:
     """Normalised amendments with `validation_errors`; `valid_contracts` has unique contract_id."""
-    rows = normalize_amendments(raw)
-    rows = flag_inside_renewal(rows)
-    rows = flag_repeated(
-        rows,
-        ["contract_id", "amendment_sequence"],
-        "__repeated",
-        exempt=(F.col("contract_id") == "") | F.col("amendment_sequence").isNull(),
-    )
-    rows = flag_member_unique(rows, "contract_id", valid_contracts, "contract_id", "__known")
+    def flagged(rows: DataFrame) -> DataFrame:
+        rows = flag_inside_renewal(rows)
+        rows = flag_repeated(
+            rows,
+            ["contract_id", "amendment_sequence"],
+            "__repeated",
+            exempt=(F.col("contract_id") == "") | F.col("amendment_sequence").isNull(),
+        )
+        return flag_member_unique(rows, "contract_id", valid_contracts, "contract_id", "__known")
+
+    columns = ["contract_id", "amendment_type", "validity_start_date", "validity_end_date", "amendment_sequence"]
+    rows = with_flags(normalize_amendments(raw), columns, flagged, {"__inside": False, "__repeated": False, "__known": True})
     usable = F.col("validity_start_date") <= F.col("validity_end_date")
     outside = Rule(
         (F.col("amendment_type") == TOP_UP) & usable & ~F.col("__inside"),

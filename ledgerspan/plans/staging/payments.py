@@ -11,6 +11,7 @@ from ledgerspan.functions.text import (
     code, digits_only, enum_slug, group_root, strip, strip_upper,
 )
 from ledgerspan.operators.lookup import flag_member_unique
+from ledgerspan.operators.narrow import with_flags
 from ledgerspan.operators.rules import Rule, annotate, formatted, parsed, positive, required
 from ledgerspan.operators.uniqueness import flag_repeated
 from ledgerspan.sources.raw import conform
@@ -53,7 +54,9 @@ def payment_rules() -> list[Rule]:
 
 def stage_payments(raw: DataFrame, valid_contracts: DataFrame) -> DataFrame:
     """Normalised payments with `validation_errors`; `valid_contracts` has unique contract_id."""
-    rows = normalize_payments(raw)
-    rows = flag_repeated(rows, ["payment_id"], "__repeated", exempt=F.col("payment_id") == "")
-    rows = flag_member_unique(rows, "contract_id", valid_contracts, "contract_id", "__known")
+    def flagged(rows: DataFrame) -> DataFrame:
+        rows = flag_repeated(rows, ["payment_id"], "__repeated", exempt=F.col("payment_id") == "")
+        return flag_member_unique(rows, "contract_id", valid_contracts, "contract_id", "__known")
+
+    rows = with_flags(normalize_payments(raw), ["payment_id", "contract_id"], flagged, {"__repeated": False, "__known": True})
     return annotate(rows, payment_rules()).drop("__known", "__repeated")

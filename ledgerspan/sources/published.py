@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager, suppress
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -165,6 +166,26 @@ def publish_stage(
     }
 
 
+def write_batches(df: DataFrame, path: str, batch: str = "batch_id", *, mode: str = "append") -> None:
+    """A table laid out by batch: a batch is a folder, and a later one is added without touching the others."""
+    write_table(df, path, mode=mode, partition_by=[batch])
+
+
+def read_latest_batch(spark: SparkSession, path: str, batch: str = "batch_id") -> DataFrame:
+    """Rows of the highest batch id of such a table, found in the list of its folders; no other batch is listed or read."""
+    system, at = _located(spark, path)
+    prefix = f"{batch}="
+    names = [f.getPath().getName() for f in system.listStatus(at) if f.isDirectory()]
+    known = [unquote(n[len(prefix) :]) for n in names if n.startswith(prefix) and n != f"{prefix}__HIVE_DEFAULT_PARTITION__"]
+    if not known:
+        raise FileNotFoundError(f"Nenhum lote em {path}.")
+    latest = max(known)
+    folder = next(n for n in names if unquote(n) == f"{prefix}{latest}")
+    schema = spark.read.parquet(f"{path}/{folder}").schema.add(batch, "string")
+    rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{folder}")
+    return rows.where(F.col(batch) == latest)
+
+
 class AlreadyPublishedError(ValueError):
     """What is published stays as it is."""
 

@@ -199,6 +199,20 @@ def test_staged_rows_are_one_write_with_counts(spark, tmp_path, monkeypatch):
     assert none == {"valid": 0, "invalid": 0} and published.read_split(spark, str(tmp_path / "none"), staged.schema, True).count() == 0
 
 
+def test_latest_batch_is_the_only_one_read(spark, tmp_path):
+    from ledgerspan.sources import published
+
+    path = str(tmp_path / "table")
+    rows = [("a", "20260731_120000"), ("b", "20260801_000000"), ("c", "20260801_000000"), ("d", None), ("e", "0012")]
+    published.write_batches(spark.createDataFrame(rows, "x string, batch_id string"), path)
+    got = published.read_latest_batch(spark, path)
+    assert {tuple(r) for r in got.collect()} == {("b", "20260801_000000"), ("c", "20260801_000000")}
+    plan = got._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and all("batch_id=20260801_000000" in f for f in got.inputFiles())
+    published.write_batches(spark.createDataFrame([("f", "20260801_000001")], "x string, batch_id string"), path)
+    assert [r.x for r in published.read_latest_batch(spark, path).collect()] == ["f"]
+
+
 def add_columns(df):
     from raw_rows import LINEAGE
 

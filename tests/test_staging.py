@@ -188,3 +188,32 @@ def test_dates_with_a_time_are_dates(spark):
         rows_of(spark, CONTRACT, {"Status": "Encerrado", "Data_Avaliacao_Risco": "2026-03-01 00:00:00", "Motivo_Encerramento": "x"})
     ).first()
     assert (row.risk_evaluation_date, row.validation_errors) == (date(2026, 3, 1), "")
+
+
+def test_flags_move_wide_rows_once(spark):
+    import re
+
+    from ledgerspan.operators.narrow import with_flags
+    from ledgerspan.operators.uniqueness import flag_repeated
+    from ledgerspan.plans.staging.amendments import stage_amendments
+    from ledgerspan.plans.staging.payments import stage_payments
+
+    known = spark.createDataFrame([("CS00000001",)], "contract_id string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for source, build, wide in (("amendments", stage_amendments, "amendment_value"), ("payments", stage_payments, "payment_value")):
+            from ledgerspan.sources.raw import SOURCE_COLUMNS
+
+            staged = build(raw(spark, SOURCE_COLUMNS[source], tuple("x" for _ in SOURCE_COLUMNS[source])), known)
+            plan = spark._jvm.PythonSQLUtils.explainString(staged._jdf.queryExecution(), "formatted")
+            inputs = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan)
+            assert len(inputs) > 3 and sum(wide in i for i in inputs) <= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    rows = spark.createDataFrame([("b", "f", i, i % 7 if i < 20 else 99, "wide") for i in range(500)], "batch_id string, source_file string, source_row_number long, k long, w string")
+    flagging = lambda df: flag_repeated(df, ["k"], "again")
+    got = {r["source_row_number"]: (r["again"], r["w"]) for r in with_flags(rows, ["k"], flagging, {"again": False}).collect()}
+    assert got == {i: (True, "wide") for i in range(500)}
+    bare = rows.drop("batch_id").where("k < 7").limit(1)
+    assert [r["again"] for r in with_flags(bare, ["k"], flagging, {"again": False}).collect()] == [False]
