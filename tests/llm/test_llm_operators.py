@@ -221,6 +221,23 @@ def test_proximity(spark):
 # 5
 
 
+def test_sample_is_the_lowest_hashes(spark):
+    rows = spark.range(5_000).withColumn("h", F.xxhash64("id")).unionByName(spark.range(3_000).selectExpr("id", "xxhash64(7L) as h"))
+    hashes = sorted(r["h"] for r in rows.collect())
+    for sample in (1, 100, 2_500, 7_999, 8_000, 20_000):
+        most = quality_model.lowest_hashes(rows, sample)
+        if sample >= len(hashes):
+            assert most is None
+        else:
+            kept = [h for h in hashes if h <= most]
+            assert kept[:sample] == hashes[:sample] and len(kept) <= 2 * sample + 3_000
+    described = spark.range(600).select(F.col("id").alias("doc_id"), F.array(*[F.col("id").cast("double")] * len(quality_model.FEATURES)).alias("features"))
+    labels = spark.range(600).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    x, _ = quality_model.training_sample(described, labels, 50)
+    learn = described.where(~quality_model.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).limit(50)
+    assert [r[0] for r in x] == [float(r["doc_id"]) for r in learn.collect()]
+
+
 def test_secrets(spark):
     rng = random.Random(5)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
