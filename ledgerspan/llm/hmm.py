@@ -154,8 +154,8 @@ def _abreast(sequences: list[np.ndarray]):
             part = part[len(now) :]
 
 
-def forward(model: Model, padded: np.ndarray, lengths: np.ndarray):
-    """Scaled forward recursion: alphas (T x B x K, each step summing to 1) and scales (T x B, 1 past the end)."""
+def forward(model: Model, padded: np.ndarray, lengths: np.ndarray, entry: np.ndarray):
+    """Scaled forward recursion from the states expected at the first token (B x K): alphas (T x B x K, each step summing to 1) and scales (T x B, 1 past the end)."""
     steps, width = padded.shape
     emit = np.ascontiguousarray(model.emit.T)
     alphas, scales = np.zeros((steps, width, len(model.start))), np.ones((steps, width))
@@ -163,7 +163,7 @@ def forward(model: Model, padded: np.ndarray, lengths: np.ndarray):
     active = (lengths[None, :] > np.arange(steps)[:, None]).sum(1)  # longest first: a prefix is active
     for t in range(steps):
         n = active[t]
-        now = (model.start if t == 0 else now[:n] @ model.move) * emit[padded[t, :n]]
+        now = (entry[:n] if t == 0 else now[:n] @ model.move) * emit[padded[t, :n]]
         scale = now.sum(1)
         now = now / scale[:, None]
         alphas[t, :n], scales[t, :n] = now, scale
@@ -188,41 +188,89 @@ def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-SEGMENT = 256
+SEGMENT = 2_048
 
 
-def expected(model: Model, sequences: list[np.ndarray]):
-    """Baum-Welch counts (starts, moves, emissions) of some sequences.
+def _through(model: Model, pieces: list[np.ndarray], first: list[bool]) -> np.ndarray:
+    """For every piece a matrix, up to a factor: from the state before it to the state at its end (rows alike in a text's first piece)."""
+    states = len(model.start)
+    emit, out = np.ascontiguousarray(model.emit.T), np.zeros((len(pieces), states, states))
+    for places, padded, lengths in _abreast(pieces):
+        active = (lengths[None, :] > np.arange(len(padded))[:, None]).sum(1)
+        begin = np.where(np.array([first[j] for j in places])[:, None, None], model.start, model.move)
+        now = begin
+        for t in range(len(padded)):
+            n = active[t]
+            if t and n < len(now):
+                out[[places[b] for b in range(n, len(now))]] = now[n:]
+            now = (now[:n] if t == 0 else now[:n] @ model.move) * emit[padded[t, :n]][:, None, :]
+            now = now / now.sum((1, 2))[:, None, None]
+        out[places[: len(now)]] = now
+    return out
+
 
-    Training cuts texts into stretches of SEGMENT tokens, which bounds the memory of a recursion; all
-    stretches count, those inside a text as starting from the uniform distribution of `move`'s rows.
+def _joints(model: Model, pieces: list[np.ndarray], groups: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every piece the states before it (of later pieces), the states expected at its first token, and the weights of its last state by what follows it.
+
+    Texts of one piece start from `model.start` and end freely. In longer ones the pieces' matrices carry the
+    forward vector over every cut, and what follows back to it, so no count knows of the cuts.
+    """
+    entry, exits = np.tile(model.start, (len(pieces), 1)), np.ones((len(pieces), len(model.start)))
+    before = np.zeros_like(entry)
+    long = [g for g in groups if len(g) > 1]
+    inside = [j for g in long for j in g]
+    heads = {g[0] for g in long}
+    through = dict(zip(inside, _through(model, [pieces[j] for j in inside], [j in heads for j in inside])))
+    for group in long:
+        ends = []
+        for j in group:
+            now = through[j][0] if not ends else ends[-1] @ through[j]
+            ends.append(now / now.sum())
+        for j, end in zip(group[1:], ends):
+            before[j], entry[j] = end, end @ model.move
+        for k in range(len(group) - 2, -1, -1):
+            after = through[group[k + 1]] @ exits[group[k + 1]]
+            exits[group[k]] = after / (ends[k] @ after)
+    return before, entry, exits
+
+
+def expected(model: Model, sequences: list[np.ndarray], segment: int = SEGMENT):
+    """Baum-Welch counts (starts, moves, emissions) of some sequences, whole ones.
+
+    The recursions run over pieces of `segment` tokens, which bounds their memory; `_joints` makes the pieces of a text
+    one sequence again.
     """
-    cut, first = [], []
+    pieces, groups = [], []
     for s in sequences:
-        for i in range(0, len(s), SEGMENT):
-            cut.append(s[i : i + SEGMENT])
-            first.append(i == 0)
+        cuts = range(0, len(s), segment)
+        groups.append(list(range(len(pieces), len(pieces) + len(cuts))))
+        pieces += [s[i : i + segment] for i in cuts]
+    first = {g[0] for g in groups if g}
+    before, entry, exits = _joints(model, pieces, groups)
     states = len(model.start)
     starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((model.emit.shape[1], states))
     emit = np.ascontiguousarray(model.emit.T)
-    for places, padded, lengths in _abreast(cut):
-        alphas, scales = forward(model, padded, lengths)
-        steps = len(padded)
+    for places, padded, lengths in _abreast(pieces):
+        alphas, scales = forward(model, padded, lengths, entry[places])
+        steps, outside = len(padded), exits[places]
         active = (lengths[None, :] > np.arange(steps)[:, None]).sum(1)
-        beta = np.ones((len(places), states))
+        beta = outside.copy()
         classes_at, weights = [], []
         for t in range(steps - 1, -1, -1):
             n = active[t]
             gamma = alphas[t, :n] * beta[:n]
             classes_at.append(padded[t, :n])
             weights.append(gamma)
+            onward = emit[padded[t, :n]] * beta[:n] / scales[t, :n, None]
             if t:
-                onward = emit[padded[t, :n]] * beta[:n] / scales[t, :n, None]
                 moves += alphas[t - 1, :n].T @ onward
-                beta = np.ones((len(places), states))
+                beta = outside.copy()
                 beta[:n] = onward @ model.move.T
             else:
-                starts += gamma[np.array([first[j] for j in places[:n]])].sum(0)
+                heads = np.array([j in first for j in places[:n]])
+                starts += gamma[heads].sum(0)
+                if not heads.all():
+                    moves += before[[places[b] for b in np.flatnonzero(~heads)]].T @ onward[~heads]
         at, weight = np.concatenate(classes_at), np.concatenate(weights)
         for k in range(states):
             emits[:, k] += np.bincount(at, weights=weight[:, k], minlength=len(emits))

@@ -470,6 +470,34 @@ def test_forward_recursion_is_exact():
     assert hmm.log_likelihoods(model, sequences) == pytest.approx(want)
 
 
+@pytest.mark.parametrize("segment", [1, 2, 3, 100])
+def test_expected_counts_over_all_paths(segment):
+    rng = np.random.default_rng(6)
+    model = hmm.Model(np.array([0.5, 0.3, 0.2]), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(4), 3))
+    sequences = [rng.integers(0, 4, n).astype(np.int32) for n in (1, 2, 3, 4, 5, 6, 7, 7, 1)]
+    starts, moves, emits = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 4))
+    for s in sequences:
+        paths = list(itertools.product(range(3), repeat=len(s)))
+        chance = [model.start[p[0]] * math.prod(model.move[a, b] for a, b in zip(p, p[1:])) * math.prod(model.emit[k, c] for k, c in zip(p, s)) for p in paths]
+        for p, w in zip(paths, np.array(chance) / sum(chance)):
+            starts[p[0]] += w
+            for a, b in zip(p, p[1:]):
+                moves[a, b] += w
+            for k, c in zip(p, s):
+                emits[k, c] += w
+    for got, want in zip(hmm.expected(model, sequences, segment), (starts, moves, emits)):
+        assert got == pytest.approx(want)
+
+
+def test_expected_counts_of_long_texts_do_not_know_of_cuts():
+    rng = np.random.default_rng(7)
+    model = hmm.Model(rng.dirichlet(np.ones(4)), rng.dirichlet(np.ones(4), 4), rng.dirichlet(np.ones(50), 4))
+    sequences = [rng.integers(0, 50, n).astype(np.int32) for n in (5_000, 300, 20, 1, 2_048, 2_049, 9_000)]
+    for got, want in zip(hmm.expected(model, sequences), hmm.expected(model, sequences, 1 << 20)):
+        assert got == pytest.approx(want)
+
+
+
 def test_base_counts_and_gain(spark):
     rng = random.Random(4)
     tongues = [VOCABULARY[:40], VOCABULARY[40:]]
