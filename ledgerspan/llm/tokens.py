@@ -8,6 +8,7 @@ a count; they only save encoding.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,31 +26,47 @@ HELD = 1 << 17  # entries that a task counts before it prunes
 CACHED = 1 << 20  # entries that a worker caches besides (about 100 MB)
 # Fixed value: how a byte-level BPE tokenizer of this kind cuts a text.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Characters on whose class every Unicode version agrees; a text with any other is cut by the library.
+# Characters on whose class every Unicode version agrees; a text with any other is cut by the tokenizer's own rule, which is slower.
 PLAIN = r"[\t\n\r\x20-\x7e¡-ɏ]*"
 
 
+_KEPT: dict[str, object] = {}
+
+
 def _per_process(what: str, make):
-    """What `make` returns, made once per Python worker: worker processes outlive their tasks, globals of
-    a function that was shipped to them do not, so it is kept with the tokenizer library."""
-    import tokenizers
+    """What `make` returns, made once per Python worker: worker processes outlive their tasks."""
+    if what not in _KEPT:
+        _KEPT[what] = make()
+    return _KEPT[what]
 
-    kept = vars(tokenizers).setdefault("_kept_by_ledgerspan", {})
-    if what not in kept:
-        kept[what] = make()
-    return kept[what]
+
+def _require_byte_level(path: str) -> None:
+    """Refuse a tokenizer that does not cut texts the way PRE_TOKEN does."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    cut = content.get("pre_tokenizer") or {}
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True) or content.get("normalizer") is not None:
+        raise ValueError(f"{path}: not a byte-level tokenizer without normalizer and prefix space")
 
 
 def _tools(path: str):
-    """The tokenizer, the pre-token finder, the test for plain texts and the strings that are special."""
+    """The tokenizer, and a function that cuts a text into pre-tokens, or says None where special strings must be told apart first."""
 
     def load():
         import regex
         from tokenizers import Tokenizer
 
+        _require_byte_level(path)
         tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        return tokenizer, regex.compile(PRE_TOKEN).findall, regex.compile(PLAIN).fullmatch, special
+        find, plain, own = regex.compile(PRE_TOKEN).findall, regex.compile(PLAIN).fullmatch, tokenizer.pre_tokenizer.pre_tokenize_str
+
+        def cut(text: str) -> list[str] | None:
+            if any(s in text for s in special):
+                return None
+            return find(text) if plain(text) else [text[a:b] for _, (a, b) in own(text)]
+
+        return tokenizer, cut
 
     return _per_process(f"tools {path}", load)
 
@@ -60,20 +77,16 @@ def default_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _is_plain(text: str, plain, special: list[str]) -> bool:
-    return plain(text) is not None and not any(s in text for s in special)
-
-
 def _summary(path: str):
     """Per task: the counts of its commonest pre-tokens, at most SUMMARY rows, from at most HELD counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, find, plain, special = _tools(path)
+        _, cut = _tools(path)
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                if text and _is_plain(text, plain, special):
-                    counts.update(find(text))
+                if text and (pieces := cut(text)) is not None:
+                    counts.update(pieces)
                     if len(counts) > HELD:
                         counts = Counter(dict(counts.most_common(HELD // 2)))
         top = counts.most_common(SUMMARY)
@@ -108,7 +121,7 @@ class Lengths(dict):
 
 def counter(path: str, table):
     """Function from text to its number of tokens; `table` is the broadcast of `frequent`."""
-    tokenizer, find, plain, special = _tools(path)
+    tokenizer, cut = _tools(path)
     # one per worker: what it has encoded outlives the task, and a later table only adds to it
     lengths = _per_process(f"lengths {path}", lambda: Lengths(table.value, tokenizer))
     if lengths.table is not table.value:
@@ -118,9 +131,10 @@ def counter(path: str, table):
     def count(text: str | None) -> int:
         if not text:
             return 0
-        if not _is_plain(text, plain, special):
+        pieces = cut(text)
+        if pieces is None:
             return len(tokenizer.encode(text, add_special_tokens=False).ids)
-        return sum(map(lengths.__getitem__, find(text)))
+        return sum(map(lengths.__getitem__, pieces))
 
     return count
 
@@ -129,7 +143,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     """doc_id, n_bytes, n_tokens and over_limit of every row, in whole texts, as the tokenizer's library counts.
 
     Null and empty texts have no bytes and no tokens. Strings of special tokens inside a text count as the
-    library counts them by default (one token). Repeated rows count alike; an empty table gives none.
+    library counts them by default (one token); only texts with such a string are encoded whole. Repeated rows count alike; an empty table gives none.
     """
     path = path or default_path()
     table = docs.sparkSession.sparkContext.broadcast(frequent(docs, path))

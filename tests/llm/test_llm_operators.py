@@ -299,6 +299,23 @@ def test_forest_finds_secrets_that_no_rule_names(spark):
 # 6
 
 
+def test_other_letters_go_through_both_tiers(spark, tmp_path):
+    path = tokens.default_path()
+    tokenizer, cut = tokens._tools(path)
+    texts = ["“Привет”, мир — 中文 \U0001f600\U0001f468\u200d\U0001f469 x\xa0y  don't ½", "слово " * 50, "\u200b \u2028\u3000  a", "日本語テキスト。 " * 9, "e\u0301 Ǆ ʰ ა"]
+    for text in texts:
+        assert "".join(cut(text)) == text and len(cut(text)) > 1
+    assert cut("a<|endoftext|>b") is None
+    table = tokens.frequent(frame(spark, list(enumerate(texts))), path)
+    assert {"слово", " слово", "日本語テキスト"} <= set(table)
+    got = tokens.token_counts(frame(spark, list(enumerate(texts)))).collect()
+    assert [r["n_tokens"] for r in sorted(got, key=lambda r: r["doc_id"])] == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    other = tmp_path / "other.json"
+    other.write_text('{"pre_tokenizer": {"type": "Whitespace"}, "normalizer": null}')
+    with pytest.raises(ValueError, match="byte-level"):
+        tokens._tools(str(other))
+
+
 def test_token_counts_equal_the_library(spark):
     from tokenizers import Tokenizer
 
