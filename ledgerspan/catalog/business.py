@@ -337,7 +337,7 @@ def r18(spark, sf):
 
 @query(
     "r19_append_with_new_ids",
-    "SELECT 'CS' || lpad(CAST(m + row_number() OVER (ORDER BY c_custkey) AS VARCHAR), 8, '0') AS contract_id, 'NEW-' || c_custkey AS old_contract_id FROM customer, (SELECT max(o_orderkey) AS m FROM orders)",
+    "SELECT 'CS' || lpad(CAST(m + row_number() OVER (ORDER BY c_custkey) AS VARCHAR), CAST(greatest(8, length(CAST(m + row_number() OVER (ORDER BY c_custkey) AS VARCHAR))) AS INT), '0') AS contract_id, 'NEW-' || c_custkey AS old_contract_id FROM customer, (SELECT max(o_orderkey) AS m FROM orders)",
 )
 def r19(spark, sf):
     current = load(spark, sf, "portfolio").select("contract_id")
@@ -347,7 +347,7 @@ def r19(spark, sf):
 
 @query(
     "r19_remapped_amendments",
-    "SELECT o_orderkey, 'CS' || lpad(CAST(m + r AS VARCHAR), 8, '0') AS contract_id FROM orders LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r"
+    "SELECT o_orderkey, 'CS' || lpad(CAST(m + r AS VARCHAR), CAST(greatest(8, length(CAST(m + r AS VARCHAR))) AS INT), '0') AS contract_id FROM orders LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r"
     " FROM (SELECT * REPLACE (CASE WHEN c_custkey % 9 = 4 THEN -1 - c_custkey ELSE c_custkey END AS c_custkey) FROM customer)) ON o_custkey = c_custkey, (SELECT max(o_orderkey) AS m FROM orders)",
 )
 def r19m(spark, sf):

@@ -125,7 +125,7 @@ CTES["n_amendments_base"] = select(
 )
 CTES["n_amendments"] = """SELECT *,
   CASE WHEN contract_id <> '' AND amendment_sequence % 1 = 0
-    THEN 'AMD-' || contract_id || '-' || lpad(CAST(CAST(amendment_sequence AS BIGINT) AS VARCHAR), 4, '0') ELSE '' END AS amendment_id
+    THEN 'AMD-' || contract_id || '-' || lpad(CAST(CAST(amendment_sequence AS BIGINT) AS VARCHAR), CAST(greatest(4, length(CAST(CAST(amendment_sequence AS BIGINT) AS VARCHAR))) AS INT), '0') ELSE '' END AS amendment_id
 FROM n_amendments_base"""
 CTES["f_amendments"] = """SELECT n.*,
   n.contract_id IN (SELECT contract_id FROM stg_contracts) AS is_known,
