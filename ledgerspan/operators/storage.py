@@ -28,4 +28,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     read by columns, and has a size that the planner knows."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that `keep` returned. Only for steps whose readers have all been stored themselves."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.kept_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
