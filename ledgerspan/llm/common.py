@@ -6,9 +6,9 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerspan.operators.storage import keep as stored, shared_folder
+from ledgerspan.operators.storage import forget, keep as stored, shared_folder
 
-__all__ = ["stored", "shared_folder", "table", "fresh", "let", "words_of", "ascii_lower", "crc_remainder", "commonest", "WORD"]
+__all__ = ["stored", "forget", "shared_folder", "table", "fresh", "let", "words_of", "ascii_lower", "crc_remainder", "commonest", "WORD"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerspan.llm.common import WORD, fresh, stored
+from ledgerspan.llm.common import WORD, forget, fresh, stored
 from ledgerspan.llm.components import components
 from ledgerspan.operators.skew import join_unique
 
@@ -362,11 +362,14 @@ def passages(docs: DataFrame, lines: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("rep")))
     reps = stored(holders.groupBy("mark").agg(first.alias("first"), (F.count("*") > 1).alias("copied")).select("mark", "first.none", "first.rep", "copied"), "passage-texts")
     cut = stored(texts.select("mark", "text").mapInArrow(_seeded, "mark long, size int, at int, until int, seed long"), "passage-seeds")
-    span = cut.groupBy("seed").agg(F.min("mark").alias("one"), F.max("mark").alias("two"), F.min("at").alias("top"), F.max("at").alias("low"))
-    seeds = stored(span.where("one <> two or top <> low").select("seed", F.lit(True).alias("again")), "passage-repeated-seeds")
+    place = F.xxhash64("mark", "at")
+    span = cut.groupBy("seed").agg(F.min(place).alias("one"), F.max(place).alias("two"))
+    seeds = stored(span.where("one <> two").select("seed", F.lit(True).alias("again")), "passage-repeated-seeds")
     met = join_unique(cut, seeds, ["seed"], ["seed"]).where("again")
     stretches = met.groupBy("mark").agg(F.collect_set(F.struct("at", "until")).alias("stretches"))
     wanted = stored(stretches.withColumnRenamed("mark", "its_mark"), "passage-stretches")
+    sizes = stored(cut.groupBy(F.col("mark").alias("size_mark")).agg(F.max("size").alias("size")), "passage-sizes")
+    forget(cut, seeds)
     again_read = texts.select("mark", "text").join(wanted, F.col("mark") == F.col("its_mark")).dropDuplicates(["its_mark"]).select("mark", "text", "stretches")
     each = stored(again_read.mapInArrow(_windowed, "mark long, pos int, window long"), "passage-runs")
     twice = each.groupBy("window").agg(F.min("mark").alias("one"), F.max("mark").alias("two"), F.min("pos").alias("top"), F.max("pos").alias("low"))
@@ -374,19 +377,22 @@ def passages(docs: DataFrame, lines: DataFrame) -> DataFrame:
     again = join_unique(each, twice, ["window"], ["window"]).where("twice").drop("twice")
     held = reps.select(F.col("mark").alias("held_mark"), "none", "rep")
     again = stored(again.join(held, F.col("mark") == F.col("held_mark")).select("mark", "pos", "window", "none", "rep"), "passage-places")
+    forget(each, twice, wanted)
     place = F.struct("none", F.col("rep").alias("its_id"), F.col("mark").alias("its_mark"), F.col("pos").alias("its_pos"))
     keepers = stored(again.groupBy("window").agg(F.min(place).alias("keeper")), "passage-keepers")
     kept = join_unique(again, keepers, ["window"], ["window"]).select("mark", F.struct("pos", "keeper.its_id", "keeper.its_mark", "keeper.its_pos").alias("run"))
     runs_of = stored(kept.groupBy(F.col("mark").alias("runs_mark")).agg(F.collect_list("run").alias("runs")), "passage-runs-of")
-    sizes = cut.groupBy(F.col("mark").alias("size_mark")).agg(F.max("size").alias("size"))
+    forget(again, keepers)
     known = reps.join(sizes, F.col("mark") == F.col("size_mark")).join(runs_of, F.col("mark") == F.col("runs_mark"), "left").where("copied or runs is not null")
     known = stored(known.select(F.col("mark").alias("known_mark"), "rep", "copied", "size", "runs"), "passage-known")
+    forget(runs_of, sizes, reps)
     covered = lines.groupBy(F.col("doc_id").alias("lines_id"), F.col("mark").alias("lines_mark")).agg(F.collect_set(F.struct("start", "n_words", "removed")).alias("lines"))
     both = holders.join(covered, F.col("doc_id").eqNullSafe(F.col("lines_id")) & (F.col("mark") == F.col("lines_mark")), "left")
     both = both.join(known, F.col("mark") == F.col("known_mark")).select("doc_id", "mark", "runs", "lines", "rep", "copied", "size")
     found = both.mapInArrow(_merged(kind), f"doc_id {name}, mark long, start int, n_words int, component_id {name}, removed boolean")
     spans = found.groupBy(F.col("doc_id").alias("its_id"), F.col("mark").alias("its_mark")).agg(F.collect_set(F.struct("start", "n_words", "component_id", "removed")).alias("spans"))
     spans = stored(spans, "passage-spans")
+    forget(known, holders)
     read = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))).select("doc_id", "mark", "text", "spans")
     schema = f"doc_id {name}, mark long, first int, last int, n_words int, component_id {name}, removed boolean, start int"
     # rows alike in id and text give the same passages
@@ -418,14 +424,18 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     alike in id and text count as one document, and an empty table gives no rows.
     """
     found = stored(paragraphs(docs, similarity).withColumn("unit", F.monotonically_increasing_id()), "paragraphs")
-    thin = found.drop("buckets", "overlaps")
+    thin = stored(found.drop("buckets", "overlaps"), "paragraph-units")
     # ranges of (bucket, unit) cut also a bucket that many share
     posted = found.select(F.explode("buckets").alias("bucket"), "unit", "overlaps").repartitionByRange("bucket", "unit")
     near = stored(posted.sortWithinPartitions("bucket", "unit").mapInArrow(_shared, "bucket long, unit long"), "paragraph-buckets")
-    shared = stored(near.join(found.select("unit", "class"), "unit").select("bucket", "class").distinct(), "paragraph-shared")
+    forget(found)
+    shared = stored(near.join(thin.select("unit", "class"), "unit").select("bucket", "class").distinct(), "paragraph-shared")
+    forget(near)
     # a bucket of one class holds copies, which are together already
     several = shared.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("class", F.xxhash64("class")).alias("leader")).where("n > 1").drop("n")
-    led = stored(join_unique(shared, stored(several, "paragraph-leaders"), ["bucket"], ["bucket"]).where("leader is not null"), "paragraph-led")
+    leaders = stored(several, "paragraph-leaders")
+    led = stored(join_unique(shared, leaders, ["bucket"], ["bucket"]).where("leader is not null"), "paragraph-led")
+    forget(shared, leaders)
     tagged = thin.withColumn("doc", F.xxhash64("doc_id", "mark"))
     stats = stored(
         tagged.groupBy("class").agg(
@@ -457,20 +467,26 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     across = at.join(other, (F.col("bucket") == F.col("bucket_b")) & (F.col("root") < F.col("root_b"))).select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
     tried = pairs.withColumnsRenamed({"a": "old_a", "b": "old_b"})
     untried = across.distinct().join(tried, (F.col("a") == F.col("old_a")) & (F.col("b") == F.col("old_b")), "left_anti")
-    links = links.unionByName(stored(_verified(apart(untried), shingles, similarity), "paragraph-links"))
-    final = stored(components(links, "a", "b"), "paragraph-clusters")
+    more = stored(_verified(apart(untried), shingles, similarity), "paragraph-links")
+    forget(shingles, spans, led, at, known, wanted)
+    final = stored(components(links.unionByName(more), "a", "b"), "paragraph-clusters")
+    forget(links, more)
     copied = stats.where("doc <> other_doc or top <> low").select(F.col("class").alias("of"))
     members = copied.unionByName(final.select(F.col("node").alias("of"))).distinct()
     rooted = members.join(final, F.col("of") == F.col("node"), "left").select("of", F.coalesce("component", "of").alias("root"))
-    placed = stored(thin.join(stored(rooted, "paragraph-members"), F.col("class") == F.col("of")).drop("of", "class", "unit").distinct(), "paragraph-places")
+    rooted = stored(rooted, "paragraph-members")
+    placed = stored(thin.join(rooted, F.col("class") == F.col("of")).drop("of", "class", "unit").distinct(), "paragraph-places")
+    forget(thin, rooted, stats, final)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "first", "last")
     keepers = placed.groupBy(F.col("root").alias("cluster")).agg(F.min(place).alias("keeper"))
-    placed = placed.join(stored(keepers, "paragraph-keepers"), F.col("root") == F.col("cluster"))
+    places, keepers = placed, stored(keepers, "paragraph-keepers")
+    placed = placed.join(keepers, F.col("root") == F.col("cluster"))
     # a run that holds a shorter one of its cluster with the same end repeats only for the sake of that one
     next_in_text = Window.partitionBy("doc_id", "mark", "root").orderBy("first")
     least = placed.withColumn("next", F.lead("last").over(next_in_text)).where(F.col("next").isNull() | (F.col("next") > F.col("last")))
     stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & F.col("mark").eqNullSafe(F.col("keeper.mark")) & (F.col("first") <= F.col("keeper.last")) & (F.col("keeper.first") <= F.col("last"))
     lines = stored(least.select("doc_id", "mark", "first", "last", "n_words", F.col("keeper.doc_id").alias("component_id"), (~stays).alias("removed"), "start"), "paragraph-lines")
+    forget(places, keepers)
     return lines.withColumn("whole", F.lit(True)).unionByName(passages(docs, lines).withColumn("whole", F.lit(False)))
 
 
