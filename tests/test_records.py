@@ -85,3 +85,37 @@ def test_batch_reads_line_breaks(spark, tmp_path):
     counts = stage_all(run, snapshot, load_manifest(spark, snapshot))["pagamentos"]["row_counts"]
     assert counts == {"source": 2, "valid": 2, "invalid": 0}
     assert {r["supplier_name"] for r in run.staged("payments").collect()} == {n.strip() for n in names}
+
+
+def test_blocks_have_bounded_lines_and_lines_without_breaks_are_not_shuffled(spark, tmp_path, monkeypatch):
+    from ledgerspan.sources import records
+
+    monkeypatch.setattr(records, "LINE_BITS", 4)
+    rng = random.Random(6)
+    expected = write(tmp_path, "empresas_20260730.csv", rng, 300, ["v", "two\nlines", "\n" * 40, 'say "hi"'], "\n")
+    lines = _lines(spark, str(tmp_path))
+    assert lines.groupBy("path", "block", "chunk").count().agg({"count": "max"}).first()[0] == 16
+    assert records.block_table(lines).count() > lines.rdd.getNumPartitions()
+    read = {tuple(r)[3:] for r in scan_records(spark, str(tmp_path)).collect()}
+    assert read == {r[3:] for r in expected}
+    plain = tmp_path / "plain.csv"
+    plain.write_text("id,name\n" + "1,x\n" * 100)
+    rows = scan_records(spark, str(plain))
+    assert rows.count() == 100
+    assert "hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_digests_shuffle_lines_once_and_are_hash_trees(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    from ledgerspan.sources import digests
+
+    monkeypatch.setattr(digests, "ROWS", 7)
+    lines = [f"row {i}" for i in range(40)]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    rows = digests.row_digests(spark, [str(tmp_path)])
+    # the small table of blocks goes to the lines at any size
+    assert "strategy=broadcast" in rows._jdf.queryExecution().optimizedPlan().toString()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    expected = {n: (sha("".join(sha(x) for x in lines[7 * n : 7 * n + 7])), len(lines[7 * n : 7 * n + 7])) for n in range(6)}
+    assert {r["number"]: (r["digest"], r["lines"]) for r in digests.block_digests(rows).collect()} == expected
