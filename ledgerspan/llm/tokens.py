@@ -9,6 +9,8 @@ a count; they only save encoding.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,6 +32,19 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PLAIN = r"[\t\n\r\x20-\x7e¡-ɏ]*"
 
 
+def plain_pre_token() -> str:
+    """PRE_TOKEN for plain texts in the classes of `re`, which cuts them twice as fast as `regex`.
+
+    Letters and numbers come first: a pre-token that begins with a quote begins with none of them.
+    """
+
+    def span(kind: str) -> str:
+        return "".join(rf"\u{o:04x}" for o in range(0x250) if re.fullmatch(PLAIN, chr(o)) and unicodedata.category(chr(o))[0] == kind)
+
+    letters, numbers = span("L"), span("N")
+    return rf" ?[{letters}]+| ?[{numbers}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+"
+
+
 _KEPT: dict[str, object] = {}
 
 
@@ -53,13 +68,12 @@ def _tools(path: str):
     """The tokenizer, and a function that cuts a text into pre-tokens, or says None where special strings must be told apart first."""
 
     def load():
-        import regex
         from tokenizers import Tokenizer
 
         _require_byte_level(path)
         tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        find, plain, own = regex.compile(PRE_TOKEN).findall, regex.compile(PLAIN).fullmatch, tokenizer.pre_tokenizer.pre_tokenize_str
+        find, plain, own = re.compile(plain_pre_token()).findall, re.compile(PLAIN).fullmatch, tokenizer.pre_tokenizer.pre_tokenize_str
 
         def cut(text: str) -> list[str] | None:
             if any(s in text for s in special):

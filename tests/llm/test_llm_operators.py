@@ -316,6 +316,20 @@ def test_other_letters_go_through_both_tiers(spark, tmp_path):
         tokens._tools(str(other))
 
 
+def test_plain_texts_are_cut_alike_by_both_regular_expressions():
+    import random
+    import re
+
+    import regex
+
+    rng, plain = random.Random(5), re.compile(tokens.PLAIN)
+    letters = [chr(o) for o in range(0x250) if plain.fullmatch(chr(o))]
+    texts = ["".join(letters), "".join(f"a{c} {c}1{c}'s" for c in letters), "I'll  we've\n\n 'Tis ''s '\t x'd ½²a  "]
+    texts += ["".join(rng.choice(letters + list("  \n\t'stlved1!")) for _ in range(60)) for _ in range(2_000)]
+    cut, whole = re.compile(tokens.plain_pre_token()).findall, regex.compile(tokens.PRE_TOKEN).findall
+    assert all(cut(t) == whole(t) for t in texts)
+
+
 def test_token_counts_equal_the_library(spark):
     from tokenizers import Tokenizer
 
