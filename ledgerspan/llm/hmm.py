@@ -26,6 +26,8 @@ OWN = 8_192  # commonest words, with a class of their own
 FREQUENT = 65_536  # commonest words whose counts are broadcast (about 6 MB); only the others are shuffled
 SPELLING = 1_024  # classes of all other words
 ABREAST = 1_024  # documents that go through a recursion side by side
+CELLS = 1 << 19  # tokens of these with their padding, where a recursion keeps STATES + 1 doubles of each
+BARE = 1 << 22  # the same, where it keeps nothing of them
 HELD = 1 << 19  # distinct words that a task counts before it hands them on
 DIVISOR, HELD_OUT = 7, 2
 FLOOR = 0.05  # added to every expected count
@@ -137,21 +139,19 @@ def initial(share: np.ndarray, states: int = STATES, seed: int = SEED) -> Model:
     return Model(np.full(states, 1.0 / states), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
 
-def _abreast(sequences: list[np.ndarray]):
-    """Time-major padded arrays of up to ABREAST sequences of like length: (places, classes T x B, lengths)."""
+def _abreast(sequences: list[np.ndarray], cells: int):
+    """Time-major padded arrays of sequences of like length, up to ABREAST of them and `cells` tokens: (places, classes T x B, lengths)."""
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    for i in range(0, len(order), ABREAST):
-        part = order[i : i + ABREAST]
+    while order:
+        longest = len(sequences[order[0]])
         # one very long text doesn't pad many short ones: those below an eighth of its length wait
-        while part:
-            longest = len(sequences[part[0]])
-            now = [j for j in part if len(sequences[j]) * 8 >= longest]
-            lengths = np.array([len(sequences[j]) for j in now])
-            padded = np.zeros((longest, len(now)), np.int32)
-            for b, j in enumerate(now):
-                padded[: lengths[b], b] = sequences[j]
-            yield now, padded, lengths
-            part = part[len(now) :]
+        now = [j for j in order[: max(1, min(ABREAST, cells // max(longest, 1)))] if len(sequences[j]) * 8 >= longest]
+        lengths = np.array([len(sequences[j]) for j in now])
+        padded = np.zeros((longest, len(now)), np.int32)
+        for b, j in enumerate(now):
+            padded[: lengths[b], b] = sequences[j]
+        yield now, padded, lengths
+        order = order[len(now) :]
 
 
 def forward(model: Model, padded: np.ndarray, lengths: np.ndarray, entry: np.ndarray):
@@ -174,7 +174,7 @@ def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     """Exact log10 probability of each class sequence."""
     out = np.zeros(len(sequences))
     emit = np.ascontiguousarray(model.emit.T)
-    for places, padded, lengths in _abreast(sequences):
+    for places, padded, lengths in _abreast(sequences, BARE):
         steps = len(padded)
         active = (lengths[None, :] > np.arange(steps)[:, None]).sum(1)
         total, now = np.zeros(len(places)), None
@@ -195,7 +195,7 @@ def _through(model: Model, pieces: list[np.ndarray], first: list[bool]) -> np.nd
     """For every piece a matrix, up to a factor: from the state before it to the state at its end (rows alike in a text's first piece)."""
     states = len(model.start)
     emit, out = np.ascontiguousarray(model.emit.T), np.zeros((len(pieces), states, states))
-    for places, padded, lengths in _abreast(pieces):
+    for places, padded, lengths in _abreast(pieces, BARE):
         active = (lengths[None, :] > np.arange(len(padded))[:, None]).sum(1)
         begin = np.where(np.array([first[j] for j in places])[:, None, None], model.start, model.move)
         now = begin
@@ -250,17 +250,15 @@ def expected(model: Model, sequences: list[np.ndarray], segment: int = SEGMENT):
     states = len(model.start)
     starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((model.emit.shape[1], states))
     emit = np.ascontiguousarray(model.emit.T)
-    for places, padded, lengths in _abreast(pieces):
+    for places, padded, lengths in _abreast(pieces, CELLS):
         alphas, scales = forward(model, padded, lengths, entry[places])
         steps, outside = len(padded), exits[places]
         active = (lengths[None, :] > np.arange(steps)[:, None]).sum(1)
         beta = outside.copy()
-        classes_at, weights = [], []
         for t in range(steps - 1, -1, -1):
             n = active[t]
-            gamma = alphas[t, :n] * beta[:n]
-            classes_at.append(padded[t, :n])
-            weights.append(gamma)
+            gamma = alphas[t, :n]
+            gamma *= beta[:n]  # nothing reads these alphas again; past the ends they stay 0
             onward = emit[padded[t, :n]] * beta[:n] / scales[t, :n, None]
             if t:
                 moves += alphas[t - 1, :n].T @ onward
@@ -271,9 +269,9 @@ def expected(model: Model, sequences: list[np.ndarray], segment: int = SEGMENT):
                 starts += gamma[heads].sum(0)
                 if not heads.all():
                     moves += before[[places[b] for b in np.flatnonzero(~heads)]].T @ onward[~heads]
-        at, weight = np.concatenate(classes_at), np.concatenate(weights)
+        at = padded.ravel()
         for k in range(states):
-            emits[:, k] += np.bincount(at, weights=weight[:, k], minlength=len(emits))
+            emits[:, k] += np.bincount(at, weights=alphas[:, :, k].ravel(), minlength=len(emits))
     return starts, moves * model.move, emits.T
 
 

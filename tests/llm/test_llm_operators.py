@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -520,6 +521,20 @@ def test_expected_counts_over_all_paths(segment):
         assert got == pytest.approx(want)
 
 
+def test_expected_counts_of_many_long_texts_need_little_memory(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = hmm.Model(rng.dirichlet(np.ones(6)), rng.dirichlet(np.ones(6), 6), rng.dirichlet(np.ones(50), 6))
+    sequences = [rng.integers(0, 50, 2_048 - 7 * (i % 9)).astype(np.int32) for i in range(600)]
+    tracemalloc.start()
+    got = hmm.expected(model, sequences)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 90_000_000  # all side by side with their weights took 215 MB
+    monkeypatch.setattr(hmm, "CELLS", 5_000)
+    for one, two in zip(got, hmm.expected(model, sequences)):
+        assert one == pytest.approx(two)
+
+
 def test_expected_counts_of_long_texts_do_not_know_of_cuts():
     rng = np.random.default_rng(7)
     model = hmm.Model(rng.dirichlet(np.ones(4)), rng.dirichlet(np.ones(4), 4), rng.dirichlet(np.ones(50), 4))
