@@ -11,9 +11,10 @@ word, in two places is found, wherever its lines break; such runs that follow ea
 All runs hang on a seed of SEED_WORDS words, chosen by the words of the run alone, and only runs whose seed
 stands in two places are compared. What differs in single words is found where its lines are paragraphs.
 
-A bucket is never expanded into all its pairs: its members are first compared with one of them; then
-only members that are in different components by now still meet. What the buckets propose is thereby
-decided in full, while a bucket of many alike paragraphs costs about its size.
+A bucket is never expanded into its pairs: its members are first compared with one of them. Where members
+are in different components by now, they meet by their rarest shingles, of which alike paragraphs share one
+so early that the rest can still reach the similarity. What the buckets propose is thereby decided in full,
+while a bucket of many alike paragraphs, or of unlike ones with a common line, costs about its size.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ ROWS = 3
 SEED = 11
 SEED_WORDS = 25  # a run has MIN_WORDS - SEED_WORDS + 1 of these
 FLUSH = 500_000  # words
+FEW = 8  # members of different components of a bucket that are compared pair by pair
 CHUNK = 20_000  # words whose shingles are multiplied together
 
 
@@ -218,6 +220,42 @@ def _verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataF
     return met.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _proposed(classes: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the classes (class, root) with different roots, among them all whose Jaccard similarity is at least `similarity`.
+
+    The shingles of each class are put in one order, rare ones first. Where two classes share their first shingle at
+    places i and j, they have at most min(x - i, y - j) of their x and y shingles in common, so a pair is proposed only
+    where that still reaches the similarity. Shingles of one class alone count as places but never meet.
+    """
+    wide = stored(classes.join(shingles, "class").select("class", "root", F.size("shingles").alias("size"), "shingles"), "paragraph-open")
+    each = wide.select("class", "root", "size", F.explode("shingles").alias("shingle"))
+    counts = stored(each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 1"), "paragraph-counts")
+    met = join_unique(each, counts, ["shingle"], ["shingle"]).where("n is not null")
+    ordered = met.groupBy("class").agg(F.first("root").alias("root"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "shingle", (F.col("low") < F.col("high")).alias("mixed")))).alias("order"))
+    placed = ordered.select("class", "root", "size", (F.col("size") - F.size("order")).alias("alone"), F.posexplode("order").alias("i", "x"))
+    rest = F.col("size") - F.col("alone") - F.col("i")
+    # the partner has at least `similarity` times the shingles, so less than this can't do
+    posts = placed.select("class", "root", "size", rest.alias("rest"), "x.shingle", "x.mixed").where(F.col("mixed") & (F.col("rest") >= F.lit(similarity) * F.col("size") - 1e-6)).drop("mixed")
+    posts = stored(posts, "paragraph-posts")
+    forget(wide, counts)
+    other = posts.select(F.col("class").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"), F.col("rest").alias("rest_b"), F.col("shingle").alias("shingle_b"))
+    enough = F.least("rest", "rest_b") * (1 + similarity) >= F.lit(similarity) * (F.col("size") + F.col("size_b")) - 1e-6
+    pairs = posts.join(other, (F.col("shingle") == F.col("shingle_b")) & (F.col("root") < F.col("root_b")) & enough)
+    out = stored(pairs.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct(), "paragraph-proposed")
+    forget(posts)
+    return out
+
+
+def _across(at: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the members (bucket, class, root) that share a bucket and no root: all where FEW members stand in it, else at least those that are alike."""
+    mixed = at.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket", (F.col("n") <= FEW).alias("few"))
+    met = stored(join_unique(at, stored(mixed, "paragraph-mixed"), ["bucket"], ["bucket"]).where("few is not null"), "paragraph-met")
+    small = met.where("few")
+    other = small.select(F.col("bucket").alias("bucket_b"), F.col("class").alias("b"), F.col("root").alias("root_b"))
+    direct = small.join(other, (F.col("bucket") == F.col("bucket_b")) & (F.col("root") < F.col("root_b"))).select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
+    return direct.unionByName(_proposed(met.where("not few").select("class", "root").distinct(), shingles, similarity)).distinct()
+
+
 def _joined(hashed: np.ndarray, n: int, step: int) -> np.ndarray:
     """A hash of every `n` values that are `step` apart."""
     size = len(hashed) - (n - 1) * step
@@ -463,10 +501,9 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     links = stored(_verified(apart(pairs), shingles, similarity), "paragraph-links")
     known = stored(components(links, "a", "b"), "paragraph-components")
     at = stored(led.join(known, F.col("class") == F.col("node"), "left").select("bucket", "class", F.coalesce("component", "class").alias("root")), "paragraph-roots")
-    other = at.select(F.col("bucket").alias("bucket_b"), F.col("class").alias("b"), F.col("root").alias("root_b"))
-    across = at.join(other, (F.col("bucket") == F.col("bucket_b")) & (F.col("root") < F.col("root_b"))).select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
+    across = _across(at, shingles, similarity)
     tried = pairs.withColumnsRenamed({"a": "old_a", "b": "old_b"})
-    untried = across.distinct().join(tried, (F.col("a") == F.col("old_a")) & (F.col("b") == F.col("old_b")), "left_anti")
+    untried = across.join(tried, (F.col("a") == F.col("old_a")) & (F.col("b") == F.col("old_b")), "left_anti")
     more = stored(_verified(apart(untried), shingles, similarity), "paragraph-links")
     forget(shingles, spans, led, at, known, wanted)
     final = stored(components(links.unionByName(more), "a", "b"), "paragraph-clusters")

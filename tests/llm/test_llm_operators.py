@@ -521,6 +521,27 @@ def test_expected_counts_over_all_paths(segment):
         assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("few", [2, 8])
+def test_members_of_a_bucket_meet_only_where_they_can_be_alike(spark, monkeypatch, few):
+    monkeypatch.setattr(paragraphs, "FEW", few)
+    rng = random.Random(8)
+    line, sets = list(range(30)), []
+    for i in range(150):  # a common line, the rest unlike
+        sets.append(set(line) | {1_000 * (i + 1) + k for k in range(rng.randint(16, 24))})
+    for i in range(60):  # all similarities around the bound, of several sizes
+        near = sorted(sets[i])
+        sets.append(set(near[rng.randint(0, 6) :]) | {500_000 + 100 * i + k for k in range(rng.randint(0, 7))})
+    sets += [set(range(900_000, 900_010)), set(range(900_000, 900_008)), set(range(900_000, 900_007)), {77}]
+    at = [(1, c, c if c % 11 else 5) for c in range(len(sets))] + [(2, 0, 5), (2, 150, 150), (2, 170, 170)]
+    shingles = spark.createDataFrame([(c, sorted(x)) for c, x in enumerate(sets)], "class long, shingles array<long>")
+    got = [(r["a"], r["b"]) for r in paragraphs._across(spark.createDataFrame(at, "bucket long, class long, root long"), shingles, 0.8).collect()]
+    root = {c: r for _, c, r in at}
+    alike = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if root[a] != root[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])}
+    assert len(alike) > 20 and alike <= set(got) and len(got) == len(set(got))
+    assert all(a < b and root[a] != root[b] for a, b in got)
+    assert len(got) < 200  # every pair of the bucket was one of 20,000 before
+
+
 def test_expected_counts_of_many_long_texts_need_little_memory(monkeypatch):
     rng = np.random.default_rng(4)
     model = hmm.Model(rng.dirichlet(np.ones(6)), rng.dirichlet(np.ones(6), 6), rng.dirichlet(np.ones(50), 6))
