@@ -13,14 +13,16 @@ stands in two places are compared. What differs in single words is found where i
 
 A bucket is never expanded into its pairs: its members are first compared with one of them. Where members
 are in different components by now, they meet by their rarest shingles, of which alike paragraphs share one
-so early that the rest can still reach the similarity. What the buckets propose is thereby decided in full,
+so early that the rest can still reach the similarity; first each with the smallest paragraph of the shingle,
+which joins those with much in common, then those that are still apart. What the buckets propose is thereby decided in full,
 while a bucket of many alike paragraphs, or of unlike ones with a common line, costs about its size.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerspan.llm.common import WORD, forget, fresh, stored
 from ledgerspan.llm.components import components
+from ledgerspan.operators.reshape import union_all
 from ledgerspan.operators.skew import join_unique
 
 MIN_WORDS = 50
@@ -38,9 +41,8 @@ RECALL = 0.998  # chance that a pair of exactly SIMILARITY shares a bucket
 ROWS = 3
 SEED = 11
 SEED_WORDS = 25  # a run has MIN_WORDS - SEED_WORDS + 1 of these
-FLUSH = 500_000  # words
 FEW = 8  # members of different components of a bucket that are compared pair by pair
-CHUNK = 20_000  # words whose shingles are multiplied together
+CHUNK = 20_000  # words that are worked on together
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -82,14 +84,21 @@ def _numbers(n: int) -> np.ndarray:
     return rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
 
 
-def _cut(text: str | None, hashed) -> tuple[list[tuple[int, int, int, int]], np.ndarray]:
+def _hashed(words: Iterable[bytes]) -> np.ndarray:
+    """The XXH64 of every word. Eight bytes a word are joined, so no number passes through Python."""
+    import xxhash
+
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
+
+
+def _cut(text: str | None) -> tuple[list[tuple[int, int, int, int]], np.ndarray]:
     """(first line, last line, first word, words) of every paragraph of a text, and the hashes of its words."""
     lines = [line.split() for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
     counts = [len(w) for w in lines]
     found = runs(counts)
     if not found:
         return [], np.zeros(0, np.uint64)
-    values = np.fromiter((hashed(w) for line in lines for w in line), np.uint64, sum(counts))
+    values = _hashed(chain.from_iterable(lines))
     places = np.concatenate([[0], np.cumsum(counts)]).tolist()
     return [(first, last, places[first], places[last + 1] - places[first]) for first, last in found], values
 
@@ -113,15 +122,13 @@ def _classes(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 def _banded(bands: int, rows: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         factors, mix = _numbers(bands * rows), _numbers(rows + bands)
         names = ["doc_id", "mark", "first", "last", "start", "n_words", "class", "overlaps", "buckets"]
 
         def out(texts: list[int], batch: pa.RecordBatch, cuts: list, words: list[np.ndarray]) -> pa.RecordBatch:
             """The paragraphs of some texts: their shingles are multiplied once, though paragraphs overlap."""
-            shingles = [shingle_hashes(w) for w in words]
-            bases = np.cumsum([0, *[len(x) for x in shingles]])
+            # shingles over the end of a text belong to no paragraph
+            bases = np.cumsum([0, *[len(x) for x in words]])
             rows_ = np.concatenate([np.zeros((0, 4), np.int64), *[np.array(c, np.int64) for c in cuts]])
             each = [len(c) for c in cuts]
             base = np.repeat(bases[:-1], each)
@@ -130,7 +137,7 @@ def _banded(bands: int, rows: int, id_type: pa.DataType):
             last, limit = rows_[:, 1], np.repeat(np.cumsum(each), each)
             key = np.repeat(np.arange(len(cuts)), each) * (int(last.max(initial=0)) + 2)
             overlaps = np.minimum(np.searchsorted(key + rows_[:, 0], key + last, "right"), limit) - np.arange(len(rows_)) - 1
-            flat = np.append(np.concatenate([np.zeros(0, np.uint64), *shingles]), np.uint64(0xFFFFFFFFFFFFFFFF))
+            flat = np.append(shingle_hashes(np.concatenate(words)), np.uint64(0xFFFFFFFFFFFFFFFF))
             pairs = np.stack([starts, ends], 1).ravel()
             least = np.empty((len(rows_), bands * rows), np.uint64)
             with np.errstate(over="ignore"):
@@ -149,7 +156,7 @@ def _banded(bands: int, rows: int, id_type: pa.DataType):
         for batch in batches:
             texts, cuts, words, total = [], [], [], 0
             for i, text in enumerate(batch.column(2).to_pylist()):
-                found, values = _cut(text, xxhash.xxh64_intdigest)
+                found, values = _cut(text)
                 if not found:
                     continue
                 texts.append(i)
@@ -196,13 +203,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted distinct shingles of the wanted paragraphs of each text."""
-    import xxhash
-
     for batch in batches:
         classes, shingles = [], []
         for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             at = {(w["first"], w["last"]): w["class"] for w in wanted}
-            found, values = _cut(text, xxhash.xxh64_intdigest)
+            found, values = _cut(text)
             whole = shingle_hashes(values).view(np.int64)
             for first, last, start, n in found:
                 if (first, last) in at:
@@ -220,8 +225,28 @@ def _verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataF
     return met.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def _proposed(classes: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of the classes (class, root) with different roots, among them all whose Jaccard similarity is at least `similarity`.
+def _headed(posts: DataFrame, similarity: float, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The posts with roots that are joined where members of a shingle are alike to its smallest class, found by `link`.
+
+    Of classes that have the same in common, all that are alike to any are alike to the smallest, so they need no pairs.
+    """
+    head = F.min_by(F.struct("class", "root", "size", "rest"), F.struct("size", F.xxhash64("class")))
+    heads = stored(posts.groupBy("shingle").agg(F.count("*").alias("n"), head.alias("head")).where("n > 2").drop("n"), "paragraph-heads")
+    enough = F.least("rest", "head.rest") * (1 + similarity) >= F.lit(similarity) * (F.col("size") + F.col("head.size")) - 1e-6
+    met = join_unique(posts, heads, ["shingle"], ["shingle"]).where(F.col("head").isNotNull() & (F.col("root") != F.col("head.root")) & enough)
+    pairs = met.select(F.least("class", "head.class").alias("a"), F.greatest("class", "head.class").alias("b"), F.least("root", "head.root").alias("u"), F.greatest("root", "head.root").alias("v")).distinct()
+    pairs = stored(pairs, "paragraph-headed")
+    found = link(pairs.select("a", "b")).withColumnsRenamed({"a": "linked_a", "b": "linked_b"})
+    roots = pairs.join(found, (F.col("a") == F.col("linked_a")) & (F.col("b") == F.col("linked_b"))).select("u", "v")
+    joined = stored(components(roots, "u", "v"), "paragraph-headed-roots")
+    out = stored(join_unique(posts, joined, ["root"], ["node"]).select("class", F.coalesce("component", "root").alias("root"), "size", "rest", "shingle"), "paragraph-posts")
+    forget(heads, pairs, joined, posts)
+    return out
+
+
+def _proposed(classes: DataFrame, shingles: DataFrame, similarity: float, link: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Pairs (a, b) of the classes (class, root) with different roots, among them all whose Jaccard similarity is at least `similarity`,
+    but for those that `link`, which returns the alike ones of some pairs, has brought together.
 
     The shingles of each class are put in one order, rare ones first. Where two classes share their first shingle at
     places i and j, they have at most min(x - i, y - j) of their x and y shingles in common, so a pair is proposed only
@@ -238,6 +263,8 @@ def _proposed(classes: DataFrame, shingles: DataFrame, similarity: float) -> Dat
     posts = placed.select("class", "root", "size", rest.alias("rest"), "x.shingle", "x.mixed").where(F.col("mixed") & (F.col("rest") >= F.lit(similarity) * F.col("size") - 1e-6)).drop("mixed")
     posts = stored(posts, "paragraph-posts")
     forget(wide, counts)
+    if link is not None:
+        posts = _headed(posts, similarity, link)
     other = posts.select(F.col("class").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"), F.col("rest").alias("rest_b"), F.col("shingle").alias("shingle_b"))
     enough = F.least("rest", "rest_b") * (1 + similarity) >= F.lit(similarity) * (F.col("size") + F.col("size_b")) - 1e-6
     pairs = posts.join(other, (F.col("shingle") == F.col("shingle_b")) & (F.col("root") < F.col("root_b")) & enough)
@@ -246,14 +273,14 @@ def _proposed(classes: DataFrame, shingles: DataFrame, similarity: float) -> Dat
     return out
 
 
-def _across(at: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+def _across(at: DataFrame, shingles: DataFrame, similarity: float, link: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Pairs (a, b) of the members (bucket, class, root) that share a bucket and no root: all where FEW members stand in it, else at least those that are alike."""
     mixed = at.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket", (F.col("n") <= FEW).alias("few"))
     met = stored(join_unique(at, stored(mixed, "paragraph-mixed"), ["bucket"], ["bucket"]).where("few is not null"), "paragraph-met")
     small = met.where("few")
     other = small.select(F.col("bucket").alias("bucket_b"), F.col("class").alias("b"), F.col("root").alias("root_b"))
     direct = small.join(other, (F.col("bucket") == F.col("bucket_b")) & (F.col("root") < F.col("root_b"))).select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
-    return direct.unionByName(_proposed(met.where("not few").select("class", "root").distinct(), shingles, similarity)).distinct()
+    return direct.unionByName(_proposed(met.where("not few").select("class", "root").distinct(), shingles, similarity, link)).distinct()
 
 
 def _joined(hashed: np.ndarray, n: int, step: int) -> np.ndarray:
@@ -268,40 +295,54 @@ def _joined(hashed: np.ndarray, n: int, step: int) -> np.ndarray:
 
 
 def _hashed_words(text: str | None) -> np.ndarray:
-    import xxhash
+    return _hashed(words_in(text))
+
 
-    words = words_in(text)
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+def _first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the smallest of every `width` values, the first of equals, by windows that double."""
+    at, least, span = np.arange(len(values)), values, 1
+    while span < width:
+        step = min(span, width - span)
+        later = least[step:] < least[:-step]
+        at, least = np.where(later, at[step:], at[:-step]), np.where(later, least[step:], least[:-step])
+        span += step
+    return at
 
 
 def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(mark, size, at, until, seed): of every text of MIN_WORDS words or more the stretches of runs, `at` to `until`, with one seed."""
     names, places = ["mark", "size", "at", "until", "seed"], MIN_WORDS - SEED_WORDS + 1
 
-    def out(held: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        each = [len(h[2]) for h in held]
-        join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
-        once = lambda i, kind: np.repeat(np.array([h[i] for h in held], kind), each)
-        columns = [once(0, np.int64), once(1, np.int32), join([h[2] for h in held], np.int32), join([h[3] for h in held], np.int32), join([h[4] for h in held], np.uint64).view(np.int64)]
+    def out(marks: list[int], words: list[np.ndarray]) -> pa.RecordBatch:
+        """Stretches of some texts side by side; runs over the end of a text are left out."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        ends = np.cumsum(sizes)
+        five = _joined(np.concatenate(words), SHINGLE, 1)
+        seed = _joined(five, SEED_WORDS // SHINGLE, SHINGLE)
+        text = np.repeat(np.arange(len(sizes)), sizes - MIN_WORDS + 1)
+        starts = np.arange(len(text)) + text * (MIN_WORDS - 1)
+        anchors = _first_least(five, places)[starts]
+        first = np.flatnonzero(np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])]))
+        last = np.append(first[1:], len(text)) - 1
+        base = (ends - sizes)[text[first]]
+        columns = [np.array(marks, np.int64)[text[first]], sizes[text[first]].astype(np.int32), (starts[first] - base).astype(np.int32)]
+        columns += [(starts[last] + 1 - base).astype(np.int32), seed[anchors[first]].view(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     for batch in batches:
-        held, total = [], 0
+        marks, words, total = [], [], 0
         for mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             values = _hashed_words(text)
             if len(values) < MIN_WORDS:
                 continue
-            five = _joined(values, SHINGLE, 1)
-            seed = _joined(five, SEED_WORDS // SHINGLE, SHINGLE)
-            n = len(values) - MIN_WORDS + 1
-            anchors = np.arange(n) + np.lib.stride_tricks.sliding_window_view(five, places)[:n].argmin(1)
-            ats = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
-            held.append((mark, len(values), ats, np.append(ats[1:], n), seed[anchors[ats]]))
+            marks.append(mark)
+            words.append(values)
             total += len(values)
-            if total > FLUSH:
-                yield out(held)
-                held, total = [], 0
-        yield out(held)
+            if total > CHUNK:
+                yield out(marks, words)
+                marks, words, total = [], [], 0
+        if marks:
+            yield out(marks, words)
 
 
 def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,21 +372,22 @@ def _merged(id_type: pa.DataType):
                 found, lines = batch.column(2)[k].values, batch.column(3)[k].as_py() or []
                 listed = found.field("pos").to_numpy() if found is not None else np.zeros(0, np.int32)
                 pos, order = np.unique(listed, return_index=True)
+                ids = pa.array([rep], id_type)
                 if found is None:
-                    its_mark, its_pos, ids = np.zeros(0, np.int64), np.zeros(0, np.int32), []
+                    its_mark, its_pos = np.zeros(0, np.int64), np.zeros(0, np.int32)
                 else:
                     its_mark, its_pos = (found.field(f).to_numpy()[order] for f in ("its_mark", "its_pos"))
-                    ids = pc.take(found.field("its_id"), pa.array(order)).to_pylist()
+                    ids = pa.concat_arrays([ids, pc.take(found.field("its_id"), pa.array(order)).cast(id_type)])
+                # every id once, and the number of the keeper's id for each run
+                coded = pc.dictionary_encode(ids, null_encoding="encode")
+                ids, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+                reps, numbers = numbers[0], numbers[1:]
                 if copied:
                     every = np.arange(words - MIN_WORDS + 1)
-                    marks, places, names = np.full(len(every), mark), every.copy(), [rep] * len(every)
-                    marks[pos], places[pos] = its_mark, its_pos
-                    for at, name in zip(pos.tolist(), ids):
-                        names[at] = name
-                    pos, its_mark, its_pos, ids = every, marks, places, names
-                its_id = pa.array(ids, id_type)
-                numbers = pc.dictionary_encode(its_id, null_encoding="encode").indices.to_numpy()
-                own = np.array([x == doc_id for x in ids], bool) if (its_mark == mark).any() else np.zeros(len(pos), bool)
+                    marks, places, names = np.full(len(every), mark), every.copy(), np.full(len(every), reps)
+                    marks[pos], places[pos], names[pos] = its_mark, its_pos, numbers
+                    pos, its_mark, its_pos, numbers = every, marks, places, names
+                own = np.array([x == doc_id for x in ids], bool)[numbers]
                 near = own & (its_mark == mark) & (np.abs(its_pos - pos) < MIN_WORDS)
                 cut = (np.diff(pos) != 1) | (np.diff(its_mark) != 0) | (np.diff(numbers) != 0) | (near[1:] != near[:-1])
                 starts = np.flatnonzero(np.concatenate([[True], cut]))
@@ -357,7 +399,7 @@ def _merged(id_type: pa.DataType):
                     if x["removed"]:
                         by_removed[x["start"] : x["start"] + x["n_words"]] = True
                 for a, b in zip(starts, ends):
-                    start, end, keeper, stays = int(pos[a]), int(pos[b]) + MIN_WORDS, ids[int(a)], bool(near[a])
+                    start, end, keeper, stays = int(pos[a]), int(pos[b]) + MIN_WORDS, ids[numbers[a]], bool(near[a])
                     # a few words more than whole lines agree by chance
                     if np.count_nonzero(~(by_any if stays else by_removed)[start:end]) < SHINGLE:
                         continue
@@ -501,13 +543,20 @@ def repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     links = stored(_verified(apart(pairs), shingles, similarity), "paragraph-links")
     known = stored(components(links, "a", "b"), "paragraph-components")
     at = stored(led.join(known, F.col("class") == F.col("node"), "left").select("bucket", "class", F.coalesce("component", "class").alias("root")), "paragraph-roots")
-    across = _across(at, shingles, similarity)
+    headed = []
+
+    def link(some: DataFrame) -> DataFrame:
+        headed.append(stored(_verified(apart(some), shingles, similarity), "paragraph-links"))
+        return headed[0]
+
+    across = _across(at, shingles, similarity, link)
     tried = pairs.withColumnsRenamed({"a": "old_a", "b": "old_b"})
     untried = across.join(tried, (F.col("a") == F.col("old_a")) & (F.col("b") == F.col("old_b")), "left_anti")
     more = stored(_verified(apart(untried), shingles, similarity), "paragraph-links")
     forget(shingles, spans, led, at, known, wanted)
-    final = stored(components(links.unionByName(more), "a", "b"), "paragraph-clusters")
-    forget(links, more)
+    every = union_all([links, *headed, more])
+    final = stored(components(every, "a", "b"), "paragraph-clusters")
+    forget(links, *headed, more)
     copied = stats.where("doc <> other_doc or top <> low").select(F.col("class").alias("of"))
     members = copied.unionByName(final.select(F.col("node").alias("of"))).distinct()
     rooted = members.join(final, F.col("of") == F.col("node"), "left").select("of", F.coalesce("component", "of").alias("root"))

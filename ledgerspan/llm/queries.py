@@ -10,6 +10,7 @@ from ledgerspan.llm import (
     centroids, contamination, hmm, mixing, paragraphs, periods, quality_model, rules, secrets, sharding, simhash, tokens, warc,
 )
 from ledgerspan.llm.common import table
+from ledgerspan.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,7 +193,7 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_repeated_paragraphs")
 def op3_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The places of all paragraphs that repeat, with the document that keeps each."""
-    return paragraphs.repeats(table(spark, sf_dir, "documents")).drop("mark")
+    return paragraphs.repeats(table(tune(spark), sf_dir, "documents")).drop("mark")
 
 
 @query("op2_quality_model")

@@ -10,7 +10,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from llm_frames import frame
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -542,6 +544,47 @@ def test_members_of_a_bucket_meet_only_where_they_can_be_alike(spark, monkeypatc
     assert len(got) < 200  # every pair of the bucket was one of 20,000 before
 
 
+def test_alike_members_of_a_bucket_meet_its_smallest_and_not_each_other(spark):
+    rng = random.Random(9)
+    sets = [set(range(45)) | {1_000 * (i + 1) + k for k in range(rng.randint(1, 12))} for i in range(200)]
+    classes = list(range(1, len(sets) + 1))
+    shingles = spark.createDataFrame([(c, sorted(x)) for c, x in zip(classes, sets)], "class long, shingles array<long>")
+    at = spark.createDataFrame([(1, c, c) for c in classes], "bucket long, class long, root long")
+    tried = []
+
+    def link(pairs):
+        tried.extend((r["a"], r["b"]) for r in pairs.collect())
+        return paragraphs._verified(pairs, shingles, 0.8)
+
+    pairs = paragraphs._across(at, shingles, 0.8, link)
+    asked = {*tried, *((r["a"], r["b"]) for r in pairs.collect())}
+    alike = {(a, b) for a, b in itertools.combinations(classes, 2) if 10 * len(sets[a - 1] & sets[b - 1]) >= 8 * len(sets[a - 1] | sets[b - 1])}
+
+    def parts(links):
+        root = {c: c for c in classes}
+        for _ in classes:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert len(alike) > 5_000 and parts(alike) == parts(alike & asked)
+    assert len(asked) < 1_000  # all alike pairs were made before
+
+
+def test_seeds_do_not_depend_on_the_texts_beside():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randint(40, 300))) for _ in range(300)] + [None, "a " * 50]
+    each = [pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([t], pa.string())], ["mark", "text"]) for i, t in enumerate(texts)]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["mark", "text"])
+    alone, beside = ([r for b in paragraphs._seeded(iter(x)) for r in b.to_pylist()] for x in (each, [whole]))
+    assert len(beside) > 300 and alone == beside
+    for r in beside[:50]:
+        words = [xxhash.xxh64_intdigest(w) for w in paragraphs.words_in(texts[r["mark"]])]
+        five = paragraphs.shingle_hashes(np.array(words, np.uint64))
+        starts = [i for i in range(len(words) - 49) if i + min(range(26), key=lambda k: five[i + k]) == r["at"] + min(range(26), key=lambda k: five[r["at"] + k])]
+        assert (r["at"], r["until"], r["size"]) == (starts[0], starts[-1] + 1, len(words))
+
+
 def test_expected_counts_of_many_long_texts_need_little_memory(monkeypatch):
     rng = np.random.default_rng(4)
     model = hmm.Model(rng.dirichlet(np.ones(6)), rng.dirichlet(np.ones(6), 6), rng.dirichlet(np.ones(50), 6))
