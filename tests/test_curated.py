@@ -229,3 +229,14 @@ def test_load_date_outside_business_dates_fails_the_calendar_control(spark):
     curated = {"dim_supplier": groups, "dim_economic_group": groups, "dim_calendar": calendar, "dim_category": C.build_categories(staged["contracts"], staged["payments"])}
     found = {r.entity: r.is_row_count_reconciled for r in union_all(Q.derived_controls(staged, curated)).collect()}
     assert found == {"dim_economic_group": True, "dim_category": True, "dim_calendar": False}
+
+
+def test_spending_reconciliation_builds_no_table_that_it_does_not_read(spark, monkeypatch):
+    from ledgerspan.catalog.all import QUERIES
+    from ledgerspan.catalog.batch import Batch
+
+    asked, table_of = set(), Batch.table
+    monkeypatch.setattr(Batch, "table", lambda self, name, build: (asked.add(name), table_of(self, name, build))[1])
+    row = QUERIES["q06_spending_reconciliation"](spark, "/root/testdata/sf0.001").first()
+    assert row["source_row_count"] == row["fact_row_count"] + row["exception_row_count"] > 0
+    assert {"stg_payments", "res_spending"} <= asked and not asked & {"res_rfi", "res_renewal", "res_financial"}
