@@ -12,6 +12,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerspan.operators.rules import SEPARATOR, rule_counts
+from ledgerspan.operators.storage import shuffles_freed
 
 CONTRACT_VERSION = "1.0"
 # Rows per file cap: keeps part files in the hundreds of MB whatever the size of a partition.
@@ -90,7 +91,8 @@ def write_table(
 ) -> list[dict[str, object]]:
     """Write Parquet and return its schema. The default refuses to touch an existing table."""
     writer = df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    with shuffles_freed(df.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return physical_schema(df.schema)
 
 

@@ -12,6 +12,8 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ledgerspan.operators.reshape import union_all
+from ledgerspan.operators.storage import keep
 from ledgerspan.plans.quality import snapshot_integrity
 from ledgerspan.sources.digests import file_digests
 from ledgerspan.sources.published import attempt, exists, publish_json, read_json, write_table
@@ -50,6 +52,11 @@ def file_hashes(spark: SparkSession, paths: list[str], base: str) -> DataFrame:
     return file_digests(spark, paths).select(_relative("path", base).alias("file"), "sha256", "bytes", "lines")
 
 
+def kept_hashes(spark: SparkSession, paths: list[str], base: str) -> DataFrame:
+    """`file_hashes`, source by source, so that the disk holds the line digests of one source at a time; a row per file is kept."""
+    return union_all([keep(file_hashes(spark, [path], base), "file-hashes") for path in paths])
+
+
 def byte_hashes(spark: SparkSession, paths: list[str], base: str, most_bytes: int = MOST_BYTES) -> DataFrame:
     """(file, sha256) of the bytes of whole files, as foreign manifests declare them. A file beyond `most_bytes` is refused."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(paths)
@@ -100,7 +107,7 @@ def write_snapshot(
             writer = observed.write.mode("errorifexists").options(**CSV_OPTIONS)
             writer.option("maxRecordsPerFile", ROWS_PER_PART).csv(path)
             counts[name] = observation.get["rows"]
-        write_table(file_hashes(spark, list(paths.values()), snapshot), f"{folder}/hashes")
+        write_table(kept_hashes(spark, list(paths.values()), snapshot), f"{folder}/hashes")
         inside = lambda path: path[len(snapshot) + 1 :]
         manifest = {
             "manifest_version": MANIFEST_VERSION,
@@ -135,12 +142,15 @@ def declared_hashes(spark: SparkSession, snapshot: str, manifest: dict) -> DataF
     return spark.read.parquet(f"{snapshot}/{manifest['hashes']}")
 
 
-def audit_snapshot(spark: SparkSession, snapshot: str) -> DataFrame:
-    """Problems of a stored snapshot against the digests written with it, or the hashes in a foreign manifest."""
+def audit_snapshot(spark: SparkSession, snapshot: str, found: DataFrame | None = None) -> DataFrame:
+    """Problems of a stored snapshot against the digests written with it, or the hashes in a foreign manifest.
+
+    `found` are the digests of its files (`kept_hashes`) where they have just been taken.
+    """
     manifest = load_manifest(spark, snapshot)
     paths = list(source_paths(snapshot, manifest).values())
     if "hashes" in manifest:
-        return compare_hashes(declared_hashes(spark, snapshot, manifest), file_hashes(spark, paths, snapshot))
+        return compare_hashes(declared_hashes(spark, snapshot, manifest), kept_hashes(spark, paths, snapshot) if found is None else found)
     entries = [(e["path"], e.get("sha256")) for e in manifest["sources"].values()]
     if not all(digest for _, digest in entries):
         raise SnapshotError("Manifesto sem hashes das fontes.")

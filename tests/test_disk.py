@@ -78,3 +78,14 @@ def test_filters_are_not_worked_out_below_the_columns_they_read(spark):
     plan = accepted(S.stage_amendments(raw, spark.range(1).selectExpr("cast(id AS string) contract_id")))._jdf.queryExecution().optimizedPlan()
     filters = [line for line in plan.toString().split("\n") if "Filter" in line and "l_shipdate" in line]
     assert not filters
+
+
+def test_files_of_a_snapshot_are_hashed_one_source_at_a_time_and_once(spark, tmp_path, monkeypatch):
+    from ledgerspan.sources import snapshots as N
+
+    sf, hashed, plain = fresh(tmp_path), [], N.file_hashes
+    monkeypatch.setattr(N, "file_hashes", lambda spark, paths, base: hashed.append(paths) or plain(spark, paths, base))
+    rows = QUERIES["s09_snapshot_audit"](spark, sf).collect()
+    assert len(rows) >= 5 and not any(r["problem"] for r in rows)
+    # when written and when audited
+    assert [len(paths) for paths in hashed] == [1] * 10 and hashed[0] != hashed[1]
